@@ -43,7 +43,8 @@ def salted_join(
     """Join on one key with the rows of hot keys spread over ``salts`` partitions.
 
     Only the lookup rows of hot keys (a bounded number of keys) are repeated; everything else
-    joins once under salt 0. ``how`` is ``inner`` or ``left``. The result has the columns of
+    joins once under salt 0. Rows without a key match nothing, so they are spread as well.
+    ``how`` is ``inner`` or ``left``. The result has the columns of
     ``big`` followed by those of ``lookup``.
     """
     if how not in ("inner", "left"):
@@ -54,11 +55,9 @@ def salted_join(
     # lookup and big sides read the same array; Spark runs the subquery once
     hot = hot_values(source, big_key)
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    spread = F.col(big_key).isNull() | F.array_contains(hot, F.col(big_key))
     left = big.withColumn(
-        _SALT,
-        F.when(F.array_contains(hot, F.col(big_key)), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(
-            F.lit(0)
-        ),
+        _SALT, F.when(spread, F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0))
     )
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     right = lookup.withColumn(
