@@ -68,7 +68,7 @@ def salted_join(
         F.explode(f"{_SALT}s").alias(f"{_SALT}r"),
         *[F.col(f"`{c}`") for c in lookup.columns],
     )
-    joined = left.join(right, (left[big_key] == right[_KEY]) & (left[_SALT] == right[f"{_SALT}r"]), how)
+    joined = left.join(right, (F.col(big_key) == F.col(_KEY)) & (F.col(_SALT) == F.col(f"{_SALT}r")), how)
     return joined.drop(_SALT, _KEY, f"{_SALT}r")
 
 
@@ -91,7 +91,7 @@ def lookup_join(
     if shared:
         raise ValueError(f"rename before joining: {sorted(shared)}")
     if fits_broadcast(lookup, broadcast_bytes):
-        return big.join(F.broadcast(lookup), big[big_key] == lookup[lookup_key], how)
+        return big.join(F.broadcast(lookup), F.col(big_key) == F.col(lookup_key), how)
     return salted_join(big, lookup, big_key, lookup_key, how, hot_source)
 
 
@@ -102,4 +102,4 @@ def semi_join(big: DataFrame, keys: DataFrame, big_key: str, key: str) -> DataFr
     splits a hot key of ``big`` by itself.
     """
     wanted = keys.select(F.col(key).alias(_KEY))
-    return big.join(wanted, big[big_key] == wanted[_KEY], "left_semi")
+    return big.join(wanted, F.col(big_key) == F.col(_KEY), "left_semi")
