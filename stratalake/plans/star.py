@@ -8,7 +8,7 @@ only the product and offer lookups move order lines.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -262,53 +262,59 @@ def dim_product(tables: Tables, unique: Collection[str] = (), wide: bool = False
     return _finish(rows, "DimProduct", wide)
 
 
-def _online_headers(tables: Tables, columns: list[str], unique: Collection[str]) -> DataFrame:
+# Read in this order everywhere: equal modification times are settled left to right, and fact
+# and wide table must settle them alike.
+_HEADER_COLUMNS = ["RevisionNumber", "OnlineOrderFlag", "OrderDate", "DueDate", "CustomerID", "TerritoryID"]
+_LINE_COLUMNS = ["SalesOrderID", "ProductID", "SpecialOfferID", "OrderQty", "UnitPrice", "UnitPriceDiscount"]
+
+
+def _online_headers(tables: Tables, extra: list[str], unique: Collection[str]) -> DataFrame:
     """Orders whose LATEST row is an online order: deduplicate first, then filter."""
-    latest = _latest(tables, "sales_salesorderheader", "SalesOrderID", [*columns, "OnlineOrderFlag"], unique)
+    latest = _latest(tables, "sales_salesorderheader", "SalesOrderID", [*_HEADER_COLUMNS, *extra], unique)
     online = latest.where(F.col("OnlineOrderFlag") == 1).drop("OnlineOrderFlag")
     return online.withColumnRenamed("SalesOrderID", "OrderKey")
 
 
-def _lines(tables: Tables, columns: list[str], unique: Collection[str]) -> DataFrame:
+def _lines(tables: Tables, extra: list[str], unique: Collection[str]) -> DataFrame:
     # deduplicated on the line id alone, a shorter key than silver's, hence never in `unique`
     # unless the caller knows line ids to be unique across orders
-    return _latest(tables, "sales_salesorderdetail", "SalesOrderDetailID", ["SalesOrderID", *columns], unique)
+    return _latest(tables, "sales_salesorderdetail", "SalesOrderDetailID", [*_LINE_COLUMNS, *extra], unique)
 
 
-def fact_internet_sales(tables: Tables, unique: Collection[str] = (), wide: bool = False) -> DataFrame:
-    """Order lines of online orders with their dimension keys (NULL when a dimension row is missing)."""
+def fact_internet_sales(
+    tables: Tables,
+    unique: Collection[str] = (),
+    wide: bool = False,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Order lines of online orders with their dimension keys (NULL when a dimension row is missing).
+
+    A key lookup never adds or drops a line, so with ``columns`` only the lookups behind
+    the requested columns run.
+    """
     detail, header = tables["sales_salesorderdetail"], tables["sales_salesorderheader"]
-    orders = _online_headers(
-        tables,
-        ["OrderDate", "DueDate", "ShipDate", "RevisionNumber", "CustomerID", "TerritoryID"],
-        unique,
-    )
-    orders = lookup_join(
-        orders, _known(tables, "sales_customer", "CustomerID", "CustomerKey", unique),
-        "CustomerID", "CustomerKey", hot_source=header,
-    )
-    orders = lookup_join(
-        orders, _known(tables, "sales_salesterritory", "TerritoryID", "SalesTerritoryKey", unique),
-        "TerritoryID", "SalesTerritoryKey", hot_source=header,
-    )
-    lines = _lines(
-        tables, ["ProductID", "SpecialOfferID", "OrderQty", "UnitPrice", "UnitPriceDiscount"], unique
-    ).where((F.col("OrderQty") > 0) & (F.col("UnitPrice") > 0))
+    schema = gold_schema("FactInternetSales", wide)
+    if columns is not None:
+        schema = StructType([schema[c] for c in columns])
+
+    def keyed(rows: DataFrame, table: str, key: str, alias: str, source: DataFrame) -> DataFrame:
+        if alias not in schema.names:
+            return rows
+        return lookup_join(rows, _known(tables, table, key, alias, unique), key, alias, hot_source=source)
+
+    orders = _online_headers(tables, ["ShipDate"], unique)
+    orders = keyed(orders, "sales_customer", "CustomerID", "CustomerKey", header)
+    orders = keyed(orders, "sales_salesterritory", "TerritoryID", "SalesTerritoryKey", header)
+    lines = _lines(tables, [], unique).where((F.col("OrderQty") > 0) & (F.col("UnitPrice") > 0))
     sales = lookup_join(lines, orders, "SalesOrderID", "OrderKey", "inner", hot_source=detail)
-    sales = lookup_join(
-        sales, _known(tables, "production_product", "ProductID", "ProductKey", unique),
-        "ProductID", "ProductKey", hot_source=detail,
-    )
-    sales = lookup_join(
-        sales, _known(tables, "sales_specialoffer", "SpecialOfferID", "PromotionKey", unique),
-        "SpecialOfferID", "PromotionKey", hot_source=detail,
-    )
+    sales = keyed(sales, "production_product", "ProductID", "ProductKey", detail)
+    sales = keyed(sales, "sales_specialoffer", "SpecialOfferID", "PromotionKey", detail)
     rows = sales.withColumnsRenamed(
         {"OrderDate": "OrderDateKey", "DueDate": "DueDateKey", "ShipDate": "ShipDateKey"}
     ).withColumn(
         "LineTotal", line_total_gold(F.col("UnitPrice"), F.col("UnitPriceDiscount"), F.col("OrderQty"))
     )
-    return _finish(rows, "FactInternetSales", wide)
+    return require_schema(conform(rows, schema), schema, exact_difference, "FactInternetSales")
 
 
 def one_big_table(
@@ -316,13 +322,7 @@ def one_big_table(
 ) -> DataFrame:
     """Online order lines with order amounts, product names, territory and customer name."""
     detail, header = tables["sales_salesorderdetail"], tables["sales_salesorderheader"]
-    orders = _online_headers(
-        tables,
-        list(dict.fromkeys(
-            ["OrderDate", "DueDate", "SubTotal", "TaxAmt", "Freight", "TotalDue", "TerritoryID", "CustomerID", person_on]
-        )),
-        unique,
-    )
+    orders = _online_headers(tables, ["SubTotal", "TaxAmt", "Freight", "TotalDue", person_on], unique)
     territory = _prefixed(_latest(tables, "sales_salesterritory", "TerritoryID", ["Name"], unique), "t_")
     person = _prefixed(_latest(tables, "person_person", "BusinessEntityID", ["FirstName", "LastName"], unique), "p_")
     orders = lookup_join(orders, territory, "TerritoryID", "t_TerritoryID", hot_source=header)
@@ -337,7 +337,7 @@ def one_big_table(
         "s_ProductSubcategoryID",
         hot_source=tables["production_product"],
     ).withColumnRenamed("ProductID", "ProductKey")
-    lines = _lines(tables, ["ProductID", "LineTotal", "OrderQty", "UnitPrice", "UnitPriceDiscount"], unique)
+    lines = _lines(tables, ["LineTotal"], unique)
     sales = lookup_join(lines, orders, "SalesOrderID", "OrderKey", "inner", hot_source=detail)
     sales = lookup_join(sales, product, "ProductID", "ProductKey", hot_source=detail)
     rows = sales.withColumns(

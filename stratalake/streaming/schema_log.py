@@ -2,23 +2,47 @@
 
 from __future__ import annotations
 
+import csv
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratalake.operators.schema import SchemaMismatch
 
+TYPE_SAMPLE_FILES = 1000
 
-def discover(spark: SparkSession, path: str, file_format: str, sampling: float = 1.0) -> StructType:
-    """Schema of the files at ``path``: Parquet footers, or CSV header and values."""
-    reader = spark.read.format(file_format)
+
+def discover(spark: SparkSession, path: str, file_format: str) -> StructType:
+    """Schema of the files at ``path``: Parquet footers, or CSV headers and values."""
     if file_format == "csv":
-        reader = reader.option("header", True).option("inferSchema", True).option("samplingRatio", sampling)
-    else:
-        reader = reader.option("mergeSchema", True)
-    return reader.load(path).schema
+        return _discover_csv(spark, path)
+    return spark.read.format(file_format).option("mergeSchema", True).load(path).schema
+
+
+def _discover_csv(spark: SparkSession, path: str) -> StructType:
+    """The widest header, with types inferred from up to ``TYPE_SAMPLE_FILES`` files that have it.
+
+    CSV values are read by position, so every other header must be the beginning of it.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    headers = [next(csv.reader([r.header])) for r in first.select("header").distinct().collect()]
+    widest = max(headers, key=len)
+    for header in headers:
+        if header != widest[: len(header)]:
+            raise SchemaMismatch(f"CSV headers {header} and {widest} differ in order")
+    # headers may be quoted differently, so files are matched by their number of columns
+    wide_files = first.where(F.size(F.split("header", ",")) == len(widest)).orderBy("file")
+    sample = [r.file for r in wide_files.select("file").limit(TYPE_SAMPLE_FILES).collect()]
+    return spark.read.option("header", True).option("inferSchema", True).csv(sample or path).schema
 
 
 def widened(known: StructType | None, found: StructType) -> StructType:
@@ -44,15 +68,14 @@ def track(
     path: str,
     log: str,
     file_format: str,
-    sampling: float = 1.0,
 ) -> StructType:
-    """Merge what the files at ``path`` hold into the saved schema and return it.
+    """Merge what the files at ``path`` (usually the newest drop) hold into the saved schema.
 
-    CSV columns are read by position, so a CSV drop may only add columns at the end; any
-    other header order raises ``SchemaMismatch`` instead of reading values into wrong columns.
+    A CSV drop may only add columns at the end; any other header order raises
+    ``SchemaMismatch`` instead of reading values into wrong columns.
     """
     known = load(spark, log)
-    found = discover(spark, path, file_format, sampling)
+    found = discover(spark, path, file_format)
     if file_format == "csv" and known is not None:
         shared = min(len(known.names), len(found.names))
         if known.names[:shared] != found.names[:shared]:
@@ -60,7 +83,7 @@ def track(
     merged = widened(known, found)
     if known is None or merged.names != known.names:
         revision = 0 if known is None else _revisions(spark, log)
-        row: DataFrame = spark.createDataFrame([(revision, merged.json())], "revision int, body string")
+        row = spark.createDataFrame([(revision, merged.json())], "revision int, body string")
         row.write.mode("append").json(log)
     return merged
 
