@@ -17,8 +17,23 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    return planned_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+def kept_rows_bytes(base: DataFrame, extended: DataFrame) -> int:
+    """Size of ``extended``, which has the rows of ``base`` with more (or fewer) columns.
+
+    The planner multiplies the sizes of joined tables. Left joins with unique lookups keep
+    the number of rows, so their result is the base scaled by the width of a row.
+    """
+    return planned_bytes(base) * _row_width(extended) // _row_width(base)
+
+
+def _row_width(df: DataFrame) -> int:
+    width = {"string": 20, "int": 4, "smallint": 2, "boolean": 1, "date": 4}
+    return 8 + sum(width.get(f.dataType.simpleString(), 16 if "decimal" in f.dataType.simpleString() else 8) for f in df.schema)
+
+
+def fits_broadcast(df: DataFrame, limit: int | None = None, known_bytes: int | None = None) -> bool:
+    size = planned_bytes(df) if known_bytes is None else known_bytes
+    return size <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def hot_values(source: DataFrame, key: str, share: float = HOT_SHARE):
@@ -54,7 +69,7 @@ def salted_join(
     source = hot_source if hot_source is not None else big
     # lookup and big sides read the same array; Spark runs the subquery once
     hot = hot_values(source, big_key)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    row_hash = F.xxhash64(*big.columns)
     spread = F.col(big_key).isNull() | F.array_contains(hot, F.col(big_key))
     left = big.withColumn(
         _SALT, F.when(spread, F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0))
@@ -63,11 +78,7 @@ def salted_join(
     right = lookup.withColumn(
         f"{_SALT}s",
         F.when(F.array_contains(hot, F.col(lookup_key)), every_salt).otherwise(F.array(F.lit(0))),
-    ).select(
-        F.col(f"`{lookup_key}`").alias(_KEY),
-        F.explode(f"{_SALT}s").alias(f"{_SALT}r"),
-        *[F.col(f"`{c}`") for c in lookup.columns],
-    )
+    ).select(F.col(f"`{lookup_key}`").alias(_KEY), F.explode(f"{_SALT}s").alias(f"{_SALT}r"), *lookup.columns)
     joined = left.join(right, (F.col(big_key) == F.col(_KEY)) & (F.col(_SALT) == F.col(f"{_SALT}r")), how)
     return joined.drop(_SALT, _KEY, f"{_SALT}r")
 
@@ -80,17 +91,19 @@ def lookup_join(
     how: str = "left",
     hot_source: DataFrame | None = None,
     broadcast_bytes: int | None = None,
+    lookup_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with ``lookup``: broadcast when the lookup is small, salted otherwise.
 
     ``hot_source`` is the cheapest table that holds ``big_key`` with the same distribution
     (usually the raw scan); hot keys are found there instead of re-running ``big``.
+    ``lookup_bytes`` is the size of the lookup where the caller knows better than the planner.
     Column names of the two sides must differ.
     """
     shared = set(big.columns) & set(lookup.columns)
     if shared:
         raise ValueError(f"rename before joining: {sorted(shared)}")
-    if fits_broadcast(lookup, broadcast_bytes):
+    if fits_broadcast(lookup, broadcast_bytes, lookup_bytes):
         return big.join(F.broadcast(lookup), F.col(big_key) == F.col(lookup_key), how)
     return salted_join(big, lookup, big_key, lookup_key, how, hot_source)
 

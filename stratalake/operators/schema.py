@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 
@@ -31,7 +30,7 @@ def wide_keys(schema: StructType) -> StructType:
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select, cast and order the declared columns; a value that cannot be cast raises."""
-    return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr([f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
 
 
 def positional_difference(df: DataFrame, schema: StructType) -> str | None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.joins import lookup_join, semi_join
+from stratalake.operators.joins import kept_rows_bytes, lookup_join, semi_join
 from stratalake.sources.files import stamped
 
 
@@ -121,7 +121,8 @@ def race_results(
 ) -> DataFrame:
     """Result lines with year, circuit and driver name (silver tables in, inner joins).
 
-    Races meet their circuits first, at race grain; result lines then make two joins.
+    Races meet their circuits first, at race grain (circuits are unique by id); result lines then
+    make two joins.
     ``hot_source`` is a cheap table with silver's ``race_id`` and ``driver_id`` columns.
     """
     venues = races.select("raceId", "year", "circuitId").join(
@@ -131,7 +132,8 @@ def race_results(
     names = drivers.select(F.col("driver_id").alias("named_driver"), F.col("driverRef").alias("driver_name"))
     lines = results.select("race_id", "driver_id", "position", "bronze_ingestion")
     source = lines if hot_source is None else hot_source
-    joined = lookup_join(lines, venues, "race_id", "raceId", "inner", hot_source=source)
+    size = kept_rows_bytes(races.select("raceId", "year", "circuitId"), venues)
+    joined = lookup_join(lines, venues, "race_id", "raceId", "inner", hot_source=source, lookup_bytes=size)
     joined = lookup_join(joined, names, "driver_id", "named_driver", "inner", hot_source=source)
     return joined.select(
         "race_id", "year", "circuit_name", "driver_id", "driver_name", "position", "bronze_ingestion"

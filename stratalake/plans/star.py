@@ -18,7 +18,7 @@ from stratalake.functions.calendar import calendar_columns
 from stratalake.functions.money import line_total_gold
 from stratalake.functions.values import full_name
 from stratalake.operators.dedup import latest_per_key
-from stratalake.operators.joins import lookup_join
+from stratalake.operators.joins import kept_rows_bytes, lookup_join
 from stratalake.operators.schema import conform, ddl, exact_difference, require_schema, wide_keys
 
 Tables = Mapping[str, DataFrame]
@@ -119,7 +119,7 @@ def _known(tables: Tables, name: str, key: str, alias: str, unique: Collection[s
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select([F.col(f"`{c}`").alias(f"{prefix}{c}") for c in df.columns])
+    return df.toDF(*[f"{prefix}{c}" for c in df.columns])
 
 
 def renamed_dimension(tables: Tables, name: str, unique: Collection[str] = (), wide: bool = False) -> DataFrame:
@@ -201,8 +201,9 @@ def dim_geography(tables: Tables, unique: Collection[str] = (), wide: bool = Fal
     places = states.join(countries, F.col("s_CountryRegionCode") == F.col("c_CountryRegionCode"), "inner")
     address = _latest(tables, "person_address", "AddressID", ["City", "PostalCode", "StateProvinceID"], unique)
     located = lookup_join(
-        address, places, "StateProvinceID", "s_StateProvinceID", "inner", hot_source=tables["person_address"]
-    )
+        address, places, "StateProvinceID", "s_StateProvinceID", "inner",
+        hot_source=tables["person_address"], lookup_bytes=kept_rows_bytes(states, places),
+    )
     rows = located.select(
         F.col("AddressID").alias("GeographyKey"),
         "City",
@@ -213,8 +214,10 @@ def dim_geography(tables: Tables, unique: Collection[str] = (), wide: bool = Fal
     return _finish(rows, "DimGeography", wide)
 
 
-def _product_hierarchy(tables: Tables, unique: Collection[str], unique_category: bool) -> DataFrame:
-    """Subcategories with their category: ``s_...`` and ``c_...`` columns."""
+def _with_hierarchy(
+    product: DataFrame, tables: Tables, unique: Collection[str], unique_category: bool
+) -> DataFrame:
+    """Products with subcategory and category columns ``s_...`` and ``c_...``."""
     subcategory = _prefixed(
         _latest(tables, "production_productsubcategory", "ProductSubcategoryID", ["Name", "ProductCategoryID"], unique),
         "s_",
@@ -223,8 +226,10 @@ def _product_hierarchy(tables: Tables, unique: Collection[str], unique_category:
         category = _latest(tables, "production_productcategory", "ProductCategoryID", ["Name"], unique)
     else:
         category = tables["production_productcategory"].select("ProductCategoryID", "Name")
-    category = _prefixed(category, "c_")
-    return subcategory.join(category, F.col("s_ProductCategoryID") == F.col("c_ProductCategoryID"), "left")
+    rows = lookup_join(
+        product, subcategory, "ProductSubcategoryID", "s_ProductSubcategoryID", hot_source=tables["production_product"]
+    )
+    return lookup_join(rows, _prefixed(category, "c_"), "s_ProductCategoryID", "c_ProductCategoryID")
 
 
 def dim_product(tables: Tables, unique: Collection[str] = (), wide: bool = False) -> DataFrame:
@@ -241,14 +246,8 @@ def dim_product(tables: Tables, unique: Collection[str] = (), wide: bool = False
     )
     model = _prefixed(_latest(tables, "production_productmodel", "ProductModelID", ["Name"], unique), "m_")
     raw = tables["production_product"]
-    joined = lookup_join(
-        product,
-        _product_hierarchy(tables, unique, unique_category=False),
-        "ProductSubcategoryID",
-        "s_ProductSubcategoryID",
-        hot_source=raw,
-    )
-    joined = lookup_join(joined, model, "ProductModelID", "m_ProductModelID", hot_source=raw)
+    joined = lookup_join(product, model, "ProductModelID", "m_ProductModelID", hot_source=raw)
+    joined = _with_hierarchy(joined, tables, unique, unique_category=False)
     rows = joined.select(
         F.col("ProductID").alias("ProductKey"),
         F.col("ProductNumber").alias("ProductAlternateKey"),
@@ -302,11 +301,14 @@ def fact_internet_sales(
             return rows
         return lookup_join(rows, _known(tables, table, key, alias, unique), key, alias, hot_source=source)
 
-    orders = _online_headers(tables, ["ShipDate"], unique)
-    orders = keyed(orders, "sales_customer", "CustomerID", "CustomerKey", header)
+    online = _online_headers(tables, ["ShipDate"], unique)
+    orders = keyed(online, "sales_customer", "CustomerID", "CustomerKey", header)
     orders = keyed(orders, "sales_salesterritory", "TerritoryID", "SalesTerritoryKey", header)
     lines = _lines(tables, [], unique).where((F.col("OrderQty") > 0) & (F.col("UnitPrice") > 0))
-    sales = lookup_join(lines, orders, "SalesOrderID", "OrderKey", "inner", hot_source=detail)
+    sales = lookup_join(
+        lines, orders, "SalesOrderID", "OrderKey", "inner",
+        hot_source=detail, lookup_bytes=kept_rows_bytes(online, orders),
+    )
     sales = keyed(sales, "production_product", "ProductID", "ProductKey", detail)
     sales = keyed(sales, "sales_specialoffer", "SpecialOfferID", "PromotionKey", detail)
     rows = sales.withColumnsRenamed(
@@ -322,24 +324,23 @@ def one_big_table(
 ) -> DataFrame:
     """Online order lines with order amounts, product names, territory and customer name."""
     detail, header = tables["sales_salesorderdetail"], tables["sales_salesorderheader"]
-    orders = _online_headers(tables, ["SubTotal", "TaxAmt", "Freight", "TotalDue", person_on], unique)
+    online = _online_headers(tables, ["SubTotal", "TaxAmt", "Freight", "TotalDue", person_on], unique)
     territory = _prefixed(_latest(tables, "sales_salesterritory", "TerritoryID", ["Name"], unique), "t_")
     person = _prefixed(_latest(tables, "person_person", "BusinessEntityID", ["FirstName", "LastName"], unique), "p_")
-    orders = lookup_join(orders, territory, "TerritoryID", "t_TerritoryID", hot_source=header)
+    orders = lookup_join(online, territory, "TerritoryID", "t_TerritoryID", hot_source=header)
     orders = lookup_join(orders, person, person_on, "p_BusinessEntityID", hot_source=header)
     product = _latest(
         tables, "production_product", "ProductID", ["Name", "ProductNumber", "ProductSubcategoryID"], unique
     )
-    product = lookup_join(
-        product,
-        _product_hierarchy(tables, unique, unique_category=True),
-        "ProductSubcategoryID",
-        "s_ProductSubcategoryID",
-        hot_source=tables["production_product"],
-    ).withColumnRenamed("ProductID", "ProductKey")
+    named = _with_hierarchy(product, tables, unique, unique_category=True).withColumnRenamed("ProductID", "ProductKey")
     lines = _lines(tables, ["LineTotal"], unique)
-    sales = lookup_join(lines, orders, "SalesOrderID", "OrderKey", "inner", hot_source=detail)
-    sales = lookup_join(sales, product, "ProductID", "ProductKey", hot_source=detail)
+    sales = lookup_join(
+        lines, orders, "SalesOrderID", "OrderKey", "inner",
+        hot_source=detail, lookup_bytes=kept_rows_bytes(online, orders),
+    )
+    sales = lookup_join(
+        sales, named, "ProductID", "ProductKey", hot_source=detail, lookup_bytes=kept_rows_bytes(product, named)
+    )
     rows = sales.withColumns(
         {
             "ProductName": F.col("Name"),

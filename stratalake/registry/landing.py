@@ -236,8 +236,14 @@ class Landing(Mapping[str, DataFrame]):
 
     def __init__(self, spark: SparkSession, sf_dir: str, texts: Mapping[str, str], computed: bool = False):
         self._spark, self._dir, self._texts, self._computed = spark, sf_dir, texts, computed
+        self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def _build(self, name: str) -> DataFrame:
         df = derived(self._spark, self._dir, self._texts[name])
         if "TerritoryGroup" in df.columns:
             df = df.withColumnRenamed("TerritoryGroup", "Group")

@@ -326,11 +326,14 @@ _VIEW_FACT = [
 @query
 def vw_internet_sales(spark, sf):
     tables = sales_staged(spark, sf)
+    product = star.dim_product(tables, wide=True)
     return reports.internet_sales_view(
         star.fact_internet_sales(tables, wide=True, columns=_VIEW_FACT),
-        star.dim_product(tables, wide=True),
+        product,
         star.dim_date(tables),
         hot_source=tables["sales_salesorderdetail"].select(F.col("ProductID").alias("LineProductKey")),
+        # the derived categories are unique, so the dimension has one row per product
+        product_bytes=joins.kept_rows_bytes(tables["production_product"].select("ProductID", "Name"), product),
     )
 
 
