@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_RANK = "__rank"
+
 
 def latest_per_key(
     df: DataFrame,
@@ -18,14 +20,14 @@ def latest_per_key(
 
     Equal order values are settled by ``tie_break`` and then by every other column, left to
     right, larger first, missing last, so the result does not depend on how the input is
-    partitioned. It is an aggregate, the greatest struct (order, ties, rest) per key, rather than
-    ``row_number() = 1``: each map task reduces its rows to one per key before the
-    shuffle, so a key that holds a third of the table arrives as one row per map task, and
-    both sides sort by the key alone.
+    partitioned. ``row_number() = 1`` directly above the window lets Spark run a
+    WindowGroupLimit on both sides of the shuffle: each map task sends at most one row per
+    key, so a key that holds a third of the table arrives as one row per map task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
-    ranked = list(dict.fromkeys([*order, *tie_break, *df.columns]))
-    fields = ", ".join(f"`{c}`" for c in ranked if c not in keys)
-    newest = df.groupBy(*keys).agg(F.expr(f"max(struct({fields}))").alias("__newest"))
-    return newest.selectExpr([f"`{c}`" if c in keys else f"__newest.`{c}`" for c in df.columns])
+    ranked = [c for c in dict.fromkeys([*order, *tie_break, *df.columns]) if c not in keys]
+    ranking = ", ".join(f"`{c}` DESC NULLS LAST" for c in ranked)
+    grouping = ", ".join(f"`{c}`" for c in keys)
+    rank = F.expr(f"row_number() OVER (PARTITION BY {grouping} ORDER BY {ranking})")
+    return df.withColumn(_RANK, rank).where(f"{_RANK} = 1").drop(_RANK)
