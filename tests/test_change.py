@@ -1,0 +1,109 @@
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from stratalake.operators import change
+from stratalake.operators.schema import SchemaMismatch
+from stratalake.sources import sinks
+
+
+@pytest.fixture
+def people(spark):
+    return spark.createDataFrame([("Alice", 30), ("Bob", 25), ("Carol", 40), (None, 1)], "nome string, idade int")
+
+
+def test_insert_update_delete(spark, people):
+    more = spark.createDataFrame([(22, "Daniel"), (33, "Eva")], "idade int, nome string")
+    table = change.insert_rows(people, more)
+    table = change.update_where(table, "nome = 'Bob'", {"idade": F.lit(28)})
+    table = change.delete_where(table, F.col("nome") == "Alice")
+    assert rows(table) == [("Bob", 28), ("Carol", 40), ("Daniel", 22), ("Eva", 33), (None, 1)]
+    assert table.schema["idade"].dataType.simpleString() == "int"
+
+
+def test_merge_null_keys_and_new_columns(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "id int, v string")
+    source = spark.createDataFrame([("B", 2, 9), ("C", 3, 9), ("N", None, 9)], "v string, id int, extra int")
+    want = [(1, "a", None), (2, "B", 9), (3, "C", 9), (None, "N", 9), (None, "n", None)]
+    assert rows(change.merge(target, source, "id")) == want
+    kept = change.merge(target, source, "id", delete_missing="id = 1")
+    assert rows(kept) == want[1:]
+    assert rows(change.merge(target, source, "id", delete_missing=True), "id", "v") == [(2, "B"), (3, "C"), (None, "N")]
+
+
+def test_merge_composite_key_casts_to_target_types(spark):
+    target = spark.createDataFrame([(1, 1, Decimal(1)), (1, 2, Decimal(2))], "a int, b int, v decimal(19,4)")
+    source = spark.createDataFrame([(1, 2, 7)], "a int, b int, v int")
+    got = change.merge(target, source, ["a", "b"])
+    assert got.schema["v"].dataType.simpleString() == "decimal(19,4)"
+    assert rows(got) == [(1, 1, Decimal("1.0000")), (1, 2, Decimal("7.0000"))]
+
+
+def test_merge_rejects_ambiguous_source(spark):
+    target = spark.createDataFrame([(1, "a")], "id int, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "id int, v string")
+    with pytest.raises(change.AmbiguousMerge):
+        change.merge(target, twice, "id")
+    # repeated keys without a match are plain inserts
+    new = spark.createDataFrame([(5, "x"), (5, "y"), (None, "z"), (None, "z")], "id int, v string")
+    assert change.merge(target, new, "id").count() == 5
+    with pytest.raises(ValueError, match="lacks"):
+        change.merge(target, twice.drop("v"), "id")
+
+
+def test_merge_large_source_path(spark, monkeypatch):
+    """The same result without a broadcast."""
+    monkeypatch.setattr("stratalake.operators.joins.BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        target = spark.range(1000).selectExpr("id", "'old' AS v")
+        source = spark.range(500, 1500).selectExpr("id", "'new' AS v")
+        got = change.merge(target, source, "id").groupBy("v").count()
+        assert rows(got) == [("new", 1000), ("old", 500)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_merge_partitions_rewrites_only_touched_folders(spark, folder):
+    import glob
+
+    path = f"{folder}/t"
+    base = spark.range(30).selectExpr("id", "concat('m', id % 3) AS m", "'old' AS v")
+    sinks.write_partitioned(base, path, ["m"])
+    before = set(glob.glob(f"{path}/m=m0/*.parquet") + glob.glob(f"{path}/m=m2/*.parquet"))
+    touched = set(glob.glob(f"{path}/m=m1/*.parquet"))
+    source = spark.createDataFrame([(1, "m1", "new"), (100, "m1", "new")], "id bigint, m string, v string")
+    change.merge_partitions(path, source, "id", "m")
+    assert before <= set(glob.glob(f"{path}/*/*.parquet")) and not touched & set(glob.glob(f"{path}/*/*.parquet"))
+    assert rows(spark.read.parquet(path).groupBy("v").count()) == [("new", 2), ("old", 29)]
+
+
+def test_append_enforces_schema(spark, folder, people):
+    path = sinks.create_table(people, f"{folder}/people")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        sinks.create_table(people, path)
+    bad = spark.createDataFrame([("Zoe", "x")], "nome string, idade string")
+    for wrong in (bad, people.withColumn("more", F.lit(1)), people.drop("idade"), people.withColumn("idade", F.lit(2**40))):
+        with pytest.raises(SchemaMismatch):
+            sinks.append_by_name(wrong, path)
+    assert spark.read.parquet(path).count() == 4
+    sinks.append_by_name(spark.createDataFrame([(32, "Joao")], "idade smallint, nome string"), path)
+    assert ("Joao", 32) in rows(spark.read.parquet(path))
+
+
+def test_overwrite_replaces_schema_and_empty_tables(spark, folder, people):
+    path = sinks.create_empty(spark, f"{folder}/e", "a int, ym string")
+    assert spark.read.parquet(path).schema.simpleString() == "struct<a:int,ym:string>"
+    sinks.overwrite_table(people, path)
+    assert spark.read.parquet(path).columns == ["nome", "idade"]
+
+
+def test_publish_reads_from_itself_and_changes_schema(spark, folder, people):
+    sinks.publish_overwrite(people, "people_published", folder)
+    sinks.publish_overwrite(spark.table("people_published").where("idade > 26"), "people_published", folder)
+    assert spark.table("people_published").count() == 2
+    sinks.publish_overwrite(spark.table("people_published").withColumn("x", F.lit(1)), "people_published", folder)
+    assert spark.table("people_published").columns == ["nome", "idade", "x"]
+    spark.sql("DROP TABLE people_published")
