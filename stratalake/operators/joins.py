@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 10 * 1024**2
 HOT_SHARE = 0.01
+COUNTING_TASKS = 4000
 
 _SALT = "__salt"
 _KEY = "__key"
@@ -36,14 +37,45 @@ def fits_broadcast(df: DataFrame, limit: int | None = None, known_bytes: int | N
     return size <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def hot_values(source: DataFrame, key: str, share: float = HOT_SHARE):
-    """Array of every value of ``key`` that may hold at least ``share`` of the rows.
+def hot_salts(source: DataFrame, key: str, pieces: int, share: float = HOT_SHARE) -> Column:
+    """Map from each value of ``key`` that holds at least ``share`` of the rows to its number of salts.
 
-    One column-pruned pass with bounded counters per task (at most ``2 / share`` values
-    leave a task), returned as a scalar subquery so nothing runs before the join does.
-    The array may name values that are not hot, which only costs some salting.
+    A value with a third of the rows gets a third of ``pieces``, so all hot values together
+    get at most ``pieces`` plus one each. Two column-pruned passes: bounded counters name at most
+    ``2 / share`` candidates per task and miss no frequent value, then only the candidates
+    are counted exactly. The map is a scalar subquery: nothing runs before the join does,
+    and the two sides of the join share it.
     """
-    return source.select(key).freqItems([key], share).scalar()
+    keys = source.select(F.col(key).alias("k")).coalesce(COUNTING_TASKS)
+    candidates = keys.freqItems(["k"], share).scalar()
+    counted = keys.groupBy(F.when(F.array_contains(candidates, F.col("k")), F.col("k")).alias("k")).agg(
+        F.count("*").alias("n")
+    )
+    summary = counted.agg(F.sum("n").alias("total"), F.collect_list(F.struct("k", "n")).alias("items"))
+    hot = summary.select(
+        F.expr(
+            f"map_from_entries(transform(filter(items, i -> i.k IS NOT NULL AND i.n >= {share} * total), "
+            f"i -> struct(i.k, CAST(ceil(i.n / total * {pieces}) AS INT))))"
+        )
+    )
+    return hot.scalar()
+
+
+def salted_sides(
+    big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str, hot_source: DataFrame, pieces: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both join sides with a salt: rows of a hot key spread over its salts, its lookup rows repeated per salt."""
+    hot = hot_salts(hot_source, big_key, pieces)
+    salts = F.when(F.col(big_key).isNull(), F.lit(pieces)).otherwise(
+        F.coalesce(F.try_element_at(hot, F.col(big_key)), F.lit(1))
+    )
+    spread = F.pmod(F.xxhash64(*big.columns), salts).cast("int")
+    left = big.withColumn(_SALT, F.when(salts > 1, spread).otherwise(F.lit(0)))
+    copies = F.coalesce(F.try_element_at(hot, F.col(lookup_key)), F.lit(1))
+    right = lookup.select(
+        F.col(lookup_key).alias(_KEY), F.explode(F.sequence(F.lit(0), copies - 1)).alias(f"{_SALT}r"), *lookup.columns
+    )
+    return left, right
 
 
 def salted_join(
@@ -52,35 +84,23 @@ def salted_join(
     big_key: str,
     lookup_key: str,
     how: str,
-    hot_source: DataFrame | None = None,
-    salts: int | None = None,
+    hot_source: DataFrame,
+    pieces: int | None = None,
 ) -> DataFrame:
-    """Join on one key with the rows of hot keys spread over ``salts`` partitions.
+    """Join on one key with the rows of hot keys cut up, the whole table counting ``pieces`` pieces.
 
-    Only the lookup rows of hot keys (a bounded number of keys) are repeated; everything else
-    joins once under salt 0. Rows without a key match nothing, so they are spread as well.
-    ``how`` is ``inner`` or ``left``. The result has the columns of
-    ``big`` followed by those of ``lookup``.
+    The default is four pieces per shuffle partition, so that pieces which meet in one
+    partition still leave the partitions even. Only the lookup rows of hot keys are repeated;
+    everything else joins once under salt 0. Rows without a key match nothing, so they are
+    spread as well. ``how`` is ``inner`` or ``left``. The result has the columns of ``big``
+    followed by those of ``lookup``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
-    spark = big.sparkSession
-    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source = hot_source if hot_source is not None else big
-    # lookup and big sides read the same array; Spark runs the subquery once
-    hot = hot_values(source, big_key)
-    row_hash = F.xxhash64(*big.columns)
-    spread = F.col(big_key).isNull() | F.array_contains(hot, F.col(big_key))
-    left = big.withColumn(
-        _SALT, F.when(spread, F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = lookup.withColumn(
-        f"{_SALT}s",
-        F.when(F.array_contains(hot, F.col(lookup_key)), every_salt).otherwise(F.array(F.lit(0))),
-    ).select(F.col(f"`{lookup_key}`").alias(_KEY), F.explode(f"{_SALT}s").alias(f"{_SALT}r"), *lookup.columns)
-    joined = left.join(right, (F.col(big_key) == F.col(_KEY)) & (F.col(_SALT) == F.col(f"{_SALT}r")), how)
-    return joined.drop(_SALT, _KEY, f"{_SALT}r")
+    pieces = pieces or 4 * int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = salted_sides(big, lookup, big_key, lookup_key, hot_source, pieces)
+    same = (F.col(big_key) == F.col(_KEY)) & (F.col(_SALT) == F.col(f"{_SALT}r"))
+    return left.join(right, same, how).drop(_SALT, _KEY, f"{_SALT}r")
 
 
 def lookup_join(
@@ -96,15 +116,19 @@ def lookup_join(
     """Join ``big`` with ``lookup``: broadcast when the lookup is small, salted otherwise.
 
     ``hot_source`` is the cheapest table that holds ``big_key`` with the same distribution
-    (usually the raw scan); hot keys are found there instead of re-running ``big``.
-    ``lookup_bytes`` is the size of the lookup where the caller knows better than the planner.
-    Column names of the two sides must differ.
+    (usually the raw scan); hot keys are counted there, never by running ``big`` again. Without
+    one, a lookup over the limit is a plain join: adaptive execution broadcasts it if
+    it turns out small and splits skewed partitions otherwise. ``lookup_bytes`` is the size of
+    the lookup where the caller knows better than the planner. Column names of the two
+    sides must differ.
     """
     shared = set(big.columns) & set(lookup.columns)
     if shared:
         raise ValueError(f"rename before joining: {sorted(shared)}")
     if fits_broadcast(lookup, broadcast_bytes, lookup_bytes):
         return big.join(F.broadcast(lookup), F.col(big_key) == F.col(lookup_key), how)
+    if hot_source is None:
+        return big.join(lookup, F.col(big_key) == F.col(lookup_key), how)
     return salted_join(big, lookup, big_key, lookup_key, how, hot_source)
 
 

@@ -131,10 +131,9 @@ def race_results(
     venues = venues.select("raceId", "year", "circuit_name")
     names = drivers.select(F.col("driver_id").alias("named_driver"), F.col("driverRef").alias("driver_name"))
     lines = results.select("race_id", "driver_id", "position", "bronze_ingestion")
-    source = lines if hot_source is None else hot_source
     size = kept_rows_bytes(races.select("raceId", "year", "circuitId"), venues)
-    joined = lookup_join(lines, venues, "race_id", "raceId", "inner", hot_source=source, lookup_bytes=size)
-    joined = lookup_join(joined, names, "driver_id", "named_driver", "inner", hot_source=source)
+    joined = lookup_join(lines, venues, "race_id", "raceId", "inner", hot_source, lookup_bytes=size)
+    joined = lookup_join(joined, names, "driver_id", "named_driver", "inner", hot_source)
     return joined.select(
         "race_id", "year", "circuit_name", "driver_id", "driver_name", "position", "bronze_ingestion"
     )
@@ -175,4 +174,4 @@ def laps_of_years(laps: DataFrame, races: DataFrame, first: int, last: int) -> D
 def laps_with_year(laps: DataFrame, races: DataFrame, first: int, last: int) -> DataFrame:
     """The same laps with the year of their race, for a one-pass export by year."""
     years = races.where(F.col("year").between(first, last)).select(F.col("raceId").alias("race"), "year")
-    return lookup_join(laps, years.distinct(), "raceId", "race", "inner").drop("race")
+    return lookup_join(laps, years.distinct(), "raceId", "race", "inner", hot_source=laps).drop("race")

@@ -695,4 +695,4 @@ def salted_lookup(spark, sf):
     """The hot-key join taken for lookups too large to broadcast, forced on supplier names."""
     lines = source(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
     suppliers = source(spark, sf, "supplier").select("s_suppkey", "s_name")
-    return joins.lookup_join(lines, suppliers, "l_suppkey", "s_suppkey", broadcast_bytes=0)
+    return joins.lookup_join(lines, suppliers, "l_suppkey", "s_suppkey", hot_source=lines, broadcast_bytes=0)

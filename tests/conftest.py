@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         {
+            "spark.driver.memory": "6g",
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

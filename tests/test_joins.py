@@ -24,7 +24,7 @@ def lookup(spark):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_equals_plain(spark, skewed, lookup, how):
     plain = skewed.join(lookup, F.col("k") == F.col("key"), how)
-    salted = joins.lookup_join(skewed, lookup, "k", "key", how, broadcast_bytes=0)
+    salted = joins.lookup_join(skewed, lookup, "k", "key", how, skewed, broadcast_bytes=0)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
 
@@ -32,7 +32,7 @@ def test_salted_equals_plain(spark, skewed, lookup, how):
 def test_salted_keeps_repeated_lookup_rows(spark, skewed, lookup):
     twice = lookup.unionByName(lookup)
     plain = skewed.join(twice, F.col("k") == F.col("key"), "left")
-    assert rows(joins.salted_join(skewed, twice, "k", "key", "left", salts=5)) == rows(plain)
+    assert rows(joins.salted_join(skewed, twice, "k", "key", "left", skewed, pieces=5)) == rows(plain)
 
 
 def test_hot_key_is_spread(spark, skewed, lookup):
@@ -41,7 +41,7 @@ def test_hot_key_is_spread(spark, skewed, lookup):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        joined = joins.lookup_join(skewed, lookup, "k", "key", "left", broadcast_bytes=0)
+        joined = joins.lookup_join(skewed, lookup, "k", "key", "left", skewed, broadcast_bytes=0)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         hot = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
         nulls = joined.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
@@ -53,16 +53,26 @@ def test_hot_key_is_spread(spark, skewed, lookup):
     assert len(hot) > 8 and len(nulls) > 8
 
 
-def test_hot_values_are_never_missed(spark, skewed):
-    found = spark.range(1).select(joins.hot_values(skewed, "k").alias("hot")).first().hot
-    assert 7 in found and len(found) <= 2 / joins.HOT_SHARE
+def test_hot_salts_follow_the_share(spark, skewed):
+    hot = spark.range(1).select(joins.hot_salts(skewed, "k", 300).alias("m")).first().m
+    assert hot == {7: 101}  # 2000 of 6000 rows and a few of its own; nothing else is hot
+    even = spark.range(1000).select((F.col("id") % 500).alias("k"))
+    assert spark.range(1).select(joins.hot_salts(even, "k", 300).alias("m")).first().m == {}
+    empty = skewed.where("v < 0")
+    assert spark.range(1).select(joins.hot_salts(empty, "k", 300).alias("m")).first().m == {}
+
+
+def test_only_hot_lookup_rows_are_repeated(spark, skewed, lookup):
+    left, right = joins.salted_sides(skewed, lookup, "k", "key", skewed, 300)
+    assert left.count() == 6000
+    assert right.count() == 450 + 100
 
 
 def test_broadcast_only_below_the_limit(spark, skewed, lookup):
     assert "BroadcastExchange" in plan_of(joins.lookup_join(skewed, lookup, "k", "key"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        assert "BroadcastExchange" not in plan_of(joins.lookup_join(skewed, lookup, "k", "key", broadcast_bytes=0))
+        assert "BroadcastExchange" not in plan_of(joins.lookup_join(skewed, lookup, "k", "key", hot_source=skewed, broadcast_bytes=0))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -82,3 +92,9 @@ def test_semi_join_does_not_repeat_rows(spark):
     keys = spark.createDataFrame([(1,), (1,), (None,)], "race int")
     got = joins.semi_join(laps, keys, "raceId", "race")
     assert rows(got) == [(1, "a")] and "LeftSemi" in plan_of(got)
+
+
+def test_without_hot_source_the_join_is_plain(spark, skewed, lookup):
+    plain = skewed.join(lookup, F.col("k") == F.col("key"), "left")
+    got = joins.lookup_join(skewed, lookup, "k", "key", broadcast_bytes=0)
+    assert rows(got) == rows(plain) and "__salt" not in got._jdf.queryExecution().optimizedPlan().toString()

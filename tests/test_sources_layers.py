@@ -6,10 +6,11 @@ from conftest import SF, plan_of, rows
 from pyspark.sql import functions as F
 
 from stratalake import session
+from stratalake.operators.schema import SchemaMismatch
 from stratalake.plans import layers, reports
 from stratalake.plans.specs import SILVER
 from stratalake.registry.landing import sales_landing, source
-from stratalake.sources import files, sinks
+from stratalake.sources import catalog, files, sinks
 
 CIRCUITS = 'circuitId,name,alt\n1,"Albert, Park",10\n2,Sepang,\\N\n'
 
@@ -114,3 +115,21 @@ def test_scratch_follows_the_cluster_setting(spark, folder):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
     assert a.startswith(base) and a != b
+
+
+def test_catalog_tables(spark):
+    catalog.create_database(spark, "demo")
+    catalog.create_database(spark, "demo")
+    catalog.create_table(spark.range(3), "demo.t")
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        catalog.create_table(spark.range(3), "demo.t")
+    catalog.replace_table(spark.createDataFrame([("a", 1)], "nome string, idade int"), "demo.t")
+    catalog.append_table(spark.createDataFrame([(2, "b")], "idade int, nome string"), "demo.t")
+    with pytest.raises(SchemaMismatch):
+        catalog.append_table(spark.createDataFrame([("x", "y")], "idade string, nome string"), "demo.t")
+    assert rows(spark.table("demo.t")) == [("a", 1), ("b", 2)]
+    with pytest.raises(Exception, match="SCHEMA_NOT_EMPTY|not empty"):
+        catalog.drop_database(spark, "demo")
+    catalog.drop_table(spark, "demo.t")
+    catalog.drop_database(spark, "demo", cascade=True)
+    assert not spark.catalog.databaseExists("demo")
