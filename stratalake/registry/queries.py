@@ -369,7 +369,8 @@ def year_month(spark, sf):
 @query
 def points_by_driver(spark, sf):
     tables = racing_landing(spark, sf)
-    return racing.points_by_driver(tables["results"], tables["drivers"], tables["constructors"])
+    points = racing.points_by_driver(tables["results"], tables["drivers"], tables["constructors"])
+    return points.withColumn("points_driver", F.col("points_driver").cast("decimal(38,4)"))
 
 
 def _race_rows(spark, sf):
