@@ -4,7 +4,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import SF, rows
+from conftest import SF, plan_of, rows
 from pyspark.sql import functions as F
 
 from stratalake.plans import racing, reports, star
@@ -108,6 +108,8 @@ def test_salted_plans_give_the_same_tables(spark, monkeypatch):
         rows(star.dim_geography(tables, wide=True)),
     ]
     assert small == large
+    plan = plan_of(star.fact_internet_sales(tables, wide=True))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "__salt" in plan
 
 
 def test_unique_tables_skip_deduplication(tables):
