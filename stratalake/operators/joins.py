@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 10 * 1024**2
-HOT_SHARE = 0.01
-COUNTING_TASKS = 4000
+COUNTED_BYTES = 10 * 1024**3
+HOT_PIECES = 8
 
 _SALT = "__salt"
 _KEY = "__key"
@@ -37,43 +37,42 @@ def fits_broadcast(df: DataFrame, limit: int | None = None, known_bytes: int | N
     return size <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def hot_salts(source: DataFrame, key: str, pieces: int, share: float = HOT_SHARE) -> Column:
-    """Map from each value of ``key`` that holds at least ``share`` of the rows to its number of salts.
+def hot_keys(source: DataFrame, key: str, pieces: int) -> DataFrame:
+    """Hot values of ``key`` (column ``__hot``) with their number of salts (``__salts``).
 
-    A value with a third of the rows gets a third of ``pieces``, so all hot values together
-    get at most ``pieces`` plus one each. Two column-pruned passes: bounded counters name at most
-    ``2 / share`` candidates per task and miss no frequent value, then only the candidates
-    are counted exactly. The map is a scalar subquery: nothing runs before the join does,
-    and the two sides of the join share it.
+    A value gets as many salts as it would fill of ``pieces`` even pieces of the table, and is
+    hot from ``HOT_PIECES`` on, so at most ``pieces / (HOT_PIECES - 1)`` rows result. Counting is a
+    partial and a final aggregation over the key column alone. When that column is larger than
+    ``COUNTED_BYTES`` a seeded sample of it is counted: a hot value still has thousands of
+    rows in it, and the counts only decide where salts go, never which rows are joined.
     """
-    keys = source.select(F.col(key).alias("k")).coalesce(COUNTING_TASKS)
-    candidates = keys.freqItems(["k"], share).scalar()
-    counted = keys.groupBy(F.when(F.array_contains(candidates, F.col("k")), F.col("k")).alias("k")).agg(
-        F.count("*").alias("n")
+    keys = source.select(F.col(key).alias("k"))
+    fraction = COUNTED_BYTES / max(1, planned_bytes(keys))
+    if fraction < 1:
+        keys = keys.sample(fraction, seed=17)
+    counted = keys.groupBy("k").agg(F.count("*").alias("n"))
+    total = counted.agg(F.sum("n")).scalar()
+    salts = F.ceil(F.col("n") / total * pieces).cast("int")
+    return (
+        counted.where("k IS NOT NULL")
+        .select(F.col("k").alias("__hot"), salts.alias("__salts"))
+        .where(F.col("__salts") >= HOT_PIECES)
     )
-    summary = counted.agg(F.sum("n").alias("total"), F.collect_list(F.struct("k", "n")).alias("items"))
-    hot = summary.select(
-        F.expr(
-            f"map_from_entries(transform(filter(items, i -> i.k IS NOT NULL AND i.n >= {share} * total), "
-            f"i -> struct(i.k, CAST(ceil(i.n / total * {pieces}) AS INT))))"
-        )
-    )
-    return hot.scalar()
 
 
 def salted_sides(
     big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str, hot_source: DataFrame, pieces: int
 ) -> tuple[DataFrame, DataFrame]:
     """Both join sides with a salt: rows of a hot key spread over its salts, its lookup rows repeated per salt."""
-    hot = hot_salts(hot_source, big_key, pieces)
-    salts = F.when(F.col(big_key).isNull(), F.lit(pieces)).otherwise(
-        F.coalesce(F.try_element_at(hot, F.col(big_key)), F.lit(1))
-    )
+    hot = F.broadcast(hot_keys(hot_source, big_key, pieces))
+    salts = F.when(F.col(big_key).isNull(), F.lit(pieces)).otherwise(F.coalesce(F.col("__salts"), F.lit(1)))
     spread = F.pmod(F.xxhash64(*big.columns), salts).cast("int")
-    left = big.withColumn(_SALT, F.when(salts > 1, spread).otherwise(F.lit(0)))
-    copies = F.coalesce(F.try_element_at(hot, F.col(lookup_key)), F.lit(1))
-    right = lookup.select(
-        F.col(lookup_key).alias(_KEY), F.explode(F.sequence(F.lit(0), copies - 1)).alias(f"{_SALT}r"), *lookup.columns
+    left = big.join(hot, F.col(big_key) == F.col("__hot"), "left").select(
+        *big.columns, F.when(salts > 1, spread).otherwise(F.lit(0)).alias(_SALT)
+    )
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
+    right = lookup.join(hot, F.col(lookup_key) == F.col("__hot"), "left").select(
+        F.col(lookup_key).alias(_KEY), F.explode(copies).alias(f"{_SALT}r"), *lookup.columns
     )
     return left, right
 

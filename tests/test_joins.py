@@ -53,13 +53,16 @@ def test_hot_key_is_spread(spark, skewed, lookup):
     assert len(hot) > 8 and len(nulls) > 8
 
 
-def test_hot_salts_follow_the_share(spark, skewed):
-    hot = spark.range(1).select(joins.hot_salts(skewed, "k", 300).alias("m")).first().m
-    assert hot == {7: 101}  # 2000 of 6000 rows and a few of its own; nothing else is hot
+def test_hot_keys_follow_the_share(spark, skewed, monkeypatch):
+    # 2008 of 6000 rows are 101 of 300 pieces; nothing else fills eight
+    assert rows(joins.hot_keys(skewed, "k", 300)) == [(7, 101)]
     even = spark.range(1000).select((F.col("id") % 500).alias("k"))
-    assert spark.range(1).select(joins.hot_salts(even, "k", 300).alias("m")).first().m == {}
-    empty = skewed.where("v < 0")
-    assert spark.range(1).select(joins.hot_salts(empty, "k", 300).alias("m")).first().m == {}
+    assert rows(joins.hot_keys(even, "k", 300)) == []
+    assert rows(joins.hot_keys(skewed.where("v < 0"), "k", 300)) == []
+    size = joins.planned_bytes(skewed.select("k"))
+    monkeypatch.setattr(joins, "COUNTED_BYTES", size // 2)  # counted on a sample
+    [(key, salts)] = rows(joins.hot_keys(skewed, "k", 300))
+    assert key == 7 and 85 < salts < 117
 
 
 def test_only_hot_lookup_rows_are_repeated(spark, skewed, lookup):
@@ -72,7 +75,10 @@ def test_broadcast_only_below_the_limit(spark, skewed, lookup):
     assert "BroadcastExchange" in plan_of(joins.lookup_join(skewed, lookup, "k", "key"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        assert "BroadcastExchange" not in plan_of(joins.lookup_join(skewed, lookup, "k", "key", hot_source=skewed, broadcast_bytes=0))
+        salted = joins.lookup_join(skewed, lookup, "k", "key", hot_source=skewed, broadcast_bytes=0)
+        broadcasts = [line for line in plan_of(salted).split("\n") if "BroadcastHashJoin" in line]
+        assert "SortMergeJoin [k" in plan_of(salted)
+        assert len(broadcasts) == 2 and all("__hot" in line for line in broadcasts)  # hot keys only
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
