@@ -5,10 +5,11 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
+from stratalake.registry import oracles, queries
 from tools.check import TABLES, compare
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in queries.registered()}
+SQL = oracles.sql_by_query()
 
 
 @pytest.fixture(scope="module")
