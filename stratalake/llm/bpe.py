@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from stratalake.llm.common import bound_batches, columns_of, texts_of, worker_cache
+from stratalake.llm.common import bound_batches, columns_of, id_and_text, texts_of, worker_cache
 
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Words that are numbered before the numbering starts anew.
@@ -246,7 +246,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, work, schema: str) -> DataFram
             rows = [work(doc_id, *row) for doc_id, row in zip(ids, encode_texts(texts, encoder))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) if i == 0 else pa.array(c) for i, c in enumerate(zip(*rows))], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return id_and_text(docs).mapInArrow(run, schema)
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -45,6 +45,30 @@ def columns_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in batches if b.num_rows)
 
 
+def id_and_text(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) alone: other columns are not read."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores added if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` by name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def schema_text(df: DataFrame, *more: str) -> str:
+    """The schema of ``df`` as text, with further columns."""
+    own = ("`" + f.name.replace("`", "``") + "` " + f.dataType.simpleString() for f in df.schema)
+    return ", ".join([*own, *more])
+
+
 def same(left: Column, right: Column) -> Column:
     """Equality that also matches null with null."""
     return left.eqNullSafe(right)
@@ -54,7 +78,7 @@ def like_documents(df: DataFrame, docs: DataFrame) -> DataFrame:
     """Columns of ``docs``, in its order and types; ``n_chars`` follows the text if it is there."""
     if "n_chars" in docs.columns:
         df = df.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return df.select(*docs.columns)
+    return df.select(*quoted(docs))
 
 
 def in_fold(doc_id: Column) -> Column:
@@ -66,7 +90,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
     """(doc_id, text, label) of at most ``rows_per_class`` labelled rows of each class, outside the
     held-out fifth, smallest id hash first. The picked ids are bounded by the parameter, so they
     are broadcast and the texts are read in one scan. An id with several labels counts as 1 if any is."""
-    usable = labels.select("doc_id", F.col(label).alias("label")).where(
+    usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~in_fold(F.col("doc_id"))
     )
     one = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -74,5 +98,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
     picked = one.where("label = 1").orderBy(*order).limit(rows_per_class).unionByName(
         one.where("label = 0").orderBy(*order).limit(rows_per_class)
     )
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    return id_and_text(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
+        F.max(F.coalesce("text", F.lit(""))).alias("text"), F.max("label").alias("label")
+    )
+
+
+def one_task(sample: DataFrame, work: Callable, schema: str):
+    """The row that ``work`` makes of a bounded sample in one task (None without rows)."""
+    found = sample.repartition(1).mapInArrow(work, schema).collect()
+    return found[0] if found else None

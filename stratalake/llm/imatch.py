@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bound_batches, columns_of, texts_of
+from stratalake.llm.common import bound_batches, columns_of, id_and_text, texts_of
 
 TERM = re.compile(r"\w+")
 LOW_SHARE, HIGH_SHARE = 0.001, 0.2
@@ -146,7 +146,7 @@ def with_successors(docs: DataFrame, work, schema: str) -> DataFrame:
     followed by the first. Rows of one id follow each other by text hash; null ids come first."""
     spark = docs.sparkSession
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    rows = id_and_text(docs).withColumn("text_hash", F.coalesce(F.xxhash64("text"), F.lit(0)))
     dealt, firsts = ranges(rows.select("doc_id", "text_hash"), count)
     used = sorted(firsts)
     before = {bucket: used[i - 1] for i, bucket in enumerate(used)}

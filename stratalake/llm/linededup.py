@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bound_batches, columns_of, like_documents, materialize, same, texts_of
+from stratalake.llm.common import bound_batches, columns_of, id_and_text, like_documents, materialize, quoted, same, texts_of, unused
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -65,7 +65,7 @@ def line_rows(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 names=["h1", "h2", "doc_id", "text_hash", "pos"],
             )
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, LINE_SCHEMA)
+    return id_and_text(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, LINE_SCHEMA)
 
 
 class Run:
@@ -169,26 +169,26 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     return listed.mapInArrow(pack, "doc_id bigint, text_hash bigint, bitmap binary")
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with a column ``keep_bitmap_`` (null: all lines stay)."""
-    left = docs.withColumn("text_hash_", F.xxhash64("text"))
-    right = bitmaps.select(F.col("doc_id").alias("bitmap_id_"), F.col("text_hash").alias("bitmap_hash_"), F.col("bitmap").alias("keep_bitmap_"))
-    match = same(left["doc_id"], right["bitmap_id_"]) & (left["text_hash_"] == right["bitmap_hash_"])
-    return left.join(right, match, "left").select(*docs.columns, "keep_bitmap_")
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column for the bitmap (null: all lines stay), and its name."""
+    names = [unused(docs, name) for name in ("bitmap_id_", "bitmap_hash_", "keep_bitmap_")]
+    right = bitmaps.select("doc_id", "text_hash", "bitmap").toDF(*names)
+    match = same(F.col("doc_id").cast("bigint"), F.col(names[0])) & (F.xxhash64("text") == F.col(names[1]))
+    return docs.join(right, match, "left").select(*quoted(docs), names[2]), names[2]
 
 
 def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the texts that stay; texts that lose nothing (null ones too) are unchanged, and
     ``n_chars`` follows the text. A text that loses all its lines becomes empty; its row stays."""
     bound_batches(docs.sparkSession)
-    marked = with_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
+    marked, bitmap = with_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
 
     def run(batches):
         for batch in columns_of(batches):
-            texts, maps = batch.column("text").to_pylist(), batch.column("keep_bitmap_").to_pylist()
+            texts, maps = batch.column("text").to_pylist(), batch.column(bitmap).to_pylist()
             new = [t if m is None else kept_lines(t or "", m)[0] for t, m in zip(texts, maps)]
             at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, "text", pa.array(new, pa.string())).drop_columns(["keep_bitmap_"])
+            yield batch.set_column(at, "text", pa.array(new, pa.string())).drop_columns([bitmap])
 
     return like_documents(marked.mapInArrow(run, docs.schema), docs)
 
@@ -196,11 +196,11 @@ def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
 def dropped_digests(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) of each row, from its text and its bitmap."""
     bound_batches(docs.sparkSession)
-    marked = with_bitmaps(docs.select("doc_id", "text"), keep_bitmaps(docs, min_chars, min_docs))
+    marked, bitmap = with_bitmaps(id_and_text(docs), keep_bitmaps(docs, min_chars, min_docs))
 
     def run(batches):
         for batch in columns_of(batches):
-            rows = [kept_lines(t, m) for t, m in zip(texts_of(batch), batch.column("keep_bitmap_").to_pylist())]
+            rows = [kept_lines(t, m) for t, m in zip(texts_of(batch), batch.column(bitmap).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

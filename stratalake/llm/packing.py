@@ -2,7 +2,7 @@
 
 Documents become pieces of at most ``capacity`` tokens. The pieces are dealt to groups of bounded
 size by salted row number, and each group packs by best-fit decreasing. Dual feasible functions give
-a lower bound on the bins of each group; a group that meets its bound is proven optimal and is done.
+a lower bound on the bins of each group; a group that meets its bound exactly is proven optimal and is done.
 The others release the pieces of their emptiest bins, which meet in fewer groups and are packed
 again, until no group has a gap or one group is left.
 """
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bound_batches, columns_of, materialize, texts_of, worker_cache
+from stratalake.llm.common import bound_batches, columns_of, id_and_text, materialize, schema_text, texts_of, worker_cache
 
 CAPACITY = 1024
 END_ID = 2
@@ -70,7 +70,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECE_SCHEMA)
+    return id_and_text(docs).mapInArrow(run, PIECE_SCHEMA)
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,34 +96,36 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, np.array(room, np.int64)
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Bins that any packing needs: the largest bound of two families of dual feasible functions, by length counts.
+def bin_bounds(lengths: np.ndarray, capacity: int) -> tuple[int, float]:
+    """Bins that any packing needs, and the same before rounding up: the largest bounds of two families of
+    dual feasible functions, by length counts.
 
     The first counts pieces above ``capacity - e`` as full, those below ``e`` as nothing and the rest
     by length (``e`` = 0: all by length); the second rounds ``(k + 1) x`` down to multiples of the capacity.
     """
     counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     size = np.arange(capacity + 1, dtype=np.int64)
-    best = 0
+    whole, exact = 0, 0.0
     for e in range(0, capacity // 2 + 1):
-        value = np.where(size > capacity - e, capacity, np.where(size >= e, size, 0))
-        best = max(best, -(-int(counts @ value) // capacity))
+        total = int(counts @ np.where(size > capacity - e, capacity, np.where(size >= e, size, 0)))
+        whole, exact = max(whole, -(-total // capacity)), max(exact, total / capacity)
     for k in range(1, 21):
         scaled = (k + 1) * size
-        whole = scaled % capacity == 0
-        value = np.where(whole, size * k, scaled // capacity * capacity)  # times k, to stay whole numbers
-        best = max(best, -(-int(counts @ value) // (capacity * k)))
-    return best
+        values = np.where(scaled % capacity == 0, size * k, scaled // capacity * capacity)  # times k, to stay whole numbers
+        total = int(counts @ values)
+        whole, exact = max(whole, -(-total // (capacity * k))), max(exact, total / (capacity * k))
+    return whole, exact
 
 
 def pack_group(lengths: np.ndarray, capacity: int, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bin, offset, released) of each piece. A group whose bins exceed its bound releases its emptiest
-    bins and as many full ones to mix with, unless it is the last."""
+    """(bin, offset, released) of each piece. A group whose bins exceed its bound releases its emptiest bins,
+    unless it is the last. The bound before rounding counts: groups that each meet the rounded one may
+    still waste part of a bin each."""
     bins, room = best_fit_decreasing(lengths, capacity)
-    gap = len(room) - lower_bound(lengths, capacity)
+    gap = len(room) - bin_bounds(lengths, capacity)[1]
     released = np.zeros(len(room), bool)
-    if gap and not last:
-        released[np.argsort(-room, kind="stable")[: gap + RELEASED_BINS]] = True
+    if gap > 1e-9 and not last:
+        released[np.argsort(-room, kind="stable")[: int(np.ceil(gap)) + RELEASED_BINS]] = True
         released &= room > 0
     order = np.argsort(bins, kind="stable")
     ends = np.cumsum(lengths[order])
@@ -152,8 +154,9 @@ def packer(capacity: int, turn: int, last: bool):
 def pack(items: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``items`` (any columns, ``length`` from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
-    Each row is placed once, repeated rows too. Lengths outside the range fail. Empty input: empty result.
+    Each row is placed once, repeated rows too; columns that have the names of the new ones are replaced. Lengths outside the range fail. Empty input: empty result.
     """
+    items = items.drop("sequence_id", "offset", "released_", "group_")
     columns = items.columns
     left, settled, turn = materialize(items, "pieces"), None, 0
     while True:
@@ -163,7 +166,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_P
         # numbers of a written table's rows do not change when a task runs again
         salted = left.withColumn("group_", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
-        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema), "sequence_id bigint, offset bigint, released_ boolean"])
+        schema = schema_text(left, "sequence_id bigint", "offset bigint", "released_ boolean")
         placed = materialize(salted.groupBy("group_").applyInArrow(packer(capacity, turn, last), schema), "placed")
         done = placed.where("not released_").drop("released_")
         settled = done if settled is None else settled.unionByName(done)

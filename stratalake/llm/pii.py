@@ -16,7 +16,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from stratalake.llm.common import bound_batches, columns_of, like_documents, texts_of, worker_cache
+from stratalake.llm.common import bound_batches, columns_of, id_and_text, like_documents, texts_of, worker_cache
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 EXTRA_KINDS = ("account", "address", "mailbox")
@@ -195,7 +195,7 @@ def find_personal(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *(f"n_{kind}" for kind in BASE_KINDS), "base_sha256", "spans"])
 
     counts = ", ".join(f"n_{kind} bigint" for kind in BASE_KINDS)
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id bigint, {counts}, base_sha256 string, spans string")
+    return id_and_text(docs).mapInArrow(run, f"doc_id bigint, {counts}, base_sha256 string, spans string")
 
 
 def mask_personal(docs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bound_batches, columns_of, in_fold, labelled_sample, texts_of
+from stratalake.llm.common import bound_batches, columns_of, id_and_text, in_fold, labelled_sample, one_task, texts_of
 from stratalake.llm.subwords import Scan, parts
 
 BUCKETS = 1 << 17
@@ -108,7 +108,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
         )
 
     schema = "weights binary, bias double, ones bigint, zeros bigint"
-    model = sample.repartition(1).mapInArrow(run, schema).collect()[0]
+    model = one_task(sample, run, schema)
+    if model is None:
+        return train([])
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~in_fold(F.col("doc_id")))
     share = usable.agg(F.sum("quality").alias("ones"), F.sum(1 - F.col("quality")).alias("zeros")).first()
     shift = 0.0
@@ -133,7 +135,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS
             scores = 1 / (1 + np.exp(-np.clip(log_odds(texts_of(batch), weights, bias), -60, 60)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
 
-    scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double")
+    scored = id_and_text(docs).mapInArrow(run, "doc_id bigint, score double")
     return scored.select(
         "doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
     )

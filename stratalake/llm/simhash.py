@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratalake.llm.common import bound_batches, columns_of, materialize, same, texts_of
+from stratalake.llm.common import bound_batches, columns_of, id_and_text, materialize, quoted, same, texts_of, unused
 from stratalake.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -60,7 +60,7 @@ def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, text_hash, fp) of each row; fp is the fingerprint as a signed long."""
     bound_batches(docs.sparkSession)
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    rows = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
 
     def run(batches):
         for batch in columns_of(batches):
@@ -276,10 +276,11 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int
     text hash). Of equal rows one stays. Columns of ``docs`` unchanged."""
     found = near_duplicates(docs, shingle_words, max_bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first")
-    kept = found.groupBy("root").agg(first).select("first.*")
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-    hashed = docs.withColumn("text_hash_", F.xxhash64("text"))
-    joined = hashed.join(kept, same(F.col("doc_id"), F.col("kept_id")) & same(F.col("text_hash_"), F.col("kept_hash")), "left_semi")
-    order = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    once = joined.withColumn("place_", F.row_number().over(Window.partitionBy("doc_id", "text_hash_").orderBy(order)))
-    return once.where("place_ = 1").select(*docs.columns)
+    kept = found.groupBy("root").agg(first).select("first.doc_id", "first.text_hash")
+    hash_, place = unused(docs, "text_hash_"), unused(docs, "place_")
+    kept = kept.toDF(unused(docs, "kept_id_"), unused(docs, "kept_hash_"))
+    hashed = docs.withColumn(hash_, F.xxhash64("text"))
+    match = same(F.col("doc_id").cast("bigint"), F.col(kept.columns[0])) & same(F.col(hash_), F.col(kept.columns[1]))
+    order = F.xxhash64(*quoted(docs))
+    once = F.row_number().over(Window.partitionBy("doc_id", hash_).orderBy(order))
+    return hashed.join(kept, match, "left_semi").withColumn(place, once).where(F.col(place) == 1).select(*quoted(docs))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bound_batches, columns_of, in_fold, labelled_sample, texts_of
+from stratalake.llm.common import bound_batches, columns_of, id_and_text, in_fold, labelled_sample, one_task, quoted, schema_text, texts_of, unused
 from stratalake.llm.subwords import Scan, parts
 
 BUCKETS = 1 << 18
@@ -296,7 +296,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
         model = dump(*train(rows))
         yield pa.RecordBatch.from_pydict({"model": [model], "ones": [ones], "zeros": [len(rows) - ones]})
 
-    found = sample.repartition(1).mapInArrow(run, "model binary, ones bigint, zeros bigint").collect()[0]
+    found = one_task(sample, run, "model binary, ones bigint, zeros bigint")
+    if found is None:
+        return dump(*train([])), 0.0
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~in_fold(F.col("doc_id")))
     share = usable.agg(F.sum("toxic").alias("ones"), F.sum(1 - F.col("toxic")).alias("zeros")).first()
     if not (found.ones and found.zeros):
@@ -304,9 +306,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     return bytes(found.model), float(np.log(share.ones / share.zeros) - np.log(found.ones / found.zeros))
 
 
-def with_scores(docs: DataFrame, fitted: tuple[bytes, float]) -> DataFrame:
-    """``docs`` with a column ``toxic_score_`` (0 to 1)."""
+def with_scores(docs: DataFrame, fitted: tuple[bytes, float]) -> tuple[DataFrame, str]:
+    """``docs`` with a column of scores from 0 to 1, and its name."""
     bound_batches(docs.sparkSession)
+    name = unused(docs, "toxic_score_")
     model = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def run(batches):
@@ -314,10 +317,9 @@ def with_scores(docs: DataFrame, fitted: tuple[bytes, float]) -> DataFrame:
         tables, network = load(blob)
         for batch in columns_of(batches):
             scores = 1 / (1 + np.exp(-np.clip(log_odds(texts_of(batch), tables, network) + shift, -60, 60)))
-            yield batch.append_column("toxic_score_", pa.array(scores.astype(np.float64)))
+            yield batch.append_column(name, pa.array(scores.astype(np.float64)))
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "toxic_score_ double"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema_text(docs, f"`{name}` double")), name
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
@@ -327,13 +329,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROW
     ``labels`` with a null id or label, or a label other than 0 and 1, are not used; without any
     usable label all scores are one half. A null doc_id counts as held out. Repeated rows are each scored.
     """
-    scored = with_scores(docs.select("doc_id", "text"), fit(docs, labels, rows_per_class))
+    scored, score = with_scores(id_and_text(docs), fit(docs, labels, rows_per_class))
     return scored.select(
-        "doc_id", in_fold(F.col("doc_id")).alias("held_out"), F.col("toxic_score_").alias("score"),
-        F.when(F.col("toxic_score_") >= threshold, 1).otherwise(0).alias("predicted"),
+        "doc_id", in_fold(F.col("doc_id")).alias("held_out"), F.col(score).alias("score"),
+        F.when(F.col(score) >= threshold, 1).otherwise(0).alias("predicted"),
     )
 
 
 def reject_toxic(docs: DataFrame, fitted: tuple[bytes, float], threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more by a model of ``fit``; all columns as they are."""
-    return with_scores(docs, fitted).where(F.col("toxic_score_") < threshold).select(*docs.columns)
+    scored, score = with_scores(docs, fitted)
+    return scored.where(F.col(score) < threshold).select(*quoted(docs))

@@ -1,0 +1,136 @@
+"""The two learned scores: held-out accuracy, gradients against differences, hard rows."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from helpers import clashing, documents, prose
+
+from stratalake.llm import quality, subwords, toxicity
+
+SF = "/root/testdata/sf0.1"
+
+
+def held_out(rows):
+    return [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    return docs.join(labels, "doc_id", "left_semi").select("doc_id", "text"), labels
+
+
+def outcome(scored, labels, name):
+    rows = scored.join(labels, "doc_id").where("held_out").select("score", "predicted", name).collect()
+    score, predicted, label = (np.array(c) for c in zip(*rows))
+    auc = (score[label == 1][:, None] > score[label == 0][None, :]).mean()
+    return auc, (predicted == label).mean()
+
+
+def test_quality_on_the_held_out_fifth(labelled):
+    docs, labels = labelled
+    auc, accuracy = outcome(quality.score_quality(docs, labels), labels, "quality")
+    assert auc > 0.99 and accuracy > 0.98
+
+
+def test_toxicity_on_the_held_out_fifth(labelled):
+    docs, labels = labelled
+    auc, accuracy = outcome(toxicity.score_toxicity(docs, labels), labels, "toxic")
+    assert auc > 0.97 and accuracy > 0.95
+
+
+def test_folds(spark):
+    docs = documents(spark, ["a b c"] * 50 + ["a b c"], [*range(50), None])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id bigint, quality int")
+    rows = quality.score_quality(docs, labels).collect()
+    assert {r.doc_id: r.held_out for r in rows if r.doc_id is not None} == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)}
+    assert [r.held_out for r in rows if r.doc_id is None] == [True]
+
+
+def test_gradients_match_differences():
+    rng = np.random.default_rng(3)
+    network = toxicity.Network(1)
+    network.weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    counts = np.array([32, 32, 5, 1])
+    inputs = rng.normal(0, 1, (counts.sum(), toxicity.INPUTS))
+    ends = np.cumsum(counts)
+    x, mask = toxicity.chosen(inputs, ends - counts, ends)
+    labels, costs = np.array([1.0, 0, 1, 0]), np.ones(4)
+
+    def loss():
+        steps = np.stack([x.transpose(1, 0, 2), x[:, ::-1].transpose(1, 0, 2)], axis=1)
+        s = network.forward(np.matmul(steps, network.weights["inputs"]), mask).astype(np.float64)
+        return (np.logaddexp(0, s) - labels * s).mean()
+
+    found = network.gradients(x, mask, labels, costs)
+    for name, weights in network.weights.items():
+        for place in rng.choice(weights.size, min(6, weights.size), replace=False):
+            flat = weights.reshape(-1)
+            kept = flat[place]
+            flat[place] = kept + 1e-3
+            above = loss()
+            flat[place] = kept - 1e-3
+            below = loss()
+            flat[place] = kept
+            assert found[name].reshape(-1)[place] == pytest.approx((above - below) / 2e-3, rel=0.05, abs=2e-4)
+
+
+def test_every_window_is_scored():
+    for count in (0, 1, 31, 32, 33, 48, 49, 200):
+        starts = toxicity.windows(count)
+        covered = {w for s in starts for w in range(s, min(s + toxicity.WINDOW, count))}
+        assert covered == set(range(count)) and (np.diff(starts) <= toxicity.STRIDE).all()
+
+
+def test_text_scores_match_one_by_one():
+    network, rng = toxicity.Network(4), np.random.default_rng(0)
+    counts = np.array([3, 0, 32, 100, 1, 33])
+    inputs = rng.normal(0, 1, (counts.sum(), toxicity.INPUTS)).astype(np.float32)
+    together = network.text_scores(inputs, counts)[0]
+    ends = np.cumsum(counts)
+    for i, (end, count) in enumerate(zip(ends, counts)):
+        if count:
+            alone = network.text_scores(inputs[end - count : end], counts[i : i + 1])[0][0]
+            assert together[i] == pytest.approx(alone, abs=1e-5)
+        else:
+            assert together[i] == network.weights["bias"][0]
+
+
+def test_scan_words_and_grams():
+    rng = random.Random(3)
+    texts = ["", "  a bb\tccc\n", "dddd", prose(rng, 5000), "a b é🙂", "x" * 3000]
+    for size in (40, 1 << 18):
+        held = list(subwords.parts(texts, size))
+        assert ["".join(p for part in held for i, p in part if i == k) for k in range(len(texts))] == texts
+        assert all(sum(len(p) for _, p in part) <= size + 1 for part in held)
+    scan = subwords.Scan([(0, "abc de abc"), (4, "de f")], (3, 4))
+    assert scan.doc.tolist() == [0, 0, 0, 4, 4] and scan.lengths.tolist() == [3, 2, 3, 2, 1]
+    assert scan.words[0] == scan.words[2] and scan.words[1] == scan.words[3] and len(set(scan.words.tolist())) == 3
+    assert [len(w) for _, w in scan.grams] == [11, 6]  # with one boundary character at each end of a word
+
+
+@pytest.mark.parametrize("operator, label", [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
+def test_hard_rows(spark, operator, label):
+    schema = f"doc_id bigint, {label} int, text string"
+    texts = [None, "", " \n", "word", "x" * 200_000, "word", "🙂 é"] + ["good plain words here"] * 20 + ["vile vile words"] * 20
+    ids = [None, 0, 1, 2, 3, 2, 4, *range(10, 50)]
+    docs = clashing(documents(spark, texts, ids))
+    labels = spark.createDataFrame([(i, int(i >= 30), "t") for i in range(10, 50)] + [(None, 1, "t"), (2, None, "t"), (3, 7, "t"), (11, 0, "t")], schema)
+    rows = operator(docs, labels).collect()
+    assert len(rows) == len(texts) and all(0 <= r.score <= 1 for r in rows)
+    threshold = 0.3 if label == "quality" else 0.5
+    assert all(r.predicted == int(r.score >= threshold) for r in rows)
+    assert operator(documents(spark, []), labels).collect() == []
+    assert {r.score for r in operator(docs, labels.limit(0)).collect()} == {0.5}
+    one_class = operator(docs, labels.where("doc_id < 30")).collect()
+    assert len({r.score for r in one_class}) == 1 and one_class[0].score < 0.5
+
+
+def test_reject_keeps_columns(spark):
+    texts = ["fine words in a row"] * 30 + ["you vile vile thing"] * 30
+    docs = clashing(documents(spark, texts))
+    labels = spark.createDataFrame([(i, int(i >= 30)) for i in range(60)], "doc_id bigint, toxic int")
+    kept = toxicity.reject_toxic(docs, toxicity.fit(docs, labels))
+    assert kept.columns == docs.columns and {r.text for r in kept.collect()} == {texts[0]} and kept.count() == 30
