@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratalake.llm.common import bound_batches, columns_of, id_and_text, materialize, quoted, same, texts_of, unused
+from stratalake.llm.common import bound_batches, columns_of, id_and_text, materialize, quoted, texts_of, unused
 from stratalake.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -277,10 +277,11 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int
     found = near_duplicates(docs, shingle_words, max_bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first")
     kept = found.groupBy("root").agg(first).select("first.doc_id", "first.text_hash")
-    hash_, place = unused(docs, "text_hash_"), unused(docs, "place_")
-    kept = kept.toDF(unused(docs, "kept_id_"), unused(docs, "kept_hash_"))
-    hashed = docs.withColumn(hash_, F.xxhash64("text"))
-    match = same(F.col("doc_id").cast("bigint"), F.col(kept.columns[0])) & same(F.col(hash_), F.col(kept.columns[1]))
+    # a null id becomes a flag beside a number, so that join and window share one partitioning of the texts
+    names = [unused(docs, name) for name in ("named_", "id_", "hash_", "place_")]
+    keys = lambda id_, hash_: [id_.isNotNull(), F.coalesce(id_, F.lit(0).cast("bigint")), hash_]
+    wanted = kept.select(*[k.alias(n) for k, n in zip(keys(F.col("doc_id"), F.col("text_hash")), names)])
+    keyed = docs.withColumns(dict(zip(names, keys(F.col("doc_id").cast("bigint"), F.xxhash64("text")))))
     order = F.xxhash64(*quoted(docs))
-    once = F.row_number().over(Window.partitionBy("doc_id", hash_).orderBy(order))
-    return hashed.join(kept, match, "left_semi").withColumn(place, once).where(F.col(place) == 1).select(*quoted(docs))
+    once = F.row_number().over(Window.partitionBy(*names[:3]).orderBy(order))
+    return keyed.join(wanted, names[:3], "left_semi").withColumn(names[3], once).where(F.col(names[3]) == 1).select(*quoted(docs))

@@ -34,6 +34,8 @@ THRESHOLD = 0.5
 PRIOR_ROWS = 8.0
 #: Windows that the network runs at once.
 BLOCK = 2048
+#: Words whose projected inputs are held at once.
+HELD_WORDS = 1 << 17
 
 
 def slots(scan: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,7 +162,20 @@ class Network:
         return out
 
     def text_scores(self, inputs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(score, first word of the highest window) of each text, from the word inputs of all texts in a row."""
+        """(score, first word of the highest window) of each text, from the word inputs of all texts in a row.
+
+        Texts are taken together up to ``HELD_WORDS`` words, as their projected inputs are the largest arrays here."""
+        ends = np.cumsum(counts)
+        best, place, at = np.empty(len(counts), np.float32), ends - counts, 0
+        while at < len(counts):
+            begin = ends[at] - counts[at]
+            to = max(at + 1, int(np.searchsorted(ends, begin + HELD_WORDS, side="right")))
+            best[at:to], local = self._scores(inputs[begin : ends[to - 1]], counts[at:to])
+            place[at:to] = local + begin
+            at = to
+        return best, place
+
+    def _scores(self, inputs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         flat = self.weights["inputs"].transpose(1, 0, 2).reshape(INPUTS, -1)
         projected = inputs @ flat
         offsets = np.cumsum(counts) - counts
@@ -173,7 +188,8 @@ class Network:
             starts = [windows(int(counts[i])) for i in texts]
             owner = np.repeat(texts, [len(s) for s in starts])
             first = np.concatenate(starts) + offsets[owner]
-            scores = np.concatenate([self._block(projected, first[at : at + BLOCK], counts[owner[at : at + BLOCK]], short) for at in range(0, len(first), BLOCK)])
+            blocks = [slice(at, at + BLOCK) for at in range(0, len(first), BLOCK)]
+            scores = np.concatenate([self._block(projected, first[b], counts[owner[b]], short) for b in blocks])
             order = np.lexsort((-scores, owner))
             top = order[np.flatnonzero(np.diff(owner[order], prepend=-1))]
             best[owner[top]], place[owner[top]] = scores[top], first[top]
