@@ -1,134 +1,63 @@
-"""Equi-joins of a large table with a lookup table, safe against hot keys."""
+"""Equi-joins of a large table with a lookup table.
+
+Joins are plain: adaptive execution broadcasts a lookup by its measured size and splits skewed
+partitions by rows, whatever their values. Salting by hand is for keys that the caller names.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 10 * 1024**2
-COUNTED_BYTES = 10 * 1024**3
-HOT_PIECES = 8
-
 _SALT = "__salt"
 _KEY = "__key"
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Size of the result as Spark's planner bounds it (file sizes, never below the data read)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def hot_values(source: DataFrame, key: str, pieces: int) -> list:
+    """Values of ``key`` that hold at least one in ``pieces`` of the rows, by exact counts.
 
-
-def kept_rows_bytes(base: DataFrame, extended: DataFrame) -> int:
-    """Size of ``extended``, which has the rows of ``base`` with more (or fewer) columns.
-
-    The planner multiplies the sizes of joined tables. Left joins with unique lookups keep
-    the number of rows, so their result is the base scaled by the width of a row.
+    At most ``pieces`` values qualify, so the list is bounded. One scan of the key column with
+    map-side counts; call it once for a column and use the list for all joins on it.
     """
-    return planned_bytes(base) * _row_width(extended) // _row_width(base)
-
-
-def _row_width(df: DataFrame) -> int:
-    width = {"string": 20, "int": 4, "smallint": 2, "boolean": 1, "date": 4}
-    return 8 + sum(width.get(f.dataType.simpleString(), 16 if "decimal" in f.dataType.simpleString() else 8) for f in df.schema)
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None, known_bytes: int | None = None) -> bool:
-    size = planned_bytes(df) if known_bytes is None else known_bytes
-    return size <= (BROADCAST_BYTES if limit is None else limit)
-
-
-def hot_keys(source: DataFrame, key: str, pieces: int) -> DataFrame:
-    """Hot values of ``key`` (column ``__hot``) with their number of salts (``__salts``).
-
-    A value gets as many salts as it would fill of ``pieces`` even pieces of the table, and is
-    hot from ``HOT_PIECES`` on, so at most ``pieces / (HOT_PIECES - 1)`` rows result. Counting is a
-    partial and a final aggregation over the key column alone. When that column is larger than
-    ``COUNTED_BYTES`` a seeded sample of it is counted: a hot value still has thousands of
-    rows in it, and the counts only decide where salts go, never which rows are joined.
-    """
-    keys = source.select(F.col(key).alias("k"))
-    fraction = COUNTED_BYTES / max(1, planned_bytes(keys))
-    if fraction < 1:
-        keys = keys.sample(fraction, seed=17)
-    counted = keys.groupBy("k").agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n")).scalar()
-    salts = F.ceil(F.col("n") / total * pieces).cast("int")
-    return (
-        counted.where("k IS NOT NULL")
-        .select(F.col("k").alias("__hot"), salts.alias("__salts"))
-        .where(F.col("__salts") >= HOT_PIECES)
-    )
-
-
-def salted_sides(
-    big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str, hot_source: DataFrame, pieces: int
-) -> tuple[DataFrame, DataFrame]:
-    """Both join sides with a salt: rows of a hot key spread over its salts, its lookup rows repeated per salt."""
-    hot = F.broadcast(hot_keys(hot_source, big_key, pieces))
-    salts = F.when(F.col(big_key).isNull(), F.lit(pieces)).otherwise(F.coalesce(F.col("__salts"), F.lit(1)))
-    spread = F.pmod(F.xxhash64(*big.columns), salts).cast("int")
-    left = big.join(hot, F.col(big_key) == F.col("__hot"), "left").select(
-        *big.columns, F.when(salts > 1, spread).otherwise(F.lit(0)).alias(_SALT)
-    )
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
-    right = lookup.join(hot, F.col(lookup_key) == F.col("__hot"), "left").select(
-        F.col(lookup_key).alias(_KEY), F.explode(copies).alias(f"{_SALT}r"), *lookup.columns
-    )
-    return left, right
+    counted = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    total = source.count()
+    return [r[0] for r in counted.where(F.col("n") * pieces >= total).select(key).collect()]
 
 
 def salted_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    big_key: str,
-    lookup_key: str,
-    how: str,
-    hot_source: DataFrame,
-    pieces: int | None = None,
+    big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str, how: str, hot: Sequence, salts: int
 ) -> DataFrame:
-    """Join on one key with the rows of hot keys cut up, the whole table counting ``pieces`` pieces.
+    """Join on one key with the rows of the ``hot`` values dealt over ``salts`` salts, row by row.
 
-    The default is four pieces per shuffle partition, so that pieces which meet in one
-    partition still leave the partitions even. Only the lookup rows of hot keys are repeated;
-    everything else joins once under salt 0. Rows without a key match nothing, so they are
-    spread as well. ``how`` is ``inner`` or ``left``. The result has the columns of ``big``
-    followed by those of ``lookup``.
+    Equal rows get different salts too. Only the lookup rows of hot values are repeated; everything
+    else joins once under salt 0. ``how`` is ``inner`` or ``left``. The result has the columns of
+    ``big`` followed by those of ``lookup``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
-    pieces = pieces or 4 * int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left, right = salted_sides(big, lookup, big_key, lookup_key, hot_source, pieces)
+    _require_distinct_names(big, lookup)
+    row = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    left = big.withColumn(_SALT, F.when(F.col(big_key).isin(*hot), row).otherwise(F.lit(0)))
+    last = F.when(F.col(lookup_key).isin(*hot), F.lit(salts - 1)).otherwise(F.lit(0))
+    right = lookup.select(
+        F.col(lookup_key).alias(_KEY), F.explode(F.sequence(F.lit(0), last)).alias(f"{_SALT}r"), *lookup.columns
+    )
     same = (F.col(big_key) == F.col(_KEY)) & (F.col(_SALT) == F.col(f"{_SALT}r"))
     return left.join(right, same, how).drop(_SALT, _KEY, f"{_SALT}r")
 
 
-def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    big_key: str,
-    lookup_key: str,
-    how: str = "left",
-    hot_source: DataFrame | None = None,
-    broadcast_bytes: int | None = None,
-    lookup_bytes: int | None = None,
-) -> DataFrame:
-    """Join ``big`` with ``lookup``: broadcast when the lookup is small, salted otherwise.
-
-    ``hot_source`` is the cheapest table that holds ``big_key`` with the same distribution
-    (usually the raw scan); hot keys are counted there, never by running ``big`` again. Without
-    one, a lookup over the limit is a plain join: adaptive execution broadcasts it if
-    it turns out small and splits skewed partitions otherwise. ``lookup_bytes`` is the size of
-    the lookup where the caller knows better than the planner. Column names of the two
-    sides must differ.
-    """
+def lookup_join(big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str, how: str = "left") -> DataFrame:
+    """Join ``big`` with ``lookup``, without a hint. Column names of the two sides must differ."""
+    _require_distinct_names(big, lookup)
+    return big.join(lookup, F.col(big_key) == F.col(lookup_key), how)
+
+
+def _require_distinct_names(big: DataFrame, lookup: DataFrame) -> None:
     shared = set(big.columns) & set(lookup.columns)
     if shared:
         raise ValueError(f"rename before joining: {sorted(shared)}")
-    if fits_broadcast(lookup, broadcast_bytes, lookup_bytes):
-        return big.join(F.broadcast(lookup), F.col(big_key) == F.col(lookup_key), how)
-    if hot_source is None:
-        return big.join(lookup, F.col(big_key) == F.col(lookup_key), how)
-    return salted_join(big, lookup, big_key, lookup_key, how, hot_source)
 
 
 def semi_join(big: DataFrame, keys: DataFrame, big_key: str, key: str) -> DataFrame:

@@ -3,24 +3,31 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from stratalake.sources.files import file_inventory
+from stratalake.sources.files import file_inventory, union_all
+from stratalake.sources.sinks import current_path, publish_path
 
 TARGET_FILE_BYTES = 256 * 1024**2
 
 
-def table_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of all data files, from the listing alone."""
-    return file_inventory(spark, path).agg(F.sum("length")).first()[0] or 0
+def packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
+    """A session whose scans put files together up to ``target_bytes`` for one task."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", target_bytes)
+    own.conf.set("spark.sql.files.openCostInBytes", 0)
+    own.conf.set("spark.sql.files.minPartitionNum", 1)
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return own
 
 
-def file_count_for(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
-    return max(1, math.ceil(table_bytes(spark, path) / target_bytes))
+def packed(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """The table at ``path`` with one partition for about ``target_bytes`` of files: nothing is shuffled,
+    and the rows of each file stay in order."""
+    return packing_session(spark, target_bytes).read.parquet(path)
 
 
 def compact(
@@ -31,25 +38,25 @@ def compact(
     partition_by: Sequence[str] = (),
 ) -> str:
     """Rewrite the table at ``path`` to ``out`` in files of about ``target_bytes``."""
-    df = spark.read.parquet(path)
     if partition_by:
         # merges each folder's small files and splits a folder that outgrows the target
+        df = spark.read.parquet(path)
         df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(out)
     else:
-        df.repartition(file_count_for(spark, path, target_bytes)).write.parquet(out)
+        packed(spark, path, target_bytes).write.parquet(out)
     return out
 
 
-def cluster(
-    df: DataFrame,
-    columns: str | Sequence[str],
-    files: int,
-    buckets_per_column: int = 64,
-) -> DataFrame:
+def compact_published(spark: SparkSession, root: str, target_bytes: int = TARGET_FILE_BYTES) -> str:
+    """Compact the table that ``root`` points at and switch ``root`` to the new files."""
+    return publish_path(packed(spark, current_path(spark, root), target_bytes), root)
+
+
+def cluster(df: DataFrame, columns: str | Sequence[str], files: int) -> DataFrame:
     """Order the rows so that each output file covers a narrow range of ``columns``.
 
     One column: range partitions of that column. Several: range partitions of a Z-order key,
-    the interleaved bits of each column's quantile bucket. A row hash completes the range
+    the interleaved bits of each column's range. A row hash completes the range
     key, so a value that holds a third of the rows fills several files instead of one
     task; each of those files still has a single value as its minimum and maximum.
     """
@@ -58,41 +65,59 @@ def cluster(
     if len(columns) == 1:
         key = F.col(columns[0])
         return df.repartitionByRange(files, key, spread).sortWithinPartitions(key)
-    key = z_value(df, columns, buckets_per_column)
+    key = z_value(df, columns, bits_for(files, len(columns)))
     ordered = df.withColumns({"__z": key, "__spread": spread})
     return ordered.repartitionByRange(files, "__z", "__spread").sortWithinPartitions("__z").drop("__z", "__spread")
 
 
-def z_value(df: DataFrame, columns: Sequence[str], buckets: int) -> Column:
-    """Interleaved bits of the quantile buckets of ``columns`` (one pass finds the bounds)."""
-    bits = max(1, (buckets - 1).bit_length())
+def bits_for(files: int, columns: int) -> int:
+    """Bits per column that give about four cells for each file."""
+    return max(1, math.ceil((math.log2(max(1, files)) + 2) / columns))
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
+    """Interleaved bits of the ranges that the values of ``columns`` fall into."""
     if bits * len(columns) > 62:
-        raise ValueError("too many columns or buckets for a 64-bit key")
-    steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    measures = [_measure(df, c) for c in columns]
-    bounds = df.agg(
-        *[F.percentile_approx(m, steps, 10_000).alias(f"b{i}") for i, m in enumerate(measures)]
-    ).first()
+        raise ValueError("too many columns or bits for a 64-bit key")
     key = F.lit(0).cast("bigint")
-    for place, measure in enumerate(measures):
-        bucket = F.lit(0).cast("bigint")
-        for bound in sorted(set(bounds[place] or [])):
-            bucket = bucket + F.when(measure >= F.lit(bound), 1).otherwise(0)
+    for place, column in enumerate(columns):
+        bucket = _bucket(F.col(f"`{column}`"), range_borders(df, column, 1 << bits))
         for bit in range(bits):
             taken = F.shiftright(bucket, bit).bitwiseAND(F.lit(1))
             key = key.bitwiseOR(F.shiftleft(taken, bit * len(columns) + place))
     return key
 
 
-def _measure(df: DataFrame, column: str) -> Column:
-    """A number that sorts like the column: text by its first seven bytes."""
-    kind = df.schema[column].dataType
-    value = F.col(f"`{column}`")
-    if isinstance(kind, NumericType):
-        return value.cast("double")
-    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
-        return F.unix_micros(value.cast("timestamp")).cast("double")
-    if isinstance(kind, StringType):
-        prefix = F.rpad(F.substring(F.hex(F.encode(value, "UTF-8")), 1, 12), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    raise TypeError(f"cannot cluster by {column}: {kind.simpleString()}")
+def range_borders(df: DataFrame, column: str, count: int) -> list:
+    """Smallest values of ``count`` range partitions of the column, ascending, without the first.
+
+    Spark's own ranges serve any type it can order, whole values and not a prefix or a rounded number.
+    Only this column is shuffled, and at most ``count`` values reach the driver.
+    """
+    values = df.select(F.col(f"`{column}`").alias("v")).where("v IS NOT NULL")
+    ranges = values.repartitionByRange(count, "v").groupBy(F.spark_partition_id().alias("p")).agg(F.min("v").alias("v"))
+    return [r.v for r in ranges.select("v").distinct().orderBy("v").collect()][1:]
+
+
+def _bucket(value: Column, borders: list) -> Column:
+    """Number of borders at or below the value, by binary search; NULL counts as lowest."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low).cast("bigint")
+        middle = (low + high) // 2
+        return F.when(value < F.lit(borders[middle]), between(low, middle)).otherwise(between(middle + 1, high))
+
+    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(between(0, len(borders)))
+
+
+def layout_report(spark: SparkSession, layouts: Mapping[str, str], condition: Column) -> DataFrame:
+    """One row per layout (name to path): files, bytes, rows that meet the condition, files that hold them."""
+    def one(name: str, path: str) -> DataFrame:
+        total = file_inventory(spark, path).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+        hits = spark.read.parquet(path).where(condition).select(F.col("_metadata.file_path").alias("file"))
+        found = hits.groupBy("file").count().agg(F.count("*").alias("files_hit"), F.coalesce(F.sum("count"), F.lit(0)).alias("rows_hit"))
+        whole = total.withColumns({c: found.select(c).scalar() for c in found.columns})
+        return whole.select(F.lit(name).alias("layout"), "files", "bytes", "files_hit", "rows_hit")
+
+    return union_all(one(name, path) for name, path in layouts.items())

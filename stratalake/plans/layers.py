@@ -8,11 +8,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from stratalake.plans import star
+from stratalake.plans import racing, star
 from stratalake.plans.silver import clean
 from stratalake.plans.specs import SILVER
-from stratalake.sources.files import read_csv, stamped, table_counts
-from stratalake.sources.sinks import overwrite_table
+from stratalake.sources.files import NULL_MARKER, read_csv, stamped, table_counts
+from stratalake.sources.sinks import current_path, publish_path, table_path
 
 PARALLEL_TABLES = 8
 
@@ -29,13 +29,17 @@ def ingest(
     stamp_column: str | None = "bronze_ingestion",
     parallel: int = PARALLEL_TABLES,
 ) -> dict[str, str]:
-    """One target table per landing file; the first failure stops the run with its error."""
+    """One target table per landing file; the first failure stops the run with its error.
+
+    Every table is written to a fresh folder and then switched to, so a run that fails leaves the tables
+    of the last run readable. Returns the folders.
+    """
     def load(item: tuple[str, str]) -> tuple[str, str]:
         name, path = item
         df = read(spark, path)
         if stamp_column:
             df = stamped(df, stamp_column, stamp)
-        return name, overwrite_table(df, f"{target}/{name}")
+        return name, publish_path(df, f"{target}/{name}")
 
     return dict(_each(load, files.items(), parallel))
 
@@ -67,8 +71,8 @@ def build_silver(
 ) -> dict[str, str]:
     """All declared silver tables from their bronze tables."""
     def one(name: str) -> tuple[str, str]:
-        rows = clean(spark.read.parquet(f"{bronze}/{name}"), SILVER[name], stamp, reproducible_ids, wide)
-        return name, overwrite_table(rows, f"{silver}/{name}")
+        landed = spark.read.parquet(current_path(spark, f"{bronze}/{name}"))
+        return name, publish_path(clean(landed, SILVER[name], stamp, reproducible_ids, wide), f"{silver}/{name}")
 
     return dict(_each(one, list(SILVER), parallel))
 
@@ -98,19 +102,19 @@ def build_gold(
     parallel: int = PARALLEL_TABLES,
 ) -> dict[str, str]:
     """Dimensions and fact from silver, then the daily aggregate from the written gold tables."""
-    tables = {name: spark.read.parquet(f"{silver}/{name}") for name in SILVER}
+    tables = {name: spark.read.parquet(current_path(spark, f"{silver}/{name}")) for name in SILVER}
     plans = gold_plans(tables, wide)
     if wide_table:
         plans["OneBigTable"] = lambda: star.one_big_table(tables, GOLD_UNIQUE, wide)
 
     def one(name: str) -> tuple[str, str]:
-        return name, overwrite_table(plans[name](), f"{gold}/{name}")
+        return name, publish_path(plans[name](), f"{gold}/{name}")
 
     written = dict(_each(one, list(plans), parallel))
     daily = star.agg_product_day(
         spark.read.parquet(written["FactInternetSales"]), spark.read.parquet(written["DimProduct"]), wide
     )
-    written["ft_agg_product_day"] = overwrite_table(daily, f"{gold}/ft_agg_product_day")
+    written["ft_agg_product_day"] = publish_path(daily, f"{gold}/ft_agg_product_day")
     return written
 
 
@@ -132,12 +136,41 @@ def run_layers(
     return build_gold(spark, f"{dst}/silver", f"{dst}/gold", wide)
 
 
+RACING_TABLES = ("results", "races", "circuits", "drivers", "constructors", "constructor_results")
+
+
+def run_racing(spark: SparkSession, files: Mapping[str, str], dst: str, stamp: Column | None = None) -> dict[str, str]:
+    """Racing tables from CSV files, whose missing values read ``\\N``, to silver and gold; returns the gold folders."""
+    bronze = ingest(
+        spark, {name: files[name] for name in RACING_TABLES}, f"{dst}/bronze",
+        lambda s, path: read_csv(s, path, infer=True, null_marker=NULL_MARKER), stamp=stamp,
+    )
+    raw = {name: spark.read.parquet(path) for name, path in bronze.items()}
+    plans = {
+        "results": lambda: racing.silver_results(raw["results"], racing.driver_positions(raw["results"]), stamp),
+        "races": lambda: racing.silver_races(raw["races"], stamp),
+        "circuits": lambda: racing.silver_circuits(raw["circuits"]),
+        "drivers": lambda: racing.silver_drivers(raw["drivers"], stamp),
+        "constructors": lambda: racing.silver_constructors(raw["constructors"], stamp),
+        "constructor_results": lambda: racing.silver_constructor_results(raw["constructor_results"], stamp),
+    }
+    paths = dict(_each(lambda name: (name, publish_path(plans[name](), f"{dst}/silver/{name}")), list(plans), PARALLEL_TABLES))
+    silver = {name: spark.read.parquet(path) for name, path in paths.items()}
+    gold = {
+        "race_results": racing.race_results(silver["results"], silver["races"], silver["circuits"], silver["drivers"]),
+        "points_by_driver": racing.points_by_driver(raw["results"], raw["drivers"], raw["constructors"]),
+    }
+    return {name: publish_path(rows, f"{dst}/gold/{name}") for name, rows in gold.items()}
+
+
 def verify_tables(spark: SparkSession, root: str, names: Iterable[str]) -> DataFrame:
     """Row count of every listed table; a table that does not exist is reported, not skipped."""
     found: dict[str, DataFrame | None] = {}
     for name in names:
         try:
-            found[name] = spark.read.parquet(f"{root}/{name}")
-        except AnalysisException:
+            found[name] = spark.read.parquet(table_path(spark, f"{root}/{name}"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             found[name] = None
     return table_counts(found)

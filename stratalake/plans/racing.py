@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.joins import kept_rows_bytes, lookup_join, semi_join
+from stratalake.operators.joins import lookup_join, semi_join
 from stratalake.sources.files import stamped
 
 
@@ -117,13 +117,11 @@ def race_results(
     races: DataFrame,
     circuits: DataFrame,
     drivers: DataFrame,
-    hot_source: DataFrame | None = None,
 ) -> DataFrame:
     """Result lines with year, circuit and driver name (silver tables in, inner joins).
 
     Races meet their circuits first, at race grain (circuits are unique by id); result lines then
     make two joins.
-    ``hot_source`` is a cheap table with silver's ``race_id`` and ``driver_id`` columns.
     """
     venues = races.select("raceId", "year", "circuitId").join(
         circuits.select("circuit_id", "circuit_name"), F.col("circuitId") == F.col("circuit_id"), "inner"
@@ -131,9 +129,8 @@ def race_results(
     venues = venues.select("raceId", "year", "circuit_name")
     names = drivers.select(F.col("driver_id").alias("named_driver"), F.col("driverRef").alias("driver_name"))
     lines = results.select("race_id", "driver_id", "position", "bronze_ingestion")
-    size = kept_rows_bytes(races.select("raceId", "year", "circuitId"), venues)
-    joined = lookup_join(lines, venues, "race_id", "raceId", "inner", hot_source, lookup_bytes=size)
-    joined = lookup_join(joined, names, "driver_id", "named_driver", "inner", hot_source)
+    joined = lookup_join(lines, venues, "race_id", "raceId", "inner")
+    joined = lookup_join(joined, names, "driver_id", "named_driver", "inner")
     return joined.select(
         "race_id", "year", "circuit_name", "driver_id", "driver_name", "position", "bronze_ingestion"
     )
@@ -174,4 +171,4 @@ def laps_of_years(laps: DataFrame, races: DataFrame, first: int, last: int) -> D
 def laps_with_year(laps: DataFrame, races: DataFrame, first: int, last: int) -> DataFrame:
     """The same laps with the year of their race, for a one-pass export by year."""
     years = races.where(F.col("year").between(first, last)).select(F.col("raceId").alias("race"), "year")
-    return lookup_join(laps, years.distinct(), "raceId", "race", "inner", hot_source=laps).drop("race")
+    return lookup_join(laps, years.distinct(), "raceId", "race", "inner").drop("race")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,7 +18,7 @@ from stratalake.functions.calendar import calendar_columns
 from stratalake.functions.money import line_total_gold
 from stratalake.functions.values import full_name
 from stratalake.operators.dedup import latest_per_key
-from stratalake.operators.joins import kept_rows_bytes, lookup_join
+from stratalake.operators.joins import lookup_join
 from stratalake.operators.schema import conform, ddl, exact_difference, require_schema, wide_keys
 
 Tables = Mapping[str, DataFrame]
@@ -186,10 +186,12 @@ def dim_customer(
 def dim_date(tables: Tables) -> DataFrame:
     """One row per order time that occurs; attributes are computed after the distinct."""
     days = tables["sales_salesorderheader"].select(F.col("OrderDate").cast("timestamp").alias("DateKey")).distinct()
-    rows = days.withColumns(
-        {"FullDateAlternateKey": F.col("DateKey"), **calendar_columns(F.col("DateKey"))}
-    )
-    return _finish(rows, "DimDate", False)
+    return _finish(days.withColumns(date_attributes("DateKey")), "DimDate", False)
+
+
+def date_attributes(moment: str) -> dict[str, Column]:
+    """Columns of the date dimension as functions of its key, so that rows which hold the key need no join."""
+    return {"FullDateAlternateKey": F.col(moment), **calendar_columns(F.col(moment))}
 
 
 def dim_geography(tables: Tables, unique: Collection[str] = (), wide: bool = False) -> DataFrame:
@@ -200,10 +202,7 @@ def dim_geography(tables: Tables, unique: Collection[str] = (), wide: bool = Fal
     countries = _prefixed(_latest(tables, "person_countryregion", "CountryRegionCode", ["Name"], unique), "c_")
     places = states.join(countries, F.col("s_CountryRegionCode") == F.col("c_CountryRegionCode"), "inner")
     address = _latest(tables, "person_address", "AddressID", ["City", "PostalCode", "StateProvinceID"], unique)
-    located = lookup_join(
-        address, places, "StateProvinceID", "s_StateProvinceID", "inner",
-        hot_source=tables["person_address"], lookup_bytes=kept_rows_bytes(states, places),
-    )
+    located = lookup_join(address, places, "StateProvinceID", "s_StateProvinceID", "inner")
     rows = located.select(
         F.col("AddressID").alias("GeographyKey"),
         "City",
@@ -226,9 +225,7 @@ def _with_hierarchy(
         category = _latest(tables, "production_productcategory", "ProductCategoryID", ["Name"], unique)
     else:
         category = tables["production_productcategory"].select("ProductCategoryID", "Name")
-    rows = lookup_join(
-        product, subcategory, "ProductSubcategoryID", "s_ProductSubcategoryID", hot_source=tables["production_product"]
-    )
+    rows = lookup_join(product, subcategory, "ProductSubcategoryID", "s_ProductSubcategoryID")
     return lookup_join(rows, _prefixed(category, "c_"), "s_ProductCategoryID", "c_ProductCategoryID")
 
 
@@ -245,8 +242,7 @@ def dim_product(tables: Tables, unique: Collection[str] = (), wide: bool = False
         unique,
     )
     model = _prefixed(_latest(tables, "production_productmodel", "ProductModelID", ["Name"], unique), "m_")
-    raw = tables["production_product"]
-    joined = lookup_join(product, model, "ProductModelID", "m_ProductModelID", hot_source=raw)
+    joined = lookup_join(product, model, "ProductModelID", "m_ProductModelID")
     joined = _with_hierarchy(joined, tables, unique, unique_category=False)
     rows = joined.select(
         F.col("ProductID").alias("ProductKey"),
@@ -291,26 +287,22 @@ def fact_internet_sales(
     A key lookup never adds or drops a line, so with ``columns`` only the lookups behind
     the requested columns run.
     """
-    detail, header = tables["sales_salesorderdetail"], tables["sales_salesorderheader"]
     schema = gold_schema("FactInternetSales", wide)
     if columns is not None:
         schema = StructType([schema[c] for c in columns])
 
-    def keyed(rows: DataFrame, table: str, key: str, alias: str, source: DataFrame) -> DataFrame:
+    def keyed(rows: DataFrame, table: str, key: str, alias: str) -> DataFrame:
         if alias not in schema.names:
             return rows
-        return lookup_join(rows, _known(tables, table, key, alias, unique), key, alias, hot_source=source)
+        return lookup_join(rows, _known(tables, table, key, alias, unique), key, alias)
 
     online = _online_headers(tables, ["ShipDate"], unique)
-    orders = keyed(online, "sales_customer", "CustomerID", "CustomerKey", header)
-    orders = keyed(orders, "sales_salesterritory", "TerritoryID", "SalesTerritoryKey", header)
+    orders = keyed(online, "sales_customer", "CustomerID", "CustomerKey")
+    orders = keyed(orders, "sales_salesterritory", "TerritoryID", "SalesTerritoryKey")
     lines = _lines(tables, [], unique).where((F.col("OrderQty") > 0) & (F.col("UnitPrice") > 0))
-    sales = lookup_join(
-        lines, orders, "SalesOrderID", "OrderKey", "inner",
-        hot_source=detail, lookup_bytes=kept_rows_bytes(online, orders),
-    )
-    sales = keyed(sales, "production_product", "ProductID", "ProductKey", detail)
-    sales = keyed(sales, "sales_specialoffer", "SpecialOfferID", "PromotionKey", detail)
+    sales = lookup_join(lines, orders, "SalesOrderID", "OrderKey", "inner")
+    sales = keyed(sales, "production_product", "ProductID", "ProductKey")
+    sales = keyed(sales, "sales_specialoffer", "SpecialOfferID", "PromotionKey")
     rows = sales.withColumnsRenamed(
         {"OrderDate": "OrderDateKey", "DueDate": "DueDateKey", "ShipDate": "ShipDateKey"}
     ).withColumn(
@@ -323,24 +315,18 @@ def one_big_table(
     tables: Tables, unique: Collection[str] = (), wide: bool = False, person_on: str = "CustomerID"
 ) -> DataFrame:
     """Online order lines with order amounts, product names, territory and customer name."""
-    detail, header = tables["sales_salesorderdetail"], tables["sales_salesorderheader"]
     online = _online_headers(tables, ["SubTotal", "TaxAmt", "Freight", "TotalDue", person_on], unique)
     territory = _prefixed(_latest(tables, "sales_salesterritory", "TerritoryID", ["Name"], unique), "t_")
     person = _prefixed(_latest(tables, "person_person", "BusinessEntityID", ["FirstName", "LastName"], unique), "p_")
-    orders = lookup_join(online, territory, "TerritoryID", "t_TerritoryID", hot_source=header)
-    orders = lookup_join(orders, person, person_on, "p_BusinessEntityID", hot_source=header)
+    orders = lookup_join(online, territory, "TerritoryID", "t_TerritoryID")
+    orders = lookup_join(orders, person, person_on, "p_BusinessEntityID")
     product = _latest(
         tables, "production_product", "ProductID", ["Name", "ProductNumber", "ProductSubcategoryID"], unique
     )
     named = _with_hierarchy(product, tables, unique, unique_category=True).withColumnRenamed("ProductID", "ProductKey")
     lines = _lines(tables, ["LineTotal"], unique)
-    sales = lookup_join(
-        lines, orders, "SalesOrderID", "OrderKey", "inner",
-        hot_source=detail, lookup_bytes=kept_rows_bytes(online, orders),
-    )
-    sales = lookup_join(
-        sales, named, "ProductID", "ProductKey", hot_source=detail, lookup_bytes=kept_rows_bytes(product, named)
-    )
+    sales = lookup_join(lines, orders, "SalesOrderID", "OrderKey", "inner")
+    sales = lookup_join(sales, named, "ProductID", "ProductKey")
     rows = sales.withColumns(
         {
             "ProductName": F.col("Name"),

@@ -174,7 +174,8 @@ FROM {supplier}""",
 RACING = {
     "results": """
 SELECT l_orderkey * 8 + l_linenumber AS resultId, l_orderkey AS raceId, l_partkey AS driverId,
-  l_suppkey AS constructorId, CAST(l_tax * 100 AS INT) AS number, l_linenumber AS grid,
+  CASE WHEN l_suppkey % 5 = 0 THEN l_suppkey + 100000000000 ELSE l_suppkey END AS constructorId,
+  CAST(l_tax * 100 AS INT) AS number, l_linenumber AS grid,
   CASE WHEN l_returnflag = 'R' THEN chr(92) || 'N' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS position,
   CASE WHEN l_returnflag = 'R' THEN 'R' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS positionText,
   CAST(l_linenumber AS STRING) AS positionOrder, CAST(l_quantity AS DECIMAL(19,4)) AS points,
@@ -208,7 +209,7 @@ FROM {part}""",
     "constructors": """
 SELECT s_suppkey AS constructorId, lower(s_name) AS constructorRef, s_name AS name,
   CAST(s_nationkey AS STRING) AS nationality, 'http://example.org/k/' || CAST(s_suppkey AS STRING) AS url
-FROM {supplier} WHERE s_nationkey < 20""",
+FROM {supplier}""",
     "constructor_results": """
 SELECT l_orderkey * 8 + l_linenumber AS constructorResultsId, l_orderkey AS raceId, l_suppkey AS constructorId,
   CAST(l_quantity AS DECIMAL(19,4)) AS points, l_returnflag AS status, l_shipdate AS bronze_ingestion
@@ -222,21 +223,34 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    used = {t: source(spark, sf_dir, t) for t in _TABLES if "{" + t + "}" in sql}
-    return spark.sql(sql, **used)
+def derived(sources: Mapping[str, DataFrame], sql: str) -> DataFrame:
+    used = {t: sources[t] for t in _TABLES if "{" + t + "}" in sql}
+    return next(iter(used.values())).sparkSession.sql(sql, **used)
 
 
 def duckdb_sql(sql: str) -> str:
     return sql.format(**{t: t for t in _TABLES})
 
 
+class Sources(dict):
+    """Test tables by name; each is opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._open = lambda table: source(spark, sf_dir, table)
+
+    def __missing__(self, table: str) -> DataFrame:
+        self[table] = self._open(table)
+        return self[table]
+
+
 class Landing(Mapping[str, DataFrame]):
     """Derived tables by name, built when asked for. ``computed`` adds the silver amounts."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, texts: Mapping[str, str], computed: bool = False):
-        self._spark, self._dir, self._texts, self._computed = spark, sf_dir, texts, computed
+        self._texts, self._computed = texts, computed
         self._built: dict[str, DataFrame] = {}
+        self._sources = Sources(spark, sf_dir)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -244,7 +258,7 @@ class Landing(Mapping[str, DataFrame]):
         return self._built[name]
 
     def _build(self, name: str) -> DataFrame:
-        df = derived(self._spark, self._dir, self._texts[name])
+        df = derived(self._sources, self._texts[name])
         if "TerritoryGroup" in df.columns:
             df = df.withColumnRenamed("TerritoryGroup", "Group")
         if self._computed:

@@ -101,7 +101,15 @@ _COMPUTED = {
 }
 
 
-def _silver_ctes(name: str, out: str = "clean") -> dict[str, str]:
+_OPTIONAL_PRODUCT = (
+    "SafetyStockLevel > 0 AND ReorderPoint > 0 AND StandardCost >= 0 AND ListPrice >= 0 AND DaysToManufacture >= 0 "
+    "AND (upper(Class) IN ('H', 'M', 'L') OR Class IS NULL) AND (upper(ProductLine) IN ('R', 'M', 'T', 'S') OR ProductLine IS NULL) "
+    "AND (upper(Style) IN ('U', 'M', 'W') OR Style IS NULL) AND (Weight > 0 OR Weight IS NULL) "
+    "AND (SellEndDate >= SellStartDate OR SellEndDate IS NULL)"
+)
+
+
+def _silver_ctes(name: str, out: str = "clean", valid: str | None = None) -> dict[str, str]:
     declared = SILVER[name].columns
     names = list(_columns(declared))
     keys = [k.strip() for k in _KEYS[name].split(",")]
@@ -110,7 +118,7 @@ def _silver_ctes(name: str, out: str = "clean") -> dict[str, str]:
     base = f"SELECT * REPLACE (COALESCE(ModifiedDate, {_STAMP}) AS ModifiedDate) FROM {name}"
     ctes = _land(name)
     ctes[filled] = f"SELECT {_COMPUTED.get(name, '*')} FROM ({base})"
-    latest = _latest(f"(SELECT * FROM {filled} WHERE {_VALID.get(name, 'TRUE')})", _KEYS[name], "ModifiedDate", ties)
+    latest = _latest(f"(SELECT * FROM {filled} WHERE {valid or _VALID.get(name, 'TRUE')})", _KEYS[name], "ModifiedDate", ties)
     if "rowguid" in names:
         key_text = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
         latest = f"SELECT * REPLACE (COALESCE(rowguid, {_UUID.format(k=key_text)}) AS rowguid) FROM ({latest})"
@@ -357,7 +365,7 @@ def _racing() -> dict[str, str]:
     )
     results = {
         **_land("results"),
-        "pairs": pairs.format(n=48),
+        "pairs": pairs.format(n=10),
         "silver_results": f"""
 SELECT resultId AS result_id, raceId AS race_id, driverId AS driver_id, constructorId AS constructor_id, number, grid,
   position, positionText, CAST(positionOrder AS INTEGER) AS position_order, points, laps, time, milliseconds,
@@ -378,6 +386,11 @@ JOIN drivers v ON r.driver_id = v.driverId""",
     laps = "SELECT resultId, raceId, driverId, laps"
     return {
         "race_results": _with(lines, "SELECT * FROM race_rows"),
+        "run_racing": _with(
+            lines,
+            "SELECT * REPLACE (CASE WHEN position = chr(92) || 'N' THEN NULL ELSE position END AS position, "
+            f"{_STAMP} AS bronze_ingestion) FROM race_rows",
+        ),
         "race_winners": _with(lines, "SELECT * FROM race_rows WHERE position = '1'"),
         "racing_silver_results": _with(results, "SELECT * FROM silver_results"),
         "racing_silver_circuits": _with(
@@ -472,7 +485,7 @@ SELECT CAST(DATE '2022-01-01' + CAST(floor({_draw(0)} * 729) AS INTEGER) AS DATE
     return {
         "ingest_csv_raw": "SELECT "
         + ", ".join(f"'{c}' AS _c{i}" for i, c in enumerate(_CUSTOMER))
-        + " UNION ALL SELECT "
+        + " FROM range(3) UNION ALL SELECT "
         + ", ".join(f"CAST({c} AS VARCHAR)" for c in _CUSTOMER)
         + " FROM customer",
         "ingest_csv_infer": "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4)) AS "
@@ -484,7 +497,13 @@ SELECT CAST(DATE '2022-01-01' + CAST(floor({_draw(0)} * 729) AS INTEGER) AS DATE
         + " FROM part",
         "ingest_glob": "SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(19,4)) AS c_acctbal, "
         "c_mktsegment FROM customer",
-        "ingest_manifest": _counts({n: n for n in ("nation", "customer", "supplier", "part", "orders")}),
+        "ingest_manifest": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, CAST({key} AS BIGINT) AS id, {name} AS name, '2024-01-01' AS day FROM {t}"
+            for t, key, name in (
+                ("nation", "n_nationkey", "n_name"), ("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"),
+                ("part", "p_partkey", "p_name"), ("orders", "o_orderkey", "o_orderpriority"),
+            )
+        ),
         "bronze_parquet": f"SELECT *, {_STAMP} AS bronze_ingestion FROM orders",
         "path_scan": "SELECT * FROM customer",
         "write_modes": "SELECT c_custkey, c_nationkey FROM customer UNION ALL SELECT s_suppkey, s_nationkey FROM supplier",
@@ -565,29 +584,74 @@ SELECT CAST(DATE '2022-01-01' + CAST(floor({_draw(0)} * 729) AS INTEGER) AS DATE
         "merge_delete_missing": _with(
             _MERGE, "SELECT * FROM kept WHERE balance >= 0 OR balance IS NULL UNION ALL SELECT * FROM s"
         ),
-        "merge_partitioned": "SELECT o_orderkey, CASE WHEN strftime(o_orderdate, '%Y-%m') = '1997-03' THEN 'X' "
-        "ELSE o_orderstatus END AS o_orderstatus, strftime(o_orderdate, '%Y-%m') AS ano_mes FROM orders",
+        "merge_partitioned": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 AND month(o_orderdate) IN (1, 8, 11) THEN 'X' "
+        "ELSE o_orderstatus END AS o_orderstatus, CASE WHEN month(o_orderdate) <> 8 THEN strftime(o_orderdate, '%m') END AS mes "
+        "FROM orders",
         "publish_overwrite": _with({"a": _ACCOUNTS}, "SELECT * FROM a WHERE balance >= 0 OR balance IS NULL"),
         "append_batches": f"SELECT o_orderkey, {_YEAR} AS insercao_id, {_YEAR} AS version FROM orders",
         "batch_summary": f"SELECT COUNT(*) AS total_linhas, MAX({_YEAR}) AS ultima_insercao FROM orders",
-        "as_of_version": f"SELECT 'version 3' AS as_of, o_orderkey, o_orderstatus FROM orders WHERE {_YEAR} <= 3 "
-        "UNION ALL SELECT 'now', o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O')",
+        "as_of_version": "SELECT 'version 3' AS as_of, o_orderkey, o_orderstatus, NULL::BIGINT AS o_custkey FROM orders "
+        f"WHERE {_YEAR} <= 3 UNION ALL SELECT 'now', o_orderkey, o_orderstatus, "
+        "CASE WHEN o_orderstatus = 'O' THEN o_custkey END FROM orders WHERE o_orderstatus IN ('F', 'O')",
         "version_history": f"""
 WITH newest AS (SELECT MAX({_YEAR}) AS v FROM orders),
 marks AS (
-  SELECT {_YEAR} AS version, 'append' AS operation FROM orders
-  UNION ALL SELECT v + 1, 'overwrite' FROM orders, newest WHERE o_orderstatus = 'F'
-  UNION ALL SELECT v + 2, 'append' FROM orders, newest WHERE o_orderstatus = 'O')
-SELECT version, operation, COUNT(*) AS row_count, {_STAMP} AS first_stamp, {_STAMP} AS last_stamp
+  SELECT {_YEAR} AS version, 'append' AS operation, 1 AS n FROM orders
+  UNION ALL SELECT v + 1, 'overwrite', 0 FROM newest
+  UNION ALL SELECT v + 2, 'append', 1 FROM orders, newest WHERE o_orderstatus = 'F'
+  UNION ALL SELECT v + 3, 'append', 1 FROM orders, newest WHERE o_orderstatus = 'O')
+SELECT version, operation, CAST(SUM(n) AS BIGINT) AS row_count, {_STAMP} AS first_stamp, {_STAMP} AS last_stamp
 FROM marks GROUP BY version, operation""",
         "partition_prune": "SELECT *, strftime(o_orderdate, '%Y-%m') AS ano_mes FROM orders "
         "WHERE strftime(o_orderdate, '%Y-%m') = '1997-03'",
         "compact_files": "SELECT * FROM lineitem",
         "zorder_layout": "SELECT * FROM lineitem WHERE l_returnflag = 'R'",
         "zorder_layout_columns": "SELECT * FROM lineitem",
+        "layout_report": """
+SELECT layout, column_name, CAST(CASE column_name WHEN 'url' THEN (SELECT count(*) FROM orders WHERE o_custkey < 10)
+  ELSE (SELECT count(*) FROM orders WHERE o_orderkey < 60) END AS BIGINT) AS rows_hit, layout = 'clustered' AS narrow
+FROM (VALUES ('spread'), ('clustered')) a(layout), (VALUES ('url'), ('id')) b(column_name)""",
         "file_stats": "SELECT 'lineitem.parquet' AS file_name, COUNT(*) AS rows FROM lineitem",
         "synth_sales": _with(sale, "SELECT *, strftime(data_venda, '%Y-%m') AS ano_mes FROM sales"),
+        "synth_range": _with(
+            {
+                "base": "SELECT range AS o_orderkey FROM range((SELECT count(*) FROM orders))",
+                "sales": sale["sales"].replace("FROM orders", "FROM base"),
+            },
+            "SELECT * REPLACE (CAST(valor AS DECIMAL(19,4)) AS valor), strftime(data_venda, '%Y-%m') AS ano_mes FROM sales",
+        ),
         "stream_append": "SELECT * FROM events",
+        "stream_csv_evolve": _with(
+            {
+                "arrived": "SELECT event_id % 500 AS key, ts AS process_date, "
+                f"event_id % 100 + CASE WHEN ts >= {_EVENT_CUT} THEN 0.5 ELSE 0 END AS val, "
+                f"CASE WHEN ts >= {_EVENT_CUT} THEN event_type END AS event_type, "
+                f"CASE WHEN ts >= {_EVENT_CUT} THEN 1 ELSE 0 END AS batch FROM events",
+                "newest": _latest("arrived", "key", "batch", "process_date, val, event_type"),
+            },
+            f"SELECT key, process_date, CAST(val AS DOUBLE) AS val, event_type, {_STAMP} AS ingestion_date FROM newest",
+        ),
+        "stream_upsert_fold": _with(
+            {
+                "arrived": "SELECT user_id, ts AS process_date, event_id, "
+                f"CASE WHEN ts < {_EVENT_CUT} THEN 2 ELSE event_id % 3 END AS batch FROM events "
+                f"WHERE ts < {_EVENT_CUT} OR event_id % 3 < 2",
+                "newest": _latest("arrived", "user_id", "batch", "process_date, event_id"),
+            },
+            f"SELECT user_id, process_date, event_id, {_STAMP} AS ingestion_date FROM newest",
+        ),
+        "overwrite_schema_merge": "SELECT o_orderkey, NULL::BIGINT AS o_custkey, o_orderpriority FROM orders "
+        "WHERE o_orderpriority = '1-URGENT'",
+        "empty_table_append": "SELECT o_orderkey AS id, CAST(o_totalprice AS DECIMAL(19,4)) AS amount, "
+        "strftime(o_orderdate, '%Y-%m') AS mes FROM orders",
+        "catalog_tables": """
+WITH people AS (SELECT c_nationkey FROM customer), more AS (SELECT * FROM people UNION ALL SELECT s_nationkey FROM supplier)
+SELECT 'created' AS step, c_nationkey, count(*) AS n FROM people GROUP BY c_nationkey
+UNION ALL SELECT 'appended', c_nationkey, count(*) FROM more GROUP BY c_nationkey
+UNION ALL SELECT 'replaced', c_nationkey, count(*) FROM people WHERE c_nationkey < 5 GROUP BY c_nationkey""",
+        "schema_rejects": "SELECT declared, by_place, by_name, true AS append_refused, (SELECT count(*) FROM orders) AS rows_left "
+        "FROM (VALUES ('fits', false, false), ('fewer', true, false), ('order', true, false), ('type', true, true)) "
+        "t(declared, by_place, by_name)",
         "stream_upsert_latest": _with(
             {
                 "arrived": "SELECT user_id, ts AS process_date, event_id, event_type, "
@@ -598,8 +662,12 @@ FROM marks GROUP BY version, operation""",
         ),
         "stream_schema_evolve": f"SELECT {events_cast}, CASE WHEN ts >= {_EVENT_CUT} THEN props END AS props, "
         f"{_STAMP} AS ingestion_date FROM events",
-        "salted_lookup": "SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, s_suppkey, s_name FROM lineitem "
-        "LEFT JOIN supplier ON l_suppkey = s_suppkey",
+        "quality_rules_optional": _with(
+            _silver_ctes("production_product", valid=_OPTIONAL_PRODUCT), "SELECT * FROM clean"
+        ),
+        "salted_lookup": "SELECT l_orderkey % 50 AS l_group, l_linenumber, "
+        "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l.l_suppkey END AS l_suppkey, s_suppkey, s_name FROM lineitem l "
+        "LEFT JOIN supplier ON CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l.l_suppkey END = s_suppkey",
     }
 
 

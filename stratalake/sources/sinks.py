@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,11 +20,25 @@ def create_table(df: DataFrame, path: str) -> str:
 
 
 def overwrite_table(df: DataFrame, path: str) -> str:
-    """Replace rows and schema. ``df`` must not read from ``path``."""
+    """Replace rows and schema. ``df`` must not read from ``path``; readers see no table while this runs
+    (``publish_path`` switches at once)."""
     df.write.mode("overwrite").parquet(path)
     return path
 
 
+def overwrite_merging(df: DataFrame, path: str) -> str:
+    """Replace the rows and keep the columns: those that only the old table has are NULL in the new rows,
+    new ones are added. A column with another type raises ``SchemaMismatch`` before anything is written."""
+    old = df.sparkSession.read.parquet(path).schema
+    have = {f.name: f.dataType for f in df.schema.fields}
+    for field in old.fields:
+        if field.name in have and have[field.name] != field.dataType:
+            raise SchemaMismatch(f"column {field.name}: {have[field.name].simpleString()}, table has {field.dataType.simpleString()}")
+    kept = [F.col(f"`{f.name}`") if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in old.fields]
+    added = [F.col(f"`{c}`") for c in df.columns if c not in old.names]
+    return overwrite_table(df.select(*kept, *added), path)
+
+
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], mode: str = "overwrite") -> str:
     """Write one folder per value of ``columns``.
 
@@ -99,3 +114,52 @@ def publish_overwrite(df: DataFrame, table: str, root: str) -> str:
         spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
     spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
     return location
+
+
+CURRENT = "_current"
+_CURRENT_SCHEMA = "revision bigint, location string"
+
+
+def publish_path(df: DataFrame, root: str) -> str:
+    """Write a table to a fresh folder below ``root`` and switch ``root`` to it; returns the folder.
+
+    ``df`` may read the folder that is current. A write that fails leaves the former folder current and
+    readable. ``superseded_paths`` lists the folders that may be removed.
+    """
+    spark = df.sparkSession
+    name = uuid.uuid4().hex
+    df.write.parquet(f"{root}/{name}")
+    entries = _published(spark, root)
+    row = spark.createDataFrame([(len(entries), name)], _CURRENT_SCHEMA)
+    row.coalesce(1).write.mode("append").json(f"{root}/{CURRENT}")
+    return f"{root}/{name}"
+
+
+def _published(spark: SparkSession, root: str) -> list[str]:
+    """Folder names in the order they were published."""
+    try:
+        rows = spark.read.schema(_CURRENT_SCHEMA).json(f"{root}/{CURRENT}").orderBy("revision").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [r.location for r in rows]
+
+
+def current_path(spark: SparkSession, root: str) -> str:
+    """The folder that ``root`` points at."""
+    published = _published(spark, root)
+    if not published:
+        raise FileNotFoundError(f"nothing published at {root}")
+    return f"{root}/{published[-1]}"
+
+
+def table_path(spark: SparkSession, root: str) -> str:
+    """The folder that ``root`` points at, or ``root`` itself for a table that was never published."""
+    published = _published(spark, root)
+    return f"{root}/{published[-1]}" if published else root
+
+
+def superseded_paths(spark: SparkSession, root: str) -> list[str]:
+    """Formerly published folders, oldest first. Removing them is the caller's, once their readers have ended."""
+    return [f"{root}/{name}" for name in _published(spark, root)[:-1]]

@@ -1,4 +1,4 @@
-"""Tracked stream schemas: kept beside the checkpoint and widened when new columns arrive."""
+"""Tracked stream schemas: kept beside the checkpoint and widened when new columns or wider values arrive."""
 
 from __future__ import annotations
 
@@ -6,13 +6,46 @@ import csv
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    ByteType,
+    DataType,
+    DateType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from stratalake.operators.schema import SchemaMismatch
 
-TYPE_SAMPLE_FILES = 1000
+# every value of the earlier type has the same value in a later one of its row
+_LADDERS = (
+    (ByteType(), ShortType(), IntegerType(), LongType()),
+    (ByteType(), ShortType(), IntegerType(), DoubleType()),
+    (FloatType(), DoubleType()),
+    (DateType(), TimestampType()),
+)
+
+
+def wider(known: DataType, found: DataType) -> DataType:
+    """The narrowest type that holds all values of both; text if nothing else does without loss.
+
+    A 64-bit integer and a fraction have no common number type that keeps every digit, so they are text.
+    """
+    if known == found:
+        return known
+    for ladder in _LADDERS:
+        if known in ladder and found in ladder:
+            return ladder[max(ladder.index(known), ladder.index(found))]
+    return StringType()
 
 
 def discover(spark: SparkSession, path: str, file_format: str) -> StructType:
@@ -23,10 +56,57 @@ def discover(spark: SparkSession, path: str, file_format: str) -> StructType:
 
 
 def _discover_csv(spark: SparkSession, path: str) -> StructType:
-    """The widest header, with types inferred from up to ``TYPE_SAMPLE_FILES`` files that have it.
+    """The widest header, with the narrowest types that fit every value of every file.
 
-    CSV values are read by position, so every other header must be the beginning of it.
+    CSV values are read by position, so every other header must be the beginning of it. One aggregate
+    over all rows tests each column against each type; one row reaches the driver.
     """
+    names = _widest_header(spark, path)
+    texts = StructType([StructField(name, StringType()) for name in names])
+    rows = spark.read.option("header", True).schema(texts).csv(path)
+    tests = _type_tests()
+    checks = [
+        F.bool_and(F.col(f"`{name}`").isNull() | F.coalesce(test(F.col(f"`{name}`")), F.lit(False))).alias(f"{i}_{kind}")
+        for i, name in enumerate(names)
+        for kind, (_, test) in enumerate(tests)
+    ]
+    present = [F.count(F.col(f"`{name}`")).alias(f"n_{i}") for i, name in enumerate(names)]
+    fits = rows.agg(*checks, *present).first()
+    fields = []
+    for i, name in enumerate(names):
+        kinds = [t for kind, (t, _) in enumerate(tests) if fits[f"n_{i}"] and fits[f"{i}_{kind}"]]
+        fields.append(StructField(name, kinds[0] if kinds else StringType()))  # a column without values is text
+    return StructType(fields)
+
+
+def _type_tests():
+    """Types from narrow to wide, each with a test that a text reads as such a value."""
+    whole, number = "^[+-]?[0-9]+$", "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+    day, moment = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"
+
+    def text_like(pattern: str, kind: str):
+        def test(value: Column) -> Column:
+            return value.rlike(pattern) & value.try_cast(kind).isNotNull()
+
+        return test
+
+    def fraction(value: Column) -> Column:
+        # whole numbers beyond 15 digits would lose some as doubles
+        digits = F.length(F.regexp_replace(value, "^[+-]?0*|[eE].*$|[.]", ""))
+        return value.rlike(number) & (digits <= 15)
+
+    return [
+        (BooleanType(), text_like("^(?i)(true|false)$", "boolean")),
+        (IntegerType(), text_like(whole, "int")),
+        (LongType(), text_like(whole, "bigint")),
+        (DoubleType(), fraction),
+        (DateType(), text_like(day, "date")),
+        (TimestampType(), text_like(f"{day}|{moment}", "timestamp")),
+    ]
+
+
+def _widest_header(spark: SparkSession, path: str) -> list[str]:
+    """The longest of the header lines; only the distinct ones reach the driver."""
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -35,32 +115,36 @@ def _discover_csv(spark: SparkSession, path: str) -> StructType:
     )
     first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
     headers = [next(csv.reader([r.header])) for r in first.select("header").distinct().collect()]
-    widest = max(headers, key=len)
+    widest = max(headers, key=len, default=[])
     for header in headers:
         if header != widest[: len(header)]:
             raise SchemaMismatch(f"CSV headers {header} and {widest} differ in order")
-    # headers may be quoted differently, so files are matched by their number of columns
-    wide_files = first.where(F.size(F.split("header", ",")) == len(widest)).orderBy("file")
-    sample = [r.file for r in wide_files.select("file").limit(TYPE_SAMPLE_FILES).collect()]
-    return spark.read.option("header", True).option("inferSchema", True).csv(sample or path).schema
+    return widest
 
 
 def widened(known: StructType | None, found: StructType) -> StructType:
-    """Known columns keep their place and type; new ones follow in the order found."""
+    """Known columns keep their place and get the wider type; new ones follow in the order found."""
     if known is None:
         return found
-    new = [f for f in found.fields if f.name not in known.names]
-    return StructType([*known.fields, *new])
+    types = {f.name: f.dataType for f in found.fields}
+    kept = [StructField(f.name, wider(f.dataType, types.get(f.name, f.dataType))) for f in known.fields]
+    return StructType([*kept, *(f for f in found.fields if f.name not in known.names)])
 
 
 def load(spark: SparkSession, log: str) -> StructType | None:
-    """The newest saved schema, or None for a new stream."""
+    """The newest saved schema, or None for a new stream. Only a missing log means a new stream."""
+    entries = _entries(spark, log)
+    newest = None if entries is None else entries.orderBy("revision", ascending=False).first()
+    return StructType.fromJson(json.loads(newest.body)) if newest else None
+
+
+def _entries(spark: SparkSession, log: str) -> DataFrame | None:
     try:
-        entries = spark.read.schema("revision int, body string").json(log)
-    except AnalysisException:
+        return spark.read.schema("revision int, body string").json(log)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    newest = entries.orderBy("revision", ascending=False).first()
-    return StructType.fromJson(json.loads(newest.body)) if newest else None
 
 
 def track(
@@ -81,12 +165,9 @@ def track(
         if known.names[:shared] != found.names[:shared]:
             raise SchemaMismatch(f"CSV header {found.names}, tracked {known.names}")
     merged = widened(known, found)
-    if known is None or merged.names != known.names:
-        revision = 0 if known is None else _revisions(spark, log)
+    if known is None or merged != known:
+        entries = _entries(spark, log)
+        revision = 0 if entries is None else entries.count()
         row = spark.createDataFrame([(revision, merged.json())], "revision int, body string")
         row.write.mode("append").json(log)
     return merged
-
-
-def _revisions(spark: SparkSession, log: str) -> int:
-    return spark.read.schema("revision int, body string").json(log).count()

@@ -44,8 +44,10 @@ def test_merge_composite_key_casts_to_target_types(spark):
 def test_merge_rejects_ambiguous_source(spark):
     target = spark.createDataFrame([(1, "a")], "id int, v string")
     twice = spark.createDataFrame([(1, "x"), (1, "y")], "id int, v string")
-    with pytest.raises(change.AmbiguousMerge):
-        change.merge(target, twice, "id")
+    for delete_missing in (False, True, "id = 1"):
+        with pytest.raises(Exception, match="several source rows"):
+            change.merge(target, twice, "id", delete_missing).collect()
+    assert change.merge(target, twice, "id", checked=True).count() == 2
     # repeated keys without a match are plain inserts
     new = spark.createDataFrame([(5, "x"), (5, "y"), (None, "z"), (None, "z")], "id int, v string")
     assert change.merge(target, new, "id").count() == 5
@@ -53,9 +55,8 @@ def test_merge_rejects_ambiguous_source(spark):
         change.merge(target, twice.drop("v"), "id")
 
 
-def test_merge_large_source_path(spark, monkeypatch):
+def test_merge_large_source_path(spark):
     """The same result without a broadcast."""
-    monkeypatch.setattr("stratalake.operators.joins.BROADCAST_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         target = spark.range(1000).selectExpr("id", "'old' AS v")
@@ -80,6 +81,21 @@ def test_merge_partitions_rewrites_only_touched_folders(spark, folder):
     assert rows(spark.read.parquet(path).groupBy("v").count()) == [("new", 2), ("old", 29)]
 
 
+def test_merge_partitions_with_missing_and_number_like_values(spark, folder):
+    import glob
+
+    path = f"{folder}/t"
+    schema = "k int, v string, m string"
+    base = spark.createDataFrame([(1, "old", None), (2, "old", None), (3, "old", "01"), (4, "old", "01"), (5, "old", "7")], schema)
+    sinks.write_partitioned(base, path, ["m"])
+    change.merge_partitions(path, spark.createDataFrame([(9, "new", None), (1, "new", None), (3, "new", "01")], schema), "k", "m")
+    assert sorted(f.rsplit("=", 1)[1] for f in glob.glob(f"{path}/m=*")) == ["01", "7", "__HIVE_DEFAULT_PARTITION__"]
+    want = [(1, "new", None), (2, "old", None), (3, "new", "01"), (4, "old", "01"), (5, "old", "7"), (9, "new", None)]
+    assert rows(spark.read.schema(schema).parquet(path)) == want
+    change.merge_partitions(path, base.limit(0), "k", "m")
+    assert rows(spark.read.schema(schema).parquet(path)) == want
+
+
 def test_append_enforces_schema(spark, folder, people):
     path = sinks.create_table(people, f"{folder}/people")
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
@@ -107,3 +123,23 @@ def test_publish_reads_from_itself_and_changes_schema(spark, folder, people):
     sinks.publish_overwrite(spark.table("people_published").withColumn("x", F.lit(1)), "people_published", folder)
     assert spark.table("people_published").columns == ["nome", "idade", "x"]
     spark.sql("DROP TABLE people_published")
+
+
+def test_overwrite_keeps_columns(spark, folder, people):
+    path = sinks.create_table(people, f"{folder}/people")
+    sinks.overwrite_merging(spark.createDataFrame([("Zoe", True)], "nome string, ativo boolean"), path)
+    assert rows(spark.read.parquet(path), "nome", "idade", "ativo") == [("Zoe", None, True)]
+    with pytest.raises(SchemaMismatch):
+        sinks.overwrite_merging(spark.createDataFrame([("Zoe", "x")], "nome string, idade string"), path)
+
+
+def test_publish_path_switches_at_once(spark, folder, people):
+    root = f"{folder}/published"
+    with pytest.raises(FileNotFoundError):
+        sinks.current_path(spark, root)
+    first = sinks.publish_path(people, root)
+    second = sinks.publish_path(spark.read.parquet(first).where("idade > 26"), root)
+    with pytest.raises(Exception, match="broken"):
+        sinks.publish_path(people.withColumn("idade", F.raise_error(F.lit("broken")).cast("int")), root)
+    assert sinks.current_path(spark, root) == second and spark.read.parquet(second).count() == 2
+    assert sinks.superseded_paths(spark, root) == [first]

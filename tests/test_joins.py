@@ -1,4 +1,4 @@
-"""Hot keys, salting and the broadcast check."""
+"""Lookups, hot keys and salting."""
 
 import pytest
 from conftest import plan_of, rows
@@ -24,7 +24,7 @@ def lookup(spark):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_equals_plain(spark, skewed, lookup, how):
     plain = skewed.join(lookup, F.col("k") == F.col("key"), how)
-    salted = joins.lookup_join(skewed, lookup, "k", "key", how, skewed, broadcast_bytes=0)
+    salted = joins.salted_join(skewed, lookup, "k", "key", how, [7], 5)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
 
@@ -32,55 +32,38 @@ def test_salted_equals_plain(spark, skewed, lookup, how):
 def test_salted_keeps_repeated_lookup_rows(spark, skewed, lookup):
     twice = lookup.unionByName(lookup)
     plain = skewed.join(twice, F.col("k") == F.col("key"), "left")
-    assert rows(joins.salted_join(skewed, twice, "k", "key", "left", skewed, pieces=5)) == rows(plain)
+    assert rows(joins.salted_join(skewed, twice, "k", "key", "left", [7, 449, 10_000], 5)) == rows(plain)
 
 
-def test_hot_key_is_spread(spark, skewed, lookup):
-    """No task may receive the whole hot key: it is cut over all shuffle partitions."""
+@pytest.mark.parametrize("partitions", ["2", "16"])
+def test_equal_rows_of_a_hot_key_are_spread(spark, skewed, lookup, partitions):
+    """No task receives the whole hot key, though all its rows are equal."""
+    equal = skewed.select("k")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    pieces = 8 * int(partitions)
     try:
-        joined = joins.lookup_join(skewed, lookup, "k", "key", "left", skewed, broadcast_bytes=0)
+        hot = joins.hot_values(equal, "k", pieces)
+        joined = joins.salted_join(equal.where("k IS NOT NULL"), lookup, "k", "key", "left", hot, pieces)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        hot = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
-        nulls = joined.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert sum(sizes) == 6000 and max(sizes) < 6000 / 16 * 2
-    assert len(hot) > 8 and len(nulls) > 8
+    assert hot == [7] and max(sizes) < sum(sizes) / int(partitions) * 1.8
 
 
-def test_hot_keys_follow_the_share(spark, skewed, monkeypatch):
-    # 2008 of 6000 rows are 101 of 300 pieces; nothing else fills eight
-    assert rows(joins.hot_keys(skewed, "k", 300)) == [(7, 101)]
+def test_hot_values_by_exact_share(spark, skewed):
+    assert joins.hot_values(skewed, "k", 300) == [7]
     even = spark.range(1000).select((F.col("id") % 500).alias("k"))
-    assert rows(joins.hot_keys(even, "k", 300)) == []
-    assert rows(joins.hot_keys(skewed.where("v < 0"), "k", 300)) == []
-    size = joins.planned_bytes(skewed.select("k"))
-    monkeypatch.setattr(joins, "COUNTED_BYTES", size // 2)  # counted on a sample
-    [(key, salts)] = rows(joins.hot_keys(skewed, "k", 300))
-    assert key == 7 and 85 < salts < 117
+    assert joins.hot_values(even, "k", 300) == [] and len(joins.hot_values(even, "k", 500)) == 500
+    assert joins.hot_values(skewed.where("v < 0"), "k", 300) == []
 
 
-def test_only_hot_lookup_rows_are_repeated(spark, skewed, lookup):
-    left, right = joins.salted_sides(skewed, lookup, "k", "key", skewed, 300)
-    assert left.count() == 6000
-    assert right.count() == 450 + 100
-
-
-def test_broadcast_only_below_the_limit(spark, skewed, lookup):
-    assert "BroadcastExchange" in plan_of(joins.lookup_join(skewed, lookup, "k", "key"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        salted = joins.lookup_join(skewed, lookup, "k", "key", hot_source=skewed, broadcast_bytes=0)
-        broadcasts = [line for line in plan_of(salted).split("\n") if "BroadcastHashJoin" in line]
-        assert "SortMergeJoin [k" in plan_of(salted)
-        assert len(broadcasts) == 2 and all("__hot" in line for line in broadcasts)  # hot keys only
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_lookup_joins_carry_no_hint(spark, skewed, lookup):
+    plan = joins.lookup_join(skewed, lookup, "k", "key")._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in plan and "__salt" not in plan
 
 
 def test_shared_names_are_refused(spark, skewed):
@@ -88,19 +71,8 @@ def test_shared_names_are_refused(spark, skewed):
         joins.lookup_join(skewed, skewed, "k", "k")
 
 
-def test_kept_rows_bytes_scales_by_width(spark, lookup):
-    wider = lookup.withColumn("more", F.lit("x"))
-    assert joins.planned_bytes(lookup) < joins.kept_rows_bytes(lookup, wider) < 3 * joins.planned_bytes(lookup)
-
-
 def test_semi_join_does_not_repeat_rows(spark):
     laps = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "raceId int, lap string")
     keys = spark.createDataFrame([(1,), (1,), (None,)], "race int")
     got = joins.semi_join(laps, keys, "raceId", "race")
     assert rows(got) == [(1, "a")] and "LeftSemi" in plan_of(got)
-
-
-def test_without_hot_source_the_join_is_plain(spark, skewed, lookup):
-    plain = skewed.join(lookup, F.col("k") == F.col("key"), "left")
-    got = joins.lookup_join(skewed, lookup, "k", "key", broadcast_bytes=0)
-    assert rows(got) == rows(plain) and "__salt" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -105,6 +105,19 @@ def test_run_layers_with_declared_types(spark, folder):
     assert spark.read.parquet(wide["OneBigTable"]).count() > 0
 
 
+def test_failing_run_leaves_the_last_tables(spark, folder):
+    spark.createDataFrame([(1, "a")], "id int, v string").write.parquet(f"{folder}/one")
+    spark.createDataFrame([(1, "b")], "id int, v string").write.parquet(f"{folder}/two")
+    layers.ingest_parquet(spark, {"t": f"{folder}/one"}, f"{folder}/bronze", stamp_column=None)
+    broken = lambda s, path: s.read.parquet(path).withColumn("v", F.raise_error(F.lit("broken")))
+    with pytest.raises(Exception, match="broken"):
+        layers.ingest(spark, {"t": f"{folder}/two"}, f"{folder}/bronze", broken, stamp_column=None)
+    assert rows(spark.read.parquet(sinks.current_path(spark, f"{folder}/bronze/t"))) == [(1, "a")]
+    layers.ingest_parquet(spark, {"t": f"{folder}/two"}, f"{folder}/bronze", stamp_column=None)
+    assert rows(spark.read.parquet(sinks.current_path(spark, f"{folder}/bronze/t"))) == [(1, "b")]
+    assert len(sinks.superseded_paths(spark, f"{folder}/bronze/t")) == 1
+
+
 def test_scale_settings():
     small, large = session.scale_conf(600_000, 8), session.scale_conf(100 * 10**12, 4000)
     assert small["spark.sql.shuffle.partitions"] == "16"

@@ -67,17 +67,59 @@ def test_repeated_batch_replaces_itself(spark, folder):
     if os.path.exists(f"{commits}/.1.crc"):
         os.remove(f"{commits}/.1.crc")
     drain(spark, folder)
-    stored = spark.read.parquet(f"{folder}/out")
+    stored = spark.read.parquet(f"{folder}/out/batches")
     assert rows(stored.groupBy(arrivals.BATCH).count()) == [(0, 1), (1, 1)]
 
 
 def test_fold_batches(spark, folder):
-    for name in ("a", "b"):
-        drop(spark, f"{folder}/in", [(1, "2024-01-01", name)], TEXT)
-        drain(spark, folder)
-    arrivals.fold_batches(spark, f"{folder}/out", f"{folder}/folded", "id_aluno")
-    assert spark.read.parquet(f"{folder}/folded").count() == 1
-    assert rows(arrivals.current_rows(spark, f"{folder}/folded", "id_aluno"), "nome") == [("b",)]
+    read = dict(out=f"{folder}/out", keys="id_aluno")
+    drop(spark, f"{folder}/in", [(i, "2024-01-01", "a") for i in range(40)] + [(None, "2024-01-01", "n")], TEXT)
+    drain(spark, folder)
+    assert arrivals.fold_batches(spark, **read, buckets=4) == 0
+    assert arrivals.fold_batches(spark, **read) is None
+    drop(spark, f"{folder}/in", [(3, "2024-01-02", "b"), (3, "2023-01-01", "late")], TEXT)
+    drain(spark, folder)
+    want = rows(arrivals.current_rows(spark, **read), "id_aluno", "nome")
+    assert (3, "b") in want and len(want) == 41
+    assert arrivals.fold_batches(spark, **read) == 1
+    assert rows(arrivals.current_rows(spark, **read), "id_aluno", "nome") == want
+    assert len(os.listdir(f"{folder}/out/base/fold=1")) == 1 + 2  # one folder, the success mark and its checksum
+    old = arrivals.superseded(spark, f"{folder}/out")
+    assert len(old) == 2 and all("_batch_id=" in path for path in old)
+    drop(spark, f"{folder}/in", [(3, "2024-01-01", "c"), (77, "2024-01-01", "new")], TEXT)
+    drain(spark, folder)
+    got = dict(rows(arrivals.current_rows(spark, **read), "id_aluno", "nome"))
+    assert got[3] == "c" and got[77] == "new" and len(got) == 42
+    assert dict(rows(arrivals.current_rows(spark, **read, ignore_late=True), "id_aluno", "nome"))[3] == "b"
+
+
+def test_keyless_rows_of_one_batch_are_kept(spark, folder):
+    drop(spark, f"{folder}/in", [(None, "2024-01-01", "x"), (None, "2024-01-01", "x"), (None, "2024-01-02", "y")], TEXT)
+    drain(spark, folder)
+    assert arrivals.current_rows(spark, f"{folder}/out", "id_aluno").count() == 3
+
+
+def test_widened_types_on_the_same_checkpoint(spark, folder):
+    """Whole numbers, then fractions, then text, each drop typed by all of its files."""
+    drops = [
+        [(1, "2024-01-01", "5"), (2, "2024-01-01", "6")],
+        [(2, "2024-01-02", "2.5")],
+        [(3, "2024-01-03", "none")],
+    ]
+    kinds = []
+    for number, data in enumerate(drops):
+        for row in data:  # a file each
+            drop(spark, f"{folder}/in/{number}", [row], "id_aluno bigint, process_date string, val string", "csv")
+        tracked = schema_log.track(spark, f"{folder}/in/{number}", f"{folder}/schema", "csv")
+        kinds.append(tracked["val"].dataType.simpleString())
+        stream = arrivals.file_stream(spark, f"{folder}/in/*", tracked, "csv")
+        arrivals.upsert_stream(stream, f"{folder}/out", f"{folder}/ckpt", "id_aluno")
+        if number == 1:
+            got = arrivals.current_rows(spark, f"{folder}/out", "id_aluno")
+            assert rows(got, "id_aluno", "val") == [(1, 5.0), (2, 2.5)]
+    assert kinds == ["int", "double", "string"]
+    got = rows(arrivals.current_rows(spark, f"{folder}/out", "id_aluno"), "id_aluno", "val")
+    assert [k for k, _ in got] == [1, 2, 3] and got[2][1] == "none" and got[1][1] == "2.5"
 
 
 def test_new_column_on_the_same_checkpoint(spark, folder):
@@ -105,6 +147,29 @@ def test_csv_columns_may_only_be_appended(spark, folder):
         schema_log.track(spark, f"{folder}/three", log, "csv")
 
 
-def test_known_types_are_kept(spark):
-    merged = schema_log.widened(ddl("a int, b string"), ddl("b int, c double, a bigint"))
-    assert merged == ddl("a int, b string, c double")
+def test_known_types_widen(spark):
+    merged = schema_log.widened(ddl("a int, b string, d date"), ddl("b int, c double, a bigint, d timestamp"))
+    assert merged == ddl("a bigint, b string, d timestamp, c double")
+    assert schema_log.widened(ddl("a bigint"), ddl("a double")) == ddl("a string")  # no number keeps both
+
+
+def test_csv_types_from_every_file(spark, folder):
+    """The one fraction is in the last of many files; a quoted comma in the header is no column."""
+    for i in range(30):
+        value = "3.5" if i == 29 else str(i)
+        with open_in(folder, f"{i:03}.csv") as file:
+            file.write(f'id,"a, b",big,day,moment,flag,empty,long\n{value},x,{2**40 + i},2024-01-0{1 + i % 9},2024-01-01 10:00:0{i % 9},true,,{10**17}.5\n')
+    found = schema_log.discover(spark, f"{folder}/csv", "csv")
+    assert found.names[1] == "a, b"
+    assert [f.dataType.simpleString() for f in found.fields] == ["double", "string", "bigint", "date", "timestamp", "boolean", "string", "string"]
+    read = spark.read.option("header", True).schema(found).csv(f"{folder}/csv")
+    assert read.where("id IS NULL OR big IS NULL OR day IS NULL OR moment IS NULL OR flag IS NULL").count() == 0
+
+
+def open_in(folder, name):
+    os.makedirs(f"{folder}/csv", exist_ok=True)
+    return open(f"{folder}/csv/{name}", "w")
+
+
+def test_only_a_missing_log_is_a_new_stream(spark, folder):
+    assert schema_log.load(spark, f"{folder}/none") is None

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import year_month
 from stratalake.operators import layout, synth, versions
+from stratalake.operators.schema import SchemaMismatch
 from stratalake.plans import reports
 from stratalake.sources import files, sinks
 
@@ -42,6 +43,36 @@ def test_repeated_version_replaces_itself(spark, folder):
     assert versions.as_of(spark, path).count() == 1
 
 
+def test_version_without_rows_and_with_other_columns(spark, folder):
+    path = f"{folder}/users"
+    versions.write_version(users(spark, "a", "b"), path, stamp=stamp())
+    assert versions.write_version(users(spark, "a").limit(0), path, operation="overwrite", stamp=stamp()) == 1
+    assert versions.as_of(spark, path).count() == 0 and versions.as_of(spark, path, 0).count() == 2
+    assert versions.write_version(spark.createDataFrame([("c", True)], "nome string, ativo boolean"), path) == 2
+    assert versions.write_version(spark.createDataFrame([("d", 1.5)], "nome string, nota double"), path) == 3
+    assert rows(versions.as_of(spark, path), "nome", "idade", "ativo", "nota") == [("c", None, True, None), ("d", None, None, 1.5)]
+    assert versions.as_of(spark, path, 0).columns == ["nome", "idade"]
+    with pytest.raises(SchemaMismatch):
+        versions.write_version(spark.createDataFrame([("e", "x")], "nome string, ativo string"), path)
+    assert versions.write_version(spark.createDataFrame([(7,)], "nome int"), path, operation="overwrite") == 4
+    assert rows(versions.as_of(spark, path)) == [(7,)]
+    history = [(r.version, r.operation, r.row_count) for r in versions.history(spark, path).orderBy("version").collect()]
+    assert history == [(0, "append", 2), (1, "overwrite", 0), (2, "append", 1), (3, "append", 1), (4, "overwrite", 1)]
+    with pytest.raises(ValueError, match="another operation"):
+        versions.write_version(users(spark, "a"), path, version=4)
+
+
+def test_unreadable_log_is_no_new_table(spark, folder):
+    path = f"{folder}/users"
+    versions.write_version(users(spark, "a"), path)
+    spark.read.text(f"{path}/_operation=append/_version=0")  # the data is there
+    for log in glob.glob(f"{path}/_log/*.parquet"):
+        with open(log, "wb") as file:
+            file.write(b"broken")
+    with pytest.raises(Exception):
+        versions.write_version(users(spark, "b"), path)
+
+
 def test_old_version_reads_only_its_folders(spark, folder):
     df = users(spark, *"abcdefghij").withColumn("insercao_id", F.col("idade"))
     path = versions.write_batches(df, f"{folder}/t", "insercao_id")
@@ -80,8 +111,8 @@ def test_hot_folder_is_written_by_several_tasks(spark, folder):
 def test_compaction(spark, folder):
     many, few = f"{folder}/many", f"{folder}/few"
     spark.range(4000).repartition(40).write.parquet(many)
-    size = layout.table_bytes(spark, many)
-    assert size == sum(__import__("os").path.getsize(f) for f in glob.glob(f"{many}/*.parquet"))
+    size = files.file_inventory(spark, many).agg(F.sum("length")).first()[0]
+    assert "Exchange" not in plan_of(layout.packed(spark, many, size // 2))
     layout.compact(spark, many, few, target_bytes=size // 2)
     assert len(glob.glob(f"{many}/*.parquet")) == 40 and len(glob.glob(f"{few}/*.parquet")) <= 3
     assert rows(spark.read.parquet(few).agg(F.count("*"), F.sum("id"))) == [(4000, 7998000)]
@@ -89,6 +120,18 @@ def test_compaction(spark, folder):
     spark.range(400).withColumn("p", F.col("id") % 4).repartition(10).write.partitionBy("p").parquet(folders)
     layout.compact(spark, folders, f"{folder}/by2", partition_by=["p"])
     assert len(glob.glob(f"{folder}/by2/*/*.parquet")) == 4
+    root = f"{folder}/published"
+    first = sinks.publish_path(spark.range(100).repartition(10), root)
+    second = layout.compact_published(spark, root)
+    assert sinks.current_path(spark, root) == second and len(glob.glob(f"{second}/*.parquet")) == 1
+    assert spark.read.parquet(first).count() == spark.read.parquet(second).count() == 100
+
+
+def test_compaction_keeps_the_order_within_files(spark, folder):
+    spark.range(4000).repartitionByRange(8, "id").sortWithinPartitions("id").write.parquet(f"{folder}/sorted")
+    layout.compact(spark, f"{folder}/sorted", f"{folder}/one", target_bytes=1 << 30)
+    ids = [r.id for r in spark.read.parquet(f"{folder}/one").collect()]
+    assert sum(b < a for a, b in zip(ids, ids[1:])) <= 7 and sorted(ids) == list(range(4000))
 
 
 def spans(spark, path, column):
@@ -118,14 +161,31 @@ def test_clustering_several_columns(spark, folder):
         F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 11 % 300).cast("int")).alias("d"),
     )
     path = f"{folder}/z"
-    layout.cluster(df.repartition(8), ["a", "b"], 16, 16).write.parquet(path)
+    layout.cluster(df.repartition(8), ["a", "b"], 16).write.parquet(path)
     for column, value in (("a", 13), ("b", "k050")):
         touched = sum(1 for r in spans(spark, path, column) if r.lo <= value <= r.hi)
         assert touched <= 9, column
     assert rows(spark.read.parquet(path).groupBy().agg(F.sum("a"), F.countDistinct("b"))) == [(396000, 101)]
-    assert layout.cluster(df, ["d", "a"], 4, 8).count() == 8000
-    with pytest.raises(TypeError):
-        layout.cluster(df.withColumn("x", F.array("a")), ["x", "a"], 4)
+    assert layout.cluster(df, ["d", "a"], 4).count() == 8000
+    assert layout.bits_for(400_000, 2) == 11 and layout.bits_for(1, 3) == 1
+
+
+def test_clustering_by_long_text_and_large_ids(spark, folder):
+    """Text that begins alike and ids beyond the whole numbers of a double, with missing values."""
+    df = spark.range(4000).select(
+        F.concat(F.lit("https://example.org/some/long/path/"), F.lpad(((F.col("id") * 37) % 4000).cast("string"), 6, "0")).alias("url"),
+        F.when(F.col("id") % 10 != 0, F.col("id") + F.lit(2**60)).alias("big"),
+    )
+    df.repartition(16).write.parquet(f"{folder}/before")
+    layout.cluster(df, ["url", "big"], 16).write.parquet(f"{folder}/after")
+    layouts = {name: f"{folder}/{name}" for name in ("before", "after")}
+    for condition in (F.col("url") < "https://example.org/some/long/path/000100", F.col("big") < F.lit(2**60 + 100)):
+        found = {r.layout: r for r in layout.layout_report(spark, layouts, condition).collect()}
+        assert found["before"].files_hit == found["before"].files == 16
+        assert found["after"].files_hit <= 8 and found["after"].rows_hit == found["before"].rows_hit >= 90
+        assert found["after"].bytes > 0
+    borders = layout.range_borders(df, "big", 64)
+    assert len(borders) == 63 and borders == sorted(set(borders))
 
 
 def test_value_filter_reaches_the_scan(spark, folder):
