@@ -31,6 +31,8 @@ SEED = 42
 #: Distinct fingerprints that a shard should own.
 SHARD_POINTS = 8192
 SAMPLE_RATE, SAMPLE_ROWS = 64, 65536
+#: Guests of a shard for each point it should own, beyond which they are dealt over several tasks.
+GUESTS_PER_POINT = 16
 #: Shingles whose bits are counted at once; bounds memory for very long texts.
 CHUNK = 1 << 16
 #: Pairs compared at once inside a shard.
@@ -168,8 +170,9 @@ class Forest:
         parent[max(i, j)] = min(i, j)
 
 
-def shard_links(points: np.ndarray, own: np.ndarray, max_bits: int) -> Forest:
-    """Spanning forest of all links between own points and between guests and own points (points ascending)."""
+def shard_links(points: np.ndarray, own: np.ndarray, max_bits: int, inner: bool = True) -> Forest:
+    """Spanning forest of all links between own points (if ``inner``) and between guests and own points
+    (points ascending)."""
     forest = Forest(len(points))
 
     def tile(a, b):
@@ -209,7 +212,8 @@ def shard_links(points: np.ndarray, own: np.ndarray, max_bits: int) -> Forest:
         between(a[~near_a & in_a], b[near_b & out_b])
 
     owned = np.flatnonzero(own)
-    within(owned)
+    if inner:
+        within(owned)
     between(np.flatnonzero(~own), owned)
     return forest
 
@@ -239,13 +243,27 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD
         points = rows.column("fp").to_numpy().view(np.uint64)
         order = np.argsort(points, kind="stable")
         points, own = points[order], own[order]
-        roots = shard_links(points, own, max_bits).roots()
+        first = rows.column("part")[0].as_py() == 0
+        roots = shard_links(points, own, max_bits, first).roots()
         linked = np.flatnonzero(roots != np.arange(len(points)))
         signed = points.view(np.int64)
         return pa.table({"a": signed[roots[linked]], "b": signed[linked]})
 
-    dealt = prints.select("fp").mapInArrow(deal, "leaf bigint, fp bigint, own boolean")
-    return dealt.groupBy("leaf").applyInArrow(join, "a bigint, b bigint")
+    dealt = materialize(prints.select("fp").mapInArrow(deal, "leaf bigint, fp bigint, own boolean"), "dealt")
+    parted = part_guests(dealt, GUESTS_PER_POINT * shard_points)
+    return parted.groupBy("leaf", "part").applyInArrow(join, "a bigint, b bigint")
+
+
+def part_guests(dealt: DataFrame, limit: int) -> DataFrame:
+    """``dealt`` with a column ``part``: the guests of a shard that has more than ``limit`` are dealt over
+    several parts, and each part has a copy of the shard's own points. The first compares those with each other."""
+    guests = dealt.where("not own").groupBy("leaf").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
+    crowded = guests.where("parts > 1").withColumnRenamed("leaf", "crowded")
+    parts = F.coalesce("parts", F.lit(1))
+    own_parts = F.sequence(F.lit(0), parts - 1)
+    guest_part = F.array(F.pmod(F.xxhash64("fp"), parts).cast("int"))
+    joined = dealt.join(crowded, F.col("leaf") == F.col("crowded"), "left")
+    return joined.select("leaf", "fp", "own", F.explode(F.when(F.col("own"), own_parts).otherwise(guest_part)).alias("part"))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS) -> DataFrame:

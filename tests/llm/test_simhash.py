@@ -56,12 +56,13 @@ def test_fingerprint_matches_plain_form():
         assert simhash.fingerprint(text or "") == plain_fingerprint(text)
 
 
-def test_components_match_all_pairs(spark):
+def test_components_match_all_pairs(spark, monkeypatch):
     texts = fixture()
     docs = documents(spark, texts)
     want_prints = [(i, plain_fingerprint(t)) for i, t in enumerate(texts)]
     want = sorted((i, f"{p:016x}", c) for (i, p), c in zip(want_prints, plain_components(want_prints)))
-    for shard_points in (8192, 6):
+    for shard_points, guests in ((8192, 16), (6, 16), (6, 1)):  # one shard, several, several with parted guests
+        monkeypatch.setattr(simhash, "GUESTS_PER_POINT", guests)
         found = simhash.with_hex(simhash.near_duplicates(clashing(docs), shard_points=shard_points))
         assert sorted(map(tuple, found.select("doc_id", "fingerprint", "component_id").collect())) == want
 
