@@ -14,6 +14,7 @@ import heapq
 import json
 import unicodedata
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -232,16 +233,15 @@ def chunks(batches, size: int = HELD_CHARS):
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, work, schema: str) -> DataFrame:
-    """``work(doc_id, ids as text, decoded text, count)`` gives a row of ``schema`` for each row of ``docs(doc_id, text)``."""
+    """``work(doc_id, ids as text, decoded text, count)`` gives a row of ``schema`` for each row of ``docs(doc_id, text)``.
+
+    The tokenizer's file is read on the driver and sent along, so executors need no copy of it."""
     bound_batches(docs.sparkSession)
+    spec = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
     names = [part.split()[0] for part in schema.split(", ")]
 
-    def load():
-        with open(tokenizer_path, encoding="utf-8") as file:
-            return Vocabulary(json.load(file))
-
     def run(batches):
-        encoder = Encoder(worker_cache(("word_bpe", tokenizer_path), load))
+        encoder = Encoder(worker_cache(("word_bpe", tokenizer_path), lambda: Vocabulary(json.loads(spec.value))))
         for ids, texts in chunks(batches):
             rows = [work(doc_id, *row) for doc_id, row in zip(ids, encode_texts(texts, encoder))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) if i == 0 else pa.array(c) for i, c in enumerate(zip(*rows))], names=names)
