@@ -73,7 +73,11 @@ class Fingerprinter:
     def __init__(self, terms: list[str]):
         self.place = {term: i for i, term in enumerate(terms)}
         self.hashes = self.hashed(terms)
-        self.members = np.concatenate([self.member(self.hashes[at : at + 4096]) for at in range(0, len(terms) + 1, 4096)])
+        parts = [np.nonzero(self.member(self.hashes[at : at + 4096])) for at in range(0, len(terms) + 1, 4096)]
+        self.counts = np.concatenate([np.bincount(term, minlength=min(4096, len(terms) - 4096 * i)) for i, (term, _) in enumerate(parts)])
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.subsets = np.concatenate([subset for _, subset in parts]).astype(np.uint8)  # of the first term, the second, ...
+        self.powers = np.ones(1, np.uint64)
 
     @staticmethod
     def hashed(terms) -> np.ndarray:
@@ -91,14 +95,32 @@ class Fingerprinter:
         """Four hex digits for each subset, ``EMPTY`` where it holds no term of the text. A text without
         lexicon terms uses all its terms instead, so that only equal term sets agree."""
         terms = terms_of(text)
-        kept = sorted(self.place[t] for t in terms & self.place.keys())
-        hashes = self.hashes[kept] if kept else self.hashed(sorted(terms))
-        subset, term = np.nonzero((self.members[kept] if kept else self.member(hashes)).T)
-        data, cuts = hashes[term].tobytes(), (8 * np.searchsorted(subset, np.arange(SUBSETS + 1))).tolist()
-        out = []
-        for start, end in zip(cuts, cuts[1:]):
-            out.append(f"{xxhash.xxh3_64_intdigest(data[start:end]) % 65535 + 1:04x}" if end > start else EMPTY)
-        return "".join(out)
+        place = self.place.get
+        kept = np.sort(np.array([p for t in terms if (p := place(t)) is not None], np.int64))  # places follow the terms' order
+        if len(kept):
+            hashes, counts = self.hashes[kept], self.counts[kept]
+            ends = np.cumsum(counts)
+            subset = self.subsets[np.repeat(self.starts[kept] - ends + counts, counts) + np.arange(ends[-1])]
+            term = np.repeat(np.arange(len(kept)), counts)
+        else:
+            hashes = self.hashed(sorted(terms))
+            term, subset = np.nonzero(self.member(hashes))
+        order = np.argsort(subset, kind="stable")  # by subset, and in it the terms in their order
+        subset, values = subset[order].astype(np.int64), hashes[term[order]]
+        out = np.zeros(SUBSETS, ">u2")
+        if len(subset):
+            first = np.flatnonzero(np.diff(subset, prepend=-1))
+            nth = np.arange(len(subset)) - np.repeat(first, np.diff(np.append(first, len(subset))))
+            out[subset[first]] = self.digests(values, nth, first)
+        return out.tobytes().hex()
+
+    def digests(self, values: np.ndarray, nth: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """A number from 1 to 65535 for each run of term hashes: a polynomial in their order, mixed."""
+        if len(self.powers) <= nth.max():
+            self.powers = np.cumprod(np.full(2 * int(nth.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+        mixed = np.add.reduceat(values * self.powers[nth], first)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        return (mixed ^ (mixed >> np.uint64(32))) % np.uint64(65535) + np.uint64(1)
 
 
 def likeness(left: str, right: str) -> float:
