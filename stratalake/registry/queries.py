@@ -621,8 +621,9 @@ def publish_overwrite(spark, sf):
     root = scratch_path(spark, "publish")
     table = f"published_{uuid.uuid4().hex}"
     sinks.publish_overwrite(_accounts(spark, sf), table, root)
-    sinks.publish_overwrite(change.delete_where(spark.table(table), "balance < 0"), table, root)
-    return spark.table(table)
+    location = sinks.publish_overwrite(change.delete_where(spark.table(table), "balance < 0"), table, root)
+    catalog.drop_table(spark, table)  # an external table: its files stay
+    return spark.read.parquet(location)
 
 
 def _order_batches(spark, sf):
