@@ -171,5 +171,14 @@ def open_in(folder, name):
     return open(f"{folder}/csv/{name}", "w")
 
 
+def test_csv_value_that_does_not_fit_fails(spark, folder):
+    drop(spark, f"{folder}/in", [(1, "2024-01-01", "a")], TEXT, "csv")
+    drain(spark, folder, file_format="csv")
+    drop(spark, f"{folder}/in", [("one", "2024-01-01", "b")], "id_aluno string, process_date string, nome string", "csv")
+    with pytest.raises(Exception, match="not a bigint: one"):
+        drain(spark, folder, file_format="csv")
+    assert rows(arrivals.current_rows(spark, f"{folder}/out", "id_aluno"), "nome") == [("a",)]
+
+
 def test_only_a_missing_log_is_a_new_stream(spark, folder):
     assert schema_log.load(spark, f"{folder}/none") is None
