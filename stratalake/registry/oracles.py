@@ -634,21 +634,19 @@ FROM (VALUES ('spread'), ('clustered')) a(layout), (VALUES ('url'), ('id')) b(co
         "stream_upsert_fold": _with(
             {
                 "arrived": "SELECT user_id, ts AS process_date, event_id, "
-                f"CASE WHEN ts < {_EVENT_CUT} THEN 2 ELSE event_id % 3 END AS batch FROM events "
-                f"WHERE ts < {_EVENT_CUT} OR event_id % 3 < 2",
+                f"CASE WHEN ts < {_EVENT_CUT} THEN 2 WHEN event_id % 3 = 0 THEN 0 ELSE 1 END AS batch FROM events",
                 "newest": _latest("arrived", "user_id", "batch", "process_date, event_id"),
             },
             f"SELECT user_id, process_date, event_id, {_STAMP} AS ingestion_date FROM newest",
         ),
-        "overwrite_schema_merge": "SELECT o_orderkey, NULL::BIGINT AS o_custkey, o_orderpriority FROM orders "
-        "WHERE o_orderpriority = '1-URGENT'",
+        "overwrite_schema_merge": "SELECT o_orderkey, NULL::BIGINT AS o_custkey, o_orderpriority FROM orders",
         "empty_table_append": "SELECT o_orderkey AS id, CAST(o_totalprice AS DECIMAL(19,4)) AS amount, "
         "strftime(o_orderdate, '%Y-%m') AS mes FROM orders",
         "catalog_tables": """
 WITH people AS (SELECT c_nationkey FROM customer), more AS (SELECT * FROM people UNION ALL SELECT s_nationkey FROM supplier)
 SELECT 'created' AS step, c_nationkey, count(*) AS n FROM people GROUP BY c_nationkey
 UNION ALL SELECT 'appended', c_nationkey, count(*) FROM more GROUP BY c_nationkey
-UNION ALL SELECT 'replaced', c_nationkey, count(*) FROM people WHERE c_nationkey < 5 GROUP BY c_nationkey""",
+UNION ALL SELECT 'replaced', c_nationkey + 100, count(*) FROM people GROUP BY c_nationkey""",
         "schema_rejects": "SELECT declared, by_place, by_name, true AS append_refused, (SELECT count(*) FROM orders) AS rows_left "
         "FROM (VALUES ('fits', false, false), ('fewer', true, false), ('order', true, false), ('type', true, true)) "
         "t(declared, by_place, by_name)",

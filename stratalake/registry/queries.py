@@ -140,10 +140,10 @@ def schema_merge(spark, sf):
 
 @query
 def overwrite_schema_merge(spark, sf):
-    """Orders replaced by urgent ones with a priority; the columns of the former table stay, empty."""
+    """Orders replaced by their priorities; the columns of the former table stay, empty."""
     path = sinks.create_table(source(spark, sf, "orders").select("o_orderkey", "o_custkey"), scratch_path(spark, "merge"))
-    urgent = source(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_orderpriority")
-    return spark.read.parquet(sinks.overwrite_merging(urgent, path))
+    priorities = source(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return spark.read.parquet(sinks.overwrite_merging(priorities, path))
 
 
 @query
@@ -176,7 +176,7 @@ def catalog_tables(spark, sf):
     seen("created")
     catalog.append_table(source(spark, sf, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_nationkey").alias("c_nationkey")), f"{name}.people")
     seen("appended")
-    catalog.replace_table(customers.where("c_nationkey < 5"), f"{name}.people")
+    catalog.replace_table(customers.withColumn("c_nationkey", F.col("c_nationkey") + 100), f"{name}.people")
     seen("replaced")
     catalog.drop_table(spark, f"{name}.people")
     catalog.drop_database(spark, name)
@@ -820,7 +820,7 @@ def stream_upsert_fold(spark, sf):
     root = scratch_path(spark, "fold")
     older, newer = _event_drops(spark, sf)
     third = F.col("event_id") % 3
-    drops = (newer.where(third == 0), newer.where(third == 1), older)
+    drops = (newer.where(third == 0), newer.where(third != 0), older)
     for number, drop in enumerate(drops):
         drop.select("user_id", F.col("ts").alias("process_date"), "event_id").write.mode("append").parquet(f"{root}/in")
         for _ in range(2):  # the second start finds nothing new
