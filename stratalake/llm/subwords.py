@@ -8,27 +8,30 @@ import numpy as np
 
 #: Code points scanned at once; longer texts are scanned in several parts.
 PART_CHARS = 1 << 18
+BLANKS = " \t\n\v\f\r"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def parts(texts: list[str], size: int = PART_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """Lists of (index of text, part of it) of about ``size`` code points. A long text is parted at a
-    blank, or after ``size`` code points of one word."""
+    """Lists of (index of text, part of it) of at most ``size`` code points. A text that long at most is whole
+    in one list. A longer one begins a list and is parted at blanks, or after ``size`` code points of one word;
+    only its last part shares a list with later texts."""
     held, filled = [], 0
     for index, text in enumerate(texts):
+        if held and filled + len(text) > size:
+            yield held
+            held, filled = [], 0
         at = 0
         while at < len(text):
-            end = min(len(text), at + size - filled)
+            end = min(len(text), at + size)
             if end < len(text):
-                blank = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
+                blank = max(text.rfind(mark, at, end) for mark in BLANKS)
                 if blank > at:
                     end = blank
-                elif held:
-                    end = at
             held.append((index, text[at:end]))
             filled += end - at
             at = end
-            if at < len(text) or filled >= size:
+            if at < len(text):
                 yield held
                 held, filled = [], 0
     if held:

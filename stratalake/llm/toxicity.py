@@ -274,14 +274,28 @@ def train(examples: list[tuple[int, str, int]], epochs: int = EPOCHS, seed: int
 
 def log_odds(texts: list[str], tables: np.ndarray, network: Network) -> np.ndarray:
     """Log odds of label 1 of whole texts: the highest of all windows; without words the bias alone.
-    Very long texts are read in parts, each windowed whole."""
+    Very long texts are read in parts; the words from the last window on go along to the next part."""
     best = np.full(len(texts), -np.inf, np.float32)
+    unread = [len(text) for text in texts]
+    carried = np.zeros((0, INPUTS), np.float32)
     for held in parts(texts):
         scan = Scan(held, GRAM_SIZES)
         counts = np.bincount(scan.doc, minlength=len(texts))
+        inputs = np.concatenate([carried, word_inputs(scan, tables)])
+        counts[held[0][0]] += len(carried)
+        carried = inputs[:0]
+        for index, part in held:
+            unread[index] -= len(part)
+        if unread[index]:  # alone in its list; the window at a text's end comes with the last part
+            if len(inputs) < WINDOW:
+                carried = inputs
+                continue
+            last = (len(inputs) - WINDOW) // STRIDE * STRIDE
+            carried, inputs = inputs[last:], inputs[: last + WINDOW]
+            counts[index] = len(inputs)
         present = np.flatnonzero(counts)
         if len(present):
-            scores = network.text_scores(word_inputs(scan, tables), counts[present])[0]
+            scores = network.text_scores(inputs, counts[present])[0]
             best[present] = np.maximum(best[present], scores)
     return np.where(np.isfinite(best), best, network.weights["bias"][0])
 

@@ -98,6 +98,59 @@ def test_text_scores_match_one_by_one():
             assert together[i] == network.weights["bias"][0]
 
 
+@pytest.fixture(scope="module")
+def toxic_model():
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 60), 0) for i in range(40)]
+    return toxicity.train(rows + [(40 + i, prose(rng, 20) + " vile filth" * 8 + " " + prose(rng, 20), 1) for i in range(40)], epochs=4)
+
+
+def of_all_windows(text, model):
+    """Log odds of a text from one scan of it."""
+    inputs = toxicity.word_inputs(subwords.Scan([(0, text)], toxicity.GRAM_SIZES), model[0])
+    return model[1].text_scores(inputs, np.array([len(inputs)]))[0][0]
+
+
+def test_toxicity_does_not_depend_on_neighbours(toxic_model):
+    rng = random.Random(5)
+    texts = [prose(rng, 3000) for _ in range(40)]
+    before = np.cumsum([0, *map(len, texts)])
+    cut = int(np.searchsorted(before, subwords.PART_CHARS, side="right")) - 1
+    at = texts[cut].rfind(" ", 0, subwords.PART_CHARS - before[cut] - 80)
+    texts[cut] = texts[cut][:at] + " vile filth" * 16 + texts[cut][at:]  # the budget runs out in this passage
+    found = toxicity.log_odds(texts, *toxic_model)
+    assert found.argmax() == cut
+    assert found == pytest.approx(np.concatenate([toxicity.log_odds([t], *toxic_model) for t in texts]), abs=1e-4)
+
+
+def test_toxic_passage_on_the_cut_of_a_long_text(toxic_model):
+    rng = random.Random(6)
+    text = prose(rng, 130_000)
+    for number in (1, 2):
+        at = text.rfind(" ", 0, number * subwords.PART_CHARS - 60)
+        passage = text[:at] + " vile filth" * 10 + text[at:]
+        found = toxicity.log_odds(["a b", passage, prose(rng, 50)], *toxic_model)
+        assert found[1] == pytest.approx(of_all_windows(passage, toxic_model), abs=1e-4) and found.argmax() == 1
+
+
+def test_parts_of_any_length_score_like_whole_texts(toxic_model, monkeypatch):
+    rng = random.Random(7)
+    texts = [prose(rng, rng.randrange(1, 400)) + rng.choice(["", " ", "\n" * 90]) for _ in range(60)]
+    texts = [t[: (at := rng.randrange(len(t)))] + " vile filth " * rng.randrange(6) + t[at:] for t in texts]
+    want = [of_all_windows(t, toxic_model) for t in texts]
+    for size in (40, 100, 300, 1000):
+        monkeypatch.setattr(toxicity, "parts", lambda some: subwords.parts(some, size))
+        assert toxicity.log_odds(texts, *toxic_model) == pytest.approx(np.array(want), abs=1e-4)
+
+
+def test_texts_within_the_budget_stay_whole():
+    rng = random.Random(2)
+    texts = [prose(rng, rng.randrange(1, 50)) for _ in range(50)] + ["a\tbc\t" * 200]
+    held = [entry for part in subwords.parts(texts, 300) for entry in part]
+    assert held[:50] == list(enumerate(texts[:50]))
+    assert len(held) > 53 and all(p[0] == "\t" for _, p in held[51:])  # parted at tabs too, never in a word
+
+
 def test_scan_words_and_grams():
     rng = random.Random(3)
     texts = ["", "  a bb\tccc\n", "dddd", prose(rng, 5000), "a b é🙂", "x" * 3000]
