@@ -8,6 +8,8 @@ is linear in the average, the table is folded to one weight per row before the c
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,23 +29,38 @@ EPOCHS = 8
 THRESHOLD = 0.3
 
 
-def buckets(scan: Scan, size: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """(table row, index of text) of every feature of a scan."""
+def buckets(scan: Scan, size: int = BUCKETS, before: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray]:
+    """(table row, index of text) of every feature of a scan; ``before`` are the last words of the text that
+    its first part continues, which are repeated but are no features again."""
     mask = np.uint64(size - 1)
     rows = [(scan.words + np.uint64(7)) & mask, *((hashes & mask) for hashes, _ in scan.grams)]
     docs = [scan.doc, *(scan.doc[word] for _, word in scan.grams)]
+    words = np.concatenate([before, scan.words])
+    owners = np.concatenate([np.full(len(before), scan.first), scan.doc])
     for back in range(1, REPEATS + 1):  # word pairs of equal words share one row for each distance
-        again = np.flatnonzero((scan.words[back:] == scan.words[:-back]) & (scan.doc[back:] == scan.doc[:-back])) + back
+        again = np.flatnonzero((words[back:] == words[:-back]) & (owners[back:] == owners[:-back])) + back
+        again = again[again >= len(before)]
         rows.append(np.full(len(again), back, np.uint64))
-        docs.append(scan.doc[again])
+        docs.append(owners[again])
     return np.concatenate(rows).astype(np.int64), np.concatenate(docs)
 
 
+def features(texts: list[str], size: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``buckets`` of all texts, part by part; the last words of a parted text go along to its next part."""
+    before, index = np.zeros(0, np.uint64), -1
+    for held in parts(texts):
+        scan = Scan(held, GRAM_SIZES)
+        if scan.first != index:
+            before = before[:0]
+        yield buckets(scan, size, before)
+        before, index = np.concatenate([before, scan.words])[-REPEATS:], held[-1][0]
+
+
 def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Table rows of a text and their shares."""
     counts = np.zeros(BUCKETS, np.int64)
-    for held in parts([text]):
-        counts += np.bincount(buckets(Scan(held, GRAM_SIZES))[0], minlength=BUCKETS)
+    for rows, _ in features([text]):
+        counts += np.bincount(rows, minlength=BUCKETS)
     rows = np.flatnonzero(counts)
     return rows, (counts[rows] / max(1, counts.sum())).astype(np.float32)
 
@@ -85,8 +102,7 @@ def train(examples: list[tuple[int, str, int]], epochs: int = EPOCHS, seed: int
 def log_odds(texts: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
     """Log odds of label 1 of whole texts; a text without words gets the bias."""
     sums, counts = np.zeros(len(texts)), np.zeros(len(texts))
-    for held in parts(texts):
-        rows, docs = buckets(Scan(held, GRAM_SIZES), len(weights))
+    for rows, docs in features(texts, len(weights)):
         sums += np.bincount(docs, weights[rows], len(texts))
         counts += np.bincount(docs, minlength=len(texts))
     return sums / np.maximum(counts, 1) + bias

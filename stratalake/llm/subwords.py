@@ -39,7 +39,7 @@ def parts(texts: list[str], size: int = PART_CHARS) -> Iterator[list[tuple[int,
 
 
 class Scan:
-    """Words of the parts: ``doc`` (index of the text), hashes ``words``, ``lengths``; and of each
+    """Words of the parts: ``doc`` (index of the text; ``first`` is that of the first part), hashes ``words``, ``lengths``; and of each
     n-gram size the hashes with the word they belong to. Blanks at a word's ends count as one
     boundary character, and an n-gram never crosses a blank."""
 
@@ -50,6 +50,7 @@ class Scan:
         codes[blank] = 0
         first = ~blank
         first[1:] &= blank[:-1]
+        self.first = held[0][0]
         starts = np.flatnonzero(first)
         of_char = np.cumsum(first) - 1
         ends = np.cumsum([len(part) + 1 for _, part in held])

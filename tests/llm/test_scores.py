@@ -151,6 +151,22 @@ def test_texts_within_the_budget_stay_whole():
     assert len(held) > 53 and all(p[0] == "\t" for _, p in held[51:])  # parted at tabs too, never in a word
 
 
+def test_repeated_words_across_parts_are_features(monkeypatch):
+    rng = random.Random(9)
+    texts = [prose(rng, rng.randrange(1, 300), 6) + rng.choice(["", " ", "\n" * 90]) for _ in range(40)]
+    weights = np.random.default_rng(0).normal(0, 1, quality.BUCKETS).astype(np.float32)
+    weights[1 : quality.REPEATS + 1] = 50
+    whole = [quality.buckets(subwords.Scan([(0, t)], quality.GRAM_SIZES))[0] for t in texts]
+    want = np.array([weights[rows].astype(float).mean() for rows in whole])
+    for size in (10, 40, 300, 1000, 1 << 18):
+        monkeypatch.setattr(quality, "parts", lambda some: subwords.parts(some, size))
+        assert quality.log_odds(texts, weights, 0.0) == pytest.approx(want, abs=1e-9)
+        for text, rows in zip(texts, whole):
+            found, shares = quality.document_features(text)
+            assert found.tolist() == np.unique(rows).tolist()
+            assert shares == pytest.approx(np.bincount(rows)[found] / len(rows), rel=1e-5)
+
+
 def test_scan_words_and_grams():
     rng = random.Random(3)
     texts = ["", "  a bb\tccc\n", "dddd", prose(rng, 5000), "a b é🙂", "x" * 3000]
