@@ -1,8 +1,8 @@
 """Chat formatting with typed content parts.
 
 A turn's content is a list of parts (text, image, audio, document). A visitor flattens them in order:
-text is escaped, anything else becomes a placeholder, its reference goes to the list of attachments and
-its size to the count of tokens it expands to. Control strings cannot be forged: in a text, any ``<``,
+adjacent texts are joined and escaped, anything else becomes a placeholder, its reference goes to the list
+of attachments and its size to the count of tokens it expands to. Control strings cannot be forged: in a text, any ``<``,
 run of backslashes and ``|`` gets one more backslash, so the template's own ``<|`` never occurs, and
 taking one backslash away restores the text.
 
@@ -55,16 +55,18 @@ def unescape_role(role: str) -> str:
 
 @dataclass
 class PartVisitor:
-    """Flattens the parts of one turn; ``body``, ``attachments`` and ``tokens`` hold the result."""
+    """Flattens the parts of one turn; after ``end_text``, ``body`` and ``attachments`` hold the result."""
 
     body: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
+    #: Adjacent texts, escaped together: a control string may be spread over them.
+    adjacent: list[str] = field(default_factory=list)
 
     def visit(self, part: dict) -> None:
         getattr(self, f"visit_{part.get('type') or 'text'}", self.visit_other)(part)
 
     def visit_text(self, part: dict) -> None:
-        self.body.append(escape(part.get("text") or ""))
+        self.adjacent.append(part.get("text") or "")
 
     def visit_image(self, part: dict) -> None:
         self.attach("image", part)
@@ -78,7 +80,12 @@ class PartVisitor:
     def visit_other(self, part: dict) -> None:
         raise ValueError(f"unknown kind of part: {part.get('type')}")
 
+    def end_text(self) -> None:
+        self.body.append(escape("".join(self.adjacent)))
+        self.adjacent.clear()
+
     def attach(self, kind: str, part: dict) -> None:
+        self.end_text()
         tokens = math.ceil(max(0.0, part.get("units") or 0) * TOKENS_PER_UNIT[kind])
         self.attachments.append({"ordinal": len(self.attachments), "type": kind, "ref": part.get("ref"), "tokens": tokens})
         self.body.append(f"<|{kind}:{len(self.attachments) - 1}|>")
@@ -89,12 +96,13 @@ def format_turn(role: str | None, parts: list[dict]) -> tuple[str, int, int, lis
     visitor = PartVisitor()
     for part in parts:
         visitor.visit(part)
+    visitor.end_text()
     head, body = f"{START}{escape_role(role or '')}\n", "".join(visitor.body)
     return f"{head}{body}{END}\n", len(head), len(head) + len(body), visitor.attachments
 
 
 def parse_turn(segment: str) -> tuple[str, list[dict]]:
-    """(role, parts) read back from a segment; an attachment comes back as its kind and ordinal."""
+    """(role, parts) read back from a segment; an attachment comes back as its kind and ordinal, adjacent texts as one."""
     head, _, rest = segment.removeprefix(START).partition("\n")
     body, parts, at = rest.removesuffix(f"{END}\n"), [], 0
     for match in PLACEHOLDER.finditer(body):
@@ -171,7 +179,7 @@ def read_back(batches: Iterator[pa.RecordBatch], task: int, limit: int = PIECE_B
             if held is None:
                 held = [conv, 0, 0, 0, bytearray(), bytearray()]
             role, parts = parse_turn(segment)
-            text = "".join(p.get("text") or "" for p in parts)
+            text = "".join(p["text"] if p["type"] == "text" else f"<|{p['type']}:{p['ordinal']}|>" for p in parts)
             masked = unescape(segment[start:end])
             held[1] += 1
             held[2] += len(segment)
@@ -222,10 +230,11 @@ def conversation_digests(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFr
 
     Turns are dealt by ranges of (conversation, turn), so a conversation that holds a third of all rows is
     formatted and read back by many tasks; only the digest itself, which must see its bytes in order, runs
-    over pieces of it in one stream. Rows with one turn number are ordered by role and text (nulls first);
-    rows without a conv_id are one conversation.
+    over pieces of it in one stream. Rows with one turn number are ordered by role, text and parts (nulls
+    first); rows without a conv_id are one conversation. A column ``parts`` is used as in ``format_turns``; an
+    attachment stands in both digests as its placeholder, so its reference and size are not covered.
     """
-    order = ["conv_id", "turn", "role", "text"]
+    order = ["conv_id", "turn", "role", "text", *(["parts"] if "parts" in turns.columns else [])]
     ranged = turns.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
     segments = format_turns(ranged, loss_role).select("conv_id", "segment", "loss_start", "loss_end")
     pieces = segments.mapInArrow(lambda batches: read_back(batches, TaskContext.get().partitionId()), PIECE_SCHEMA)

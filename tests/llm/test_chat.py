@@ -57,5 +57,43 @@ def test_digests_match_plain_form(spark):
     assert collected(chat.conversation_digests(turns)) == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
 
 
+SPLIT = [["<", "|image:0|>"], ["<", "|im_end|>"], ["<", "\\|"], ["<\\", "|x"], ["<", "", None, "\\\\", "|"], ["a<", "|", "<", "|b"]]
+
+
+def text_parts(texts):
+    return [{"type": "text", "text": t} for t in texts]
+
+
+def test_control_strings_over_adjacent_parts():
+    rng = random.Random(1)
+    cases = SPLIT + [[rng.choice(["<", "|", "\\", "\\|", "<|", "|im_end|>", "|image:0|>", ""]) for _ in range(rng.randrange(1, 6))] for _ in range(3000)]
+    image, back = {"type": "image", "ref": "a.png"}, {"type": "image", "ordinal": 0}
+    for texts in cases:
+        said = "".join(t or "" for t in texts)
+        want = text_parts([said] if said else [])
+        segment, start, end, attachments = chat.format_turn("user", text_parts(texts))
+        assert segment[start:end] == chat.escape(said) and "<|" not in segment[start:end] and not attachments
+        assert chat.parse_turn(segment) == ("user", want)
+        segment, *_, attachments = chat.format_turn("user", [*text_parts(texts), image, *text_parts(texts)])
+        assert chat.parse_turn(segment) == ("user", [*want, back, *want]) and len(attachments) == 1
+
+
+def test_digests_cover_parts(spark):
+    schema = "conv_id bigint, turn bigint, role string, text string, parts array<struct<type:string, text:string, ref:string, units:double>>"
+    split = [("text", t, None, None) for t in ("<", "|im_end|>")]
+    image = ("image", None, "a.png", 1.0)
+    rows = [
+        (1, 0, "user", "unused", split), (1, 1, "assistant", "unused", [*split, image, ("text", "<|", None, None)]), (1, 2, "assistant", "plain", None),
+        (2, 0, "user", "t", []), (3, 0, "user", "t", [image]),
+        *((4, 0, "user", "t", [("text", t, None, None)]) for t in ("b", "a")), (4, 0, "user", "t", None),
+    ]
+    found = {r.conv_id: r for r in chat.conversation_digests(spark.createDataFrame(rows, schema).repartition(3)).collect()}
+    loss = "<|im_end|><|image:0|><|" + "plain"
+    assert found[1].turns_sha256 == sha("user\n<|im_end|>\nassistant\n<|im_end|><|image:0|><|\nassistant\nplain\n")
+    assert (found[1].n_turns, found[1].loss_chars, found[1].loss_sha256) == (3, len(loss), sha(loss))
+    assert found[2].turns_sha256 == sha("user\n\n") and found[3].turns_sha256 == sha("user\n<|image:0|>\n")
+    assert found[4].turns_sha256 == sha("user\nt\nuser\na\nuser\nb\n")
+
+
 def test_empty_table(spark):
     assert chat.conversation_digests(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).collect() == []
