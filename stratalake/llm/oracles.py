@@ -47,6 +47,51 @@ WITH fit AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+OP13 = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), firsts AS (
+  SELECT text, min(doc_id) AS first FROM texts GROUP BY text
+), marks AS (
+  SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good, max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic
+  FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 3 * length(t.text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t.text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN t.doc_id > f.first THEN 'E' ELSE '' END AS fails
+  FROM texts t JOIN firsts f ON t.text = f.text LEFT JOIN marks m ON t.doc_id = m.doc_id
+), patterns AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, fails
+), letters AS (
+  SELECT unnest(string_split('A B C D E', ' ')) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+  FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step)
+), found AS (
+  SELECT part, filter_order, step, own,
+    sum(n) FILTER (WHERE translate(fails, before || own, '') = fails) AS kept,
+    sum(n) FILTER (WHERE contains(fails, own) AND translate(fails, before, '') = fails) AS removed,
+    sum(n) FILTER (WHERE contains(fails, own) AND translate(fails, before, '') <> fails) AS redundant,
+    sum(n) FILTER (WHERE fails = own) AS unique_fails,
+    sum(good) FILTER (WHERE contains(fails, own) AND translate(fails, before, '') = fails) AS good_lost,
+    sum(toxic) FILTER (WHERE contains(fails, own) AND translate(fails, before, '') = fails) AS toxic_lost
+  FROM patterns, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, own AS filter, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+FROM found
+"""
+
 
 def sql_by_query() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2, "op3_line_dedup": OP3, "op10_exact_top_k": OP10}
+    return {"op2_chat_formatting": OP2, "op3_line_dedup": OP3, "op10_exact_top_k": OP10, "op13_filter_audit": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import bpe, chat, imatch, linededup, maxscore, packing, pii, quality, simhash, toxicity
+from stratalake.llm import audit, bpe, chat, imatch, linededup, maxscore, packing, pii, quality, simhash, tokencount, toxicity, variants
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,18 @@ def op10_exact_top_k(spark, sf):
     return maxscore.top_inner_products(table(spark, sf, "embeddings"))
 
 
+def op11_spelling_variants(spark, sf):
+    return variants.group_variants(table(spark, sf, "documents"))
+
+
+def op12_token_counts(spark, sf):
+    return tokencount.count_tokens(table(spark, sf, "documents"), WORD_BPE)
+
+
+def op13_filter_audit(spark, sf):
+    return audit.audit_filters(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def registered() -> dict:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     import corpus_pipeline

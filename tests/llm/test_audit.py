@@ -1,0 +1,121 @@
+"""The filter audit against filters applied one after the other; the query's SQL is compared in test_queries."""
+
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+from helpers import clashing, collected, documents
+
+from stratalake.llm import audit
+
+COLUMNS = ["part", "filter_order", "step", "filter", *audit.COUNTS]
+
+
+def failing(rows):
+    """Set of failed letters of each row of (doc_id, text)."""
+    out = []
+    for doc_id, text in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = {"A"} if len(words) < 200 else set()
+        fails |= {"B"} if 100 * len(set(words)) < 50 * len(words) else set()
+        fails |= {"C"} if 100 * len(re.findall("[A-Z]", text)) > 3 * len(text) else set()
+        fails |= {"D"} if re.search("[#$%&*|]", text) else set()
+        smaller = [i for i, t in rows if i is not None and doc_id is not None and i < doc_id and (t or "") == text]
+        out.append(fails | ({"E"} if smaller else set()))
+    return out
+
+
+def plain(rows, langs, labels):
+    fails = failing(rows)
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    out = []
+    for part in sorted({lang or "" for lang in langs}):
+        docs = [(rows[k][0], fails[k]) for k in range(len(rows)) if (langs[k] or "") == part]
+        steps = []
+        for order in itertools.permutations("ABCDE"):
+            left = docs
+            for step, own in enumerate(order, 1):
+                gone = [d for d in left if own in d[1]]
+                left = [d for d in left if own not in d[1]]
+                all_failing = [d for d in docs if own in d[1]]
+                steps.append((part, "".join(order), step, own, len(left), len(gone), len(all_failing) - len(gone), sum(d[1] == {own} for d in docs),
+                              sum(d[0] in good for d in gone), sum(d[0] in toxic for d in gone)))
+        for s in steps:
+            out.append((*s, sum(x[5] for x in steps if x[3] == s[3])))
+    return sorted(out, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+@pytest.fixture(scope="module")
+def case():
+    rng = random.Random(2)
+    texts = []
+    for _ in range(60):
+        n = rng.choice([10, 199, 200, 250])
+        body = " ".join(f"w{rng.randrange(rng.choice([60, 900]))}" for _ in range(n))
+        texts.append(rng.choice(["", "CAPS WORDS HERE ALL OVER " * 3]) + body + rng.choice(["", " 5%", "\t\x0bend"]))
+    texts += [texts[0]] * 20 + [None, "", None, "\x1f "]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    ids[3] = ids[4] = None
+    ids[61] = ids[60]
+    langs = [rng.choice(["en", "de", None, ""]) for _ in texts]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1])) for i in range(0, len(texts), 2)] + [(0, 1, 0), (0, 0, 1), (None, 1, 1)]
+    return texts, ids, langs, labels
+
+
+def frames(spark, case):
+    texts, ids, langs, labels = case
+    rows = [(i, t, lang, "s", None if t is None else len(t)) for i, t, lang in zip(ids, texts, langs)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    return docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+
+
+def test_filters_one_by_one(spark, case):
+    docs, labels = frames(spark, case)
+    texts, ids, langs, marks = case
+    found = collected(audit.audit_filters(docs, labels), *COLUMNS)
+    assert found == plain(list(zip(ids, texts)), langs, marks) and len(found) == audit.rows_for(3)
+    assert collected(audit.audit_filters(clashing(docs), labels), *COLUMNS) == found
+
+
+def test_one_text_on_all_rows(spark):
+    docs = documents(spark, ["same"] * 50 + [None] * 50)
+    found = {r["filter"]: r for r in audit.audit_filters(docs, spark.createDataFrame([], "doc_id bigint, quality int, toxic int")).where("filter_order = 'EABCD'").collect()}
+    assert found["E"].removed == 98 and found["A"].removed == 2 and found["A"].redundant == 98
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert audit.audit_filters(documents(spark, []), none).count() == 0
+    assert audit.audit_filters(documents(spark, ["a"]), none).count() == 600
+
+
+def test_very_long_text(spark):
+    labels = spark.createDataFrame([(0, 1, 1)], "doc_id bigint, quality int, toxic int")
+    found = audit.audit_filters(documents(spark, ["word " * 400_000, "A" * 2_000_000]), labels).where("filter_order = 'BCADE'").collect()
+    by_filter = {r["filter"]: r for r in found}
+    assert by_filter["B"].removed == 1 and by_filter["B"].good_lost == 1 and by_filter["C"].removed == 1 and by_filter["A"].redundant == 1
+
+
+def test_other_filters(spark):
+    docs = documents(spark, ["x y", "x", "x"])
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    conditions = {"L": lambda words, text: audit.F.length(text) < 2}
+    found = {(r.filter_order, r.step): r.removed for r in audit.audit_filters(docs, labels, conditions).collect()}
+    assert found == {("LE", 1): 2, ("LE", 2): 0, ("EL", 1): 1, ("EL", 2): 1}
+    with pytest.raises(ValueError):
+        audit.audit_filters(docs, labels, {"E": audit.few_words})
+
+
+def test_contraction_is_the_plain_sum():
+    rng = np.random.default_rng(0)
+    tensors = rng.integers(0, 9, (3, 2, 2, 2, 2, 2))
+    _, kept, *_ = audit.steps_of("ABCDE")
+    found = audit.contract(tensors, kept)
+    for s in (0, 7, 300, 599):
+        picked = [[i for i in (0, 1) if kept[s, axis, i]] for axis in range(5)]
+        assert found[s].tolist() == [int(t[np.ix_(*picked)].sum()) for t in tensors]

@@ -23,7 +23,7 @@ def duck():
 
 def test_registered():
     names = set(queries.registered())
-    assert names <= set(entry.queries()) and len(names) == 11 and set(oracles.sql_by_query()) < names
+    assert names <= set(entry.queries()) and len(names) == 14 and set(oracles.sql_by_query()) < names
     assert set(oracles.sql_by_query()) <= set(entry.oracle_sql())
 
 
@@ -33,7 +33,7 @@ def test_matches_sql(spark, duck, name):
     assert verdict.startswith("ok"), verdict
 
 
-@pytest.mark.parametrize("number", [1, 4, 5, 6, 7, 8])
+@pytest.mark.parametrize("number", [1, 4, 5, 6, 7, 8, 12])
 def test_one_row_for_each_document(spark, number):
     name = next(n for n in queries.registered() if n.startswith(f"op{number}_"))
     found = entry.queries()[name](spark, SF)
