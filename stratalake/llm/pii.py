@@ -31,7 +31,13 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 WIDE_DOMAIN = re.compile(r"[\w-]+(?:\.[\w-]+)*\.\w{2,}")
 URL_TAIL = re.compile(r"[^\s<>\"'`|\\^{}]*")
 PERSONAL_QUERY = re.compile(r"[?&;](?:e-?mail|user|login|password|passwd|token|api_?key|ssn|phone)=[^&;#]", re.I)
-AFTER_CUE = re.compile(r"[\s]{0,3}(?:number|no\.?|nr\.?|id|is|#)?[\s]{0,3}[:=#]?[\s]{0,3}[\"']?([A-Za-z0-9][A-Za-z0-9_/+.-]*(?: [0-9]{2,})*)", re.I)
+HOST_END = re.compile(r"[/?#]")
+#: What may stand between a cue and its value, the value's first run, and further groups of digits.
+AFTER_CUE = re.compile(r"[\s]{0,3}(?:number|no\.?|nr\.?|id|is|#)?[\s]{0,3}[:=#]?[\s]{0,3}[\"']?(?=[A-Za-z0-9])", re.I)
+VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_/+.-]*", re.I)
+VALUE_TAIL = re.compile(r"(?: [0-9]{2,})*")
+#: Code points of an IBAN of 34 characters in the smallest groups.
+LONGEST_IBAN = 68
 
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "mailto:", "tel:", "sip:")
 CUES = (
@@ -69,6 +75,11 @@ def anchors():
     return found
 
 
+def anchors_of(text: str):
+    """(last place, (kind, length)) of every anchor in ascending order."""
+    return worker_cache("pii anchors", anchors).iter(text)
+
+
 def email_at(text: str, at: int, floor: int) -> tuple[int, int] | None:
     """The address around the at-sign: the longest local part not before ``floor``, then a dotted domain."""
     start = at
@@ -90,63 +101,143 @@ def mailbox_at(text: str, at: int) -> tuple[int, int] | None:
     return start, domain.end()
 
 
-def address_at(text: str, start: int, after: int) -> tuple[int, int] | None:
-    """A link from its scheme to its end, if it names a login, a mailbox or a number."""
-    end = URL_TAIL.match(text, after).end()
-    while end > after and text[end - 1] in ".,;:!?)]":
-        end -= 1
-    scheme, rest = text[start:after].lower(), text[after:end]
-    if scheme in ("mailto:", "sip:"):
-        fits = "@" in rest[1:] and DOMAIN.match(rest, rest.index("@") + 1) is not None
-    elif scheme == "tel:":
-        fits = 7 <= sum(c.isdecimal() for c in rest) <= 15
-    else:
-        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
-        fits = "@" in host[1:] or PERSONAL_QUERY.search(rest) is not None
-    return (start, end) if fits else None
-
-
-def account_at(text: str, cue: str, start: int, after: int) -> tuple[int, int] | None:
-    """The identifier behind a cue: an IBAN, nine digits, or a code of at least 8 characters with 4 digits."""
-    if start and text[start - 1].isalnum() or (found := AFTER_CUE.match(text, after)) is None or found.start(1) == after:
-        return None
-    begin, end = found.span(1)
-    while end > begin and not text[end - 1].isalnum():
-        end -= 1
-    value, cue = text[begin:end], cue.lower()
-    plain = re.sub(r"[ ./_+-]", "", value)
-    digits = sum(c.isdecimal() for c in plain)
-    if cue == "iban":
-        fits = iban(value)
-    elif cue in ("ssn", "social security"):
-        fits = plain.isdecimal() and digits == 9
-    elif cue == "passport":
-        fits = 6 <= len(plain) <= 12 and digits >= 5
-    else:
-        fits = len(plain) >= 8 and digits >= 4
-    return (begin, end) if fits else None
+class Links:
+    """Links from their schemes, taken in ascending order, if they name a login, a mailbox or a number.
+
+    All schemes of one blank-free run share its end, and what follows them there: the next at-sign, slash or
+    personal query and the digits left are kept, so each code point is looked at a bounded number of times.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.run = text, -1
+
+    def enter(self, after: int):
+        """Start the run that holds ``after``, unless it is the current one."""
+        if after <= self.run:
+            return
+        self.run = end = URL_TAIL.match(self.text, after).end()
+        while end > after and self.text[end - 1] in ".,;:!?)]":
+            end -= 1
+        self.end, self.marks, self.domains, self.counted, self.digits = end, {}, {}, None, 0
+
+    def next(self, kind: str, after: int, find) -> int:
+        """First place from ``after`` on that ``find`` gives, beyond the text if there is none."""
+        if self.marks.get(kind, -1) < after:
+            found = find(after)
+            self.marks[kind] = len(self.text) if found < 0 else found
+        return self.marks[kind]
+
+    def next_at(self, after: int, end: int) -> int:
+        return self.next("@", after, lambda start: self.text.find("@", start, self.end))
+
+    def mailbox(self, after: int, end: int) -> bool:
+        at = self.next_at(after, end)
+        if at >= end or (at == after and self.text.find("@", after + 1, end) < 0):
+            return False
+        if at not in self.domains:
+            self.domains[at] = DOMAIN.match(self.text, at + 1, end) is not None
+        return self.domains[at]
+
+    def number(self, after: int, end: int) -> bool:
+        if self.counted is None:
+            self.digits = sum(c.isdecimal() for c in self.text[after:end])
+        else:
+            self.digits -= sum(c.isdecimal() for c in self.text[self.counted : after])
+        self.counted = after
+        return 7 <= self.digits <= 15
+
+    def login(self, after: int, end: int) -> bool:
+        slash = self.next("/", after, lambda start: found.start() if (found := HOST_END.search(self.text, start, self.end)) else -1)
+        if self.text.find("@", after + 1, min(slash, end)) >= 0:
+            return True
+        return self.next("query", after, lambda start: found.start() if (found := PERSONAL_QUERY.search(self.text, start, self.end)) else -1) < end
+
+    def at(self, start: int, after: int) -> tuple[int, int] | None:
+        """The link of the scheme from ``start`` to ``after``, to its end."""
+        self.enter(after)
+        scheme, end = self.text[start:after].lower(), max(self.end, after)
+        fits = self.mailbox if scheme in ("mailto:", "sip:") else self.number if scheme == "tel:" else self.login
+        return (start, end) if fits(after, end) else None
+
+
+class Identifiers:
+    """Identifiers behind cues, taken in ascending order: an IBAN, nine digits, or a code of at least 8 characters with 4 digits.
+
+    Values that begin in one run of characters share its end; the letters and digits left are counted once."""
+
+    def __init__(self, text: str):
+        self.text, self.begin, self.run = text, -1, -1
+
+    def measure(self, begin: int):
+        """Set the end of the value that begins there."""
+        if not self.begin <= begin < self.run:
+            self.run = VALUE.match(self.text, begin).end()
+            end = VALUE_TAIL.match(self.text, self.run).end()
+            while end > begin and not self.text[end - 1].isalnum():
+                end -= 1
+            self.end, self.counted = end, None
+        self.begin = begin
+
+    def count(self):
+        """Set ``digits`` and ``plain`` (letters and digits) of the value."""
+        if self.counted is None:
+            self.digits, self.plain = self.counts(self.begin, self.end)
+        else:
+            digits, plain = self.counts(self.counted, self.begin)
+            self.digits, self.plain = self.digits - digits, self.plain - plain
+        self.counted = self.begin
+
+    def counts(self, begin: int, end: int) -> tuple[int, int]:
+        """(digits, letters and digits)."""
+        part = self.text[begin:end]
+        return sum(map(part.count, "0123456789")), len(part) - sum(map(part.count, " ./_+-"))
+
+    def at(self, cue: str, start: int, after: int, floor: int) -> tuple[int, int] | None:
+        """The identifier behind the cue from ``start`` to ``after``, if it begins at ``floor`` or later."""
+        if start and self.text[start - 1].isalnum() or (found := AFTER_CUE.match(self.text, after)) is None:
+            return None
+        begin = found.end()
+        if begin == after or begin < floor:
+            return None
+        self.measure(begin)
+        if cue == "iban":
+            return (begin, self.end) if 15 <= self.end - begin <= LONGEST_IBAN and iban(self.text[begin : self.end]) else None
+        self.count()
+        if cue in ("ssn", "social security"):
+            fits = self.plain == self.digits == 9
+        elif cue == "passport":
+            fits = 6 <= self.plain <= 12 and self.digits >= 5
+        else:
+            fits = self.plain >= 8 and self.digits >= 4
+        return (begin, self.end) if fits else None
 
 
 def spans(text: str) -> dict[str, list[tuple[int, int]]]:
-    """(start, end) in code points of each kind, in ascending order; within a kind none overlap."""
+    """(start, end) in code points of each kind, in ascending order; within a kind none overlap.
+
+    The time grows with the length of the text alone, whatever its anchors."""
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
+    links, identifiers = Links(text), Identifiers(text)
+
+    def floor(kind):
+        return found[kind][-1][1] if found[kind] else 0
 
     def add(kind, span):
-        if span is not None and (not found[kind] or span[0] >= found[kind][-1][1]):
+        if span is not None and span[0] >= floor(kind):
             found[kind].append(span)
             return True
         return False
 
-    for last, (anchor, length) in worker_cache("pii anchors", anchors).iter(text):
+    for last, (anchor, length) in anchors_of(text):
         start, after = last + 1 - length, last + 1
         if anchor == "at":
-            floor = found["email"][-1][1] if found["email"] else 0
-            if start < floor or not add("email", email_at(text, start, floor)):
+            if start < floor("email") or not add("email", email_at(text, start, floor("email"))):
                 add("mailbox", mailbox_at(text, start))
         elif anchor == "scheme":
-            add("address", address_at(text, start, after))
+            if start >= floor("address"):
+                add("address", links.at(start, after))
         else:
-            add("account", account_at(text, text[start:after], start, after))
+            add("account", identifiers.at(text[start:after].lower(), start, after, floor("account")))
     for match in IP.finditer(text):
         parts = [part.lstrip("0") or "0" for part in match[0].split(".")]
         if all(len(part) <= 3 and int(part) <= 255 for part in parts):

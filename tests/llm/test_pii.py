@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+import time
 
+import pytest
 from helpers import clashing, collected, documents
 
 from stratalake.llm import pii
@@ -62,6 +64,74 @@ def test_anchors():
     assert kinds("the token was given to a secret account of hers") == {}
 
 
+def plain_address(text, start, after):
+    """The link of one scheme by itself: the whole rest of its run is read."""
+    end = pii.URL_TAIL.match(text, after).end()
+    while end > after and text[end - 1] in ".,;:!?)]":
+        end -= 1
+    scheme, rest = text[start:after].lower(), text[after:end]
+    if scheme in ("mailto:", "sip:"):
+        fits = "@" in rest[1:] and pii.DOMAIN.match(rest, rest.index("@") + 1)
+    elif scheme == "tel:":
+        fits = 7 <= sum(c.isdecimal() for c in rest) <= 15
+    else:
+        fits = "@" in re.split(r"[/?#]", rest, maxsplit=1)[0][1:] or pii.PERSONAL_QUERY.search(rest)
+    return (start, end) if fits else None
+
+
+def plain_account(text, cue, start, after):
+    whole = re.compile(pii.AFTER_CUE.pattern + "(" + pii.VALUE.pattern + "(?: [0-9]{2,})*)", re.I)
+    found = whole.match(text, after)
+    if start and text[start - 1].isalnum() or found is None or found.start(1) == after:
+        return None
+    begin, end = found.span(1)
+    while end > begin and not text[end - 1].isalnum():
+        end -= 1
+    value = text[begin:end]
+    plain = re.sub(r"[ ./_+-]", "", value)
+    digits = sum(c.isdecimal() for c in plain)
+    if cue == "iban":
+        fits = pii.iban(value)
+    elif cue in ("ssn", "social security"):
+        fits = plain.isdecimal() and digits == 9
+    elif cue == "passport":
+        fits = 6 <= len(plain) <= 12 and digits >= 5
+    else:
+        fits = len(plain) >= 8 and digits >= 4
+    return (begin, end) if fits else None
+
+
+def test_links_and_identifiers_one_by_one():
+    """What the kept state of a run finds is what each anchor finds by itself."""
+    rng = random.Random(8)
+    seeds = ["http://", "https://", "FTP://", "mailto:", "tel:", "sip:", "@", "a@b.c", "/", "?", "#", "&token=", "?email=x", "iban", "IBAN ", "account", "ssn ", "passport ", "token", "token1/",
+             "api key", "id", "no.", "number ", " is ", ":", "=", "'", "1", "12", "123456789", " 44", "DE89370400440532013000", "x", "é", "ſ", "K", ".", "-", "_", " ", "\n", ",", ")", "<", "a.b"]
+    for _ in range(30_000):
+        text = "".join(rng.choice(seeds) for _ in range(rng.randrange(1, 25)))
+        want = {"address": [], "account": []}
+        for last, (anchor, length) in pii.anchors_of(text):
+            start, after = last + 1 - length, last + 1
+            kind = {"scheme": "address", "cue": "account"}.get(anchor)
+            if kind:
+                span = plain_address(text, start, after) if kind == "address" else plain_account(text, text[start:after].lower(), start, after)
+                if span and (not want[kind] or span[0] >= want[kind][-1][1]):
+                    want[kind].append(span)
+        found = pii.spans(text)
+        assert {kind: found[kind] for kind in want} == want, text
+
+
+@pytest.mark.parametrize("bit", ["http://", "mailto:", "token1/", "iban ", "tokenid1/", "tokenida/", "tel:1", "sip:@", "mailto:@a", "http://x?user", "a@b.", "é@é.", "@", "1.", "+1", "x"])
+def test_a_megabyte_takes_seconds(bit):
+    started = time.perf_counter()
+    pii.spans(bit * (1_000_000 // len(bit)))
+    assert time.perf_counter() - started < 10
+
+
+def test_far_ends():
+    assert len(pii.spans("mailto:" * 50_000 + "@" + "a" * 300_000)["address"]) == 0
+    assert pii.spans("http://x" * 50_000 + "?user=1")["address"] == [(0, 400_007)]
+
+
 def test_redact():
     text = "a@b.co, 1.2.3.4 and https://x@b.co/1.2.3.4 end"
     assert pii.redact(text, pii.spans(text)) == "<EMAIL>, <IP> and <ADDRESS> end"
