@@ -237,11 +237,13 @@ def encoded(docs: DataFrame, tokenizer_path: str, work, schema: str) -> DataFram
 
     The tokenizer's file is read on the driver and sent along, so executors need no copy of it."""
     bound_batches(docs.sparkSession)
-    spec = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
+    content = Path(tokenizer_path).read_text(encoding="utf-8")
+    key = ("word_bpe", hashlib.sha256(content.encode()).hexdigest())
+    sent = docs.sparkSession.sparkContext.broadcast(content)
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches):
-        encoder = Encoder(worker_cache(("word_bpe", tokenizer_path), lambda: Vocabulary(json.loads(spec.value))))
+        encoder = Encoder(worker_cache(key, lambda: Vocabulary(json.loads(sent.value))))
         for ids, texts in chunks(batches):
             rows = [work(doc_id, *row) for doc_id, row in zip(ids, encode_texts(texts, encoder))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) if i == 0 else pa.array(c) for i, c in enumerate(zip(*rows))], names=names)

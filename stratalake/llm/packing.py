@@ -9,7 +9,9 @@ again, until no group has a gap or one group is left.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import zlib
 from pathlib import Path
 
@@ -32,9 +34,32 @@ RELEASED_BINS = 16
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-def byte_pair_encoder(spec: dict):
-    """The vocabulary of a byte-level BPE file of the tokenizers library, run by tiktoken: the same
-    merges and pattern, so the same ids, in a fifth of the time."""
+#: Blanks in a row beyond which tiktoken's pattern engine gives up (it does so at some hundred thousand).
+LONG_BLANKS = re.compile(r"\s{100000}")
+
+
+class BytePairEncoder:
+    """Ids of a byte-level BPE file of the tokenizers library, by tiktoken: the same merges and pattern, so the
+    same ids, in a fifth of the time. Texts with very long runs of blanks go to the library itself."""
+
+    def __init__(self, content: str):
+        self.content, self.library = content, None
+        self.fast = byte_pair_encoding(json.loads(content))
+
+    def ids(self, text: str) -> list[int]:
+        if len(text) < 100_000 or LONG_BLANKS.search(text) is None:
+            return self.fast.encode(text, allowed_special="all")
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_str(self.content)
+            self.library.no_truncation()
+            self.library.no_padding()
+        return self.library.encode(text, add_special_tokens=False).ids
+
+
+def byte_pair_encoding(spec: dict):
+    """The vocabulary of the file as a tiktoken encoding."""
     import tiktoken
 
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -59,14 +84,16 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
 
     The file is read on the driver and sent along, so executors need no copy of it."""
     bound_batches(docs.sparkSession)
-    spec = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
+    content = Path(tokenizer_path).read_text(encoding="utf-8")
+    key = ("byte_bpe", hashlib.sha256(content.encode()).hexdigest())
+    sent = docs.sparkSession.sparkContext.broadcast(content)
 
     def run(batches):
-        encoder = worker_cache(("byte_bpe", tokenizer_path), lambda: byte_pair_encoder(json.loads(spec.value)))
+        encoder = worker_cache(key, lambda: BytePairEncoder(sent.value))
         for batch in columns_of(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                ids = np.array([*encoder.encode(text, allowed_special="all"), end_id], "<u4")
+                ids = np.array([*encoder.ids(text), end_id], "<u4")
                 for number, (start, end) in enumerate(cut(ids, capacity)):
                     rows.append((doc_id, number, start, end - start, zlib.crc32(ids[start:end].tobytes())))
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
@@ -101,17 +128,20 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 def bin_bounds(lengths: np.ndarray, capacity: int) -> tuple[int, float]:
     """Bins that any packing needs, and the same before rounding up: the largest bounds of two families of
-    dual feasible functions, by length counts.
+    dual feasible functions, by counts of the distinct lengths.
 
     The first counts pieces above ``capacity - e`` as full, those below ``e`` as nothing and the rest
-    by length (``e`` = 0: all by length); the second rounds ``(k + 1) x`` down to multiples of the capacity.
+    by length (``e`` = 0: all by length). Only the smallest ``e`` that makes another length full can be best, so
+    there are no more to try than lengths. The second rounds ``(k + 1) x`` down to multiples of the capacity.
     """
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
-    size = np.arange(capacity + 1, dtype=np.int64)
-    whole, exact = 0, 0.0
-    for e in range(0, capacity // 2 + 1):
-        total = int(counts @ np.where(size > capacity - e, capacity, np.where(size >= e, size, 0)))
-        whole, exact = max(whole, -(-total // capacity)), max(exact, total / capacity)
+    size, counts = np.unique(lengths, return_counts=True)
+    many = np.concatenate(([0], np.cumsum(counts)))
+    sums = np.concatenate(([0], np.cumsum(counts * size)))
+    e = capacity + 1 - size
+    e = np.concatenate(([0], e[e <= capacity // 2]))
+    small, full = np.searchsorted(size, e), np.searchsorted(size, capacity - e, side="right")
+    best = int((sums[full] - sums[small] + (many[-1] - many[full]) * capacity).max())
+    whole, exact = -(-best // capacity), best / capacity
     for k in range(1, 21):
         scaled = (k + 1) * size
         values = np.where(scaled % capacity == 0, size * k, scaled // capacity * capacity)  # times k, to stay whole numbers
@@ -120,16 +150,23 @@ def bin_bounds(lengths: np.ndarray, capacity: int) -> tuple[int, float]:
     return whole, exact
 
 
+def released_bins(bins: np.ndarray, room: np.ndarray, gap: float) -> np.ndarray:
+    """Which bins a group with this gap releases: its emptiest, ``RELEASED_BINS`` more than the gap, but no more
+    than hold half of its pieces together, so that each round has at most half of the pieces of the one before."""
+    emptiest = np.argsort(-room, kind="stable")[: int(np.ceil(gap)) + RELEASED_BINS]
+    held = np.cumsum(np.bincount(bins, minlength=len(room))[emptiest])
+    released = np.zeros(len(room), bool)
+    released[emptiest[held <= len(bins) // 2]] = True
+    return released & (room > 0)
+
+
 def pack_group(lengths: np.ndarray, capacity: int, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bin, offset, released) of each piece. A group whose bins exceed its bound releases its emptiest bins,
     unless it is the last. The bound before rounding counts: groups that each meet the rounded one may
     still waste part of a bin each."""
     bins, room = best_fit_decreasing(lengths, capacity)
     gap = len(room) - bin_bounds(lengths, capacity)[1]
-    released = np.zeros(len(room), bool)
-    if gap > 1e-9 and not last:
-        released[np.argsort(-room, kind="stable")[: int(np.ceil(gap)) + RELEASED_BINS]] = True
-        released &= room > 0
+    released = released_bins(bins, room, gap) if gap > 1e-9 and not last else np.zeros(len(room), bool)
     order = np.argsort(bins, kind="stable")
     ends = np.cumsum(lengths[order])
     first = np.flatnonzero(np.diff(bins[order], prepend=-1))
@@ -157,7 +194,8 @@ def packer(capacity: int, turn: int, last: bool):
 def pack(items: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``items`` (any columns, ``length`` from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
-    Each row is placed once, repeated rows too; columns that have the names of the new ones are replaced. Lengths outside the range fail. Empty input: empty result.
+    Rounds end: each has at most half of the pieces of the one before, and one group is the last. Each row is placed
+    once, repeated rows too; columns that have the names of the new ones are replaced. Lengths outside the range fail. Empty input: empty result.
     """
     items = items.drop("sequence_id", "offset", "released_", "group_")
     columns = items.columns
@@ -181,6 +219,6 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_P
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of all rows of ``docs(doc_id, text)`` with sequence and offset; null texts are empty and hold
-    the end id alone. A row with a null doc_id is packed like any other; repeated rows are each packed.
+    the end id alone. Runs of blanks, letters or digits of any length are encoded as the library does. A row with a null doc_id is packed like any other; repeated rows are each packed.
     Other columns are not read."""
     return pack(pieces(docs, tokenizer_path, capacity, end_id), capacity)

@@ -1,5 +1,6 @@
 import json
 import random
+import time
 import zlib
 from collections import defaultdict
 from pathlib import Path
@@ -25,8 +26,27 @@ def reference_ids(texts):
 def test_ids_match_the_library():
     rng = random.Random(1)
     texts = HARD[1:] + ["".join(rng.choice("aB c'st\n\t1²é🙂中<|>.,   　\x1c") for _ in range(rng.randrange(60))) for _ in range(3000)]
-    encoder = packing.byte_pair_encoder(json.loads(Path(BYTE_BPE).read_text(encoding="utf-8")))
-    assert [encoder.encode(t, allowed_special="all") + [2] for t in texts] == reference_ids(texts)
+    encoder = packing.BytePairEncoder(Path(BYTE_BPE).read_text(encoding="utf-8"))
+    assert [encoder.ids(t) + [2] for t in texts] == reference_ids(texts)
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, "x" + " " * 1_000_000 + "y", "a" * 1_000_000, "7" * 1_000_000, "-=" * 500_000, "\u00a0" * 400_000], ids=["blanks", "lines", "between", "letter", "digit", "marks", "wide"])
+def test_a_megabyte(spark, text):
+    want = reference_ids([text])[0]
+    rows = packing.pack_documents(documents(spark, [text, "x"]), BYTE_BPE).where("doc_id = 0").orderBy("piece").collect()
+    assert sum(r.length for r in rows) == len(want)
+    assert [r.ids_crc32 for r in rows] == [zlib.crc32(np.array(want[r.start : r.start + r.length], "<u4").tobytes()) for r in rows]
+
+
+def test_a_changed_file_encodes_anew(spark, tmp_path):
+    spec = json.loads(Path(BYTE_BPE).read_text(encoding="utf-8"))
+    path, docs = tmp_path / "own.json", documents(spark, ["the weather changes " * 50])
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    before = packing.pieces(docs, str(path)).collect()
+    names = {i: t for t, i in spec["model"]["vocab"].items()}
+    spec["model"]["vocab"][names[262]], spec["model"]["vocab"][names[1000]] = 1000, 262
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    assert packing.pieces(docs, str(path)).collect() != before
 
 
 def test_pieces_and_places(spark):
@@ -85,6 +105,37 @@ def test_bound_never_exceeds_the_best():
     assert met > 130
 
 
+def test_bounds_by_distinct_lengths():
+    """The same bounds as trying every e."""
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        capacity = int(rng.integers(4, 90))
+        lengths = rng.integers(1, capacity + 1, int(rng.integers(1, 60)))
+        best = max(int(np.where(lengths > capacity - e, capacity, np.where(lengths >= e, lengths, 0)).sum()) for e in range(capacity // 2 + 1))
+        assert packing.bin_bounds(lengths, capacity)[1] >= best / capacity
+        k_best = max(int(np.where((k + 1) * lengths % capacity == 0, lengths * k, (k + 1) * lengths // capacity * capacity).sum()) / (capacity * k) for k in range(1, 21))
+        assert packing.bin_bounds(lengths, capacity)[1] == max(best / capacity, k_best)
+    started = time.perf_counter()
+    packing.bin_bounds(rng.integers(1, 300_002, 20_000), 300_001)
+    assert time.perf_counter() - started < 2
+
+
+@pytest.mark.parametrize("capacity,low,group", [(8191, 100, 400), (1024, 1, 10), (1024, 1, 50), (64, 1, 7)])
+def test_rounds_end(spark, capacity, low, group):
+    """Few pieces a group, every one of which might be released."""
+    rng = random.Random(capacity + group)
+    high = 590 if capacity == 8191 else capacity
+    lengths = [rng.randrange(low, high + 1) for _ in range(1200)]
+    items = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "id bigint, length bigint")
+    rows = packing.pack(items, capacity=capacity, group_pieces=group).collect()
+    used = defaultdict(int)
+    for r in rows:
+        used[r.sequence_id] += r.length
+    assert sorted((r.id, r.length) for r in rows) == list(enumerate(lengths)) and max(used.values()) <= capacity
+    bins, room = packing.best_fit_decreasing(np.array(lengths[:group]), capacity)
+    assert np.isin(bins, np.flatnonzero(packing.released_bins(bins, room, 5.0))).sum() <= group // 2
+
+
 def test_groups_exchange_documents(spark):
     rng = random.Random(9)
     lengths = [rng.randrange(1, 60) for _ in range(4000)]
