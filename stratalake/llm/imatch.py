@@ -8,7 +8,7 @@ each of several random subsets of the lexicon. Dense subsets hash many terms, so
 texts only; sparse ones hold a term or two of a text, so the share that agrees tells how much two texts
 have in common.
 
-Texts meet their successors by ranges of the id: each range is sorted and streamed, and the first row
+Texts meet their successors by ranges of (id, text hash): each range is sorted and streamed, and the first row
 of every range is also sent to the range before it.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -34,6 +35,8 @@ LEVELS, REPEATS = 11, 16
 SUBSETS = LEVELS * REPEATS
 #: Terms that a task counts before it hands the counts on.
 HELD_TERMS = 300_000
+#: Terms of a lexicon that are sent to all tasks at most.
+MOST_TERMS = 2_000_000
 EMPTY = "0000"
 
 
@@ -41,9 +44,9 @@ def terms_of(text: str) -> set[str]:
     return set(TERM.findall(text.lower()))
 
 
-def lexicon(docs: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE) -> list[str]:
+def lexicon(docs: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE, most: int = MOST_TERMS) -> list[str]:
     """Sorted terms within the band, counted over the whole texts of all rows. The band starts at 2
-    documents at least, and ends at 2 at least."""
+    documents at least, and ends at 2 at least. More than ``most`` terms fail, as they are broadcast."""
     bound_batches(docs.sparkSession)
 
     def count(batches):
@@ -64,7 +67,12 @@ def lexicon(docs: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE) -
     total = docs.count()
     counted = docs.select("text").mapInArrow(count, "term string, docs bigint").groupBy("term").agg(F.sum("docs").alias("docs"))
     band = counted.where((F.col("docs") >= max(2, low * total)) & (F.col("docs") <= max(2, high * total)))
-    return sorted(row.term for row in band.select("term").toLocalIterator())
+    terms = []
+    for row in band.select("term").toLocalIterator():
+        terms.append(row.term)
+        if len(terms) > most:
+            raise ValueError(f"over {most} terms are in the band from {low} to {high}: narrow it, or raise the bound if tasks can hold them")
+    return sorted(terms)
 
 
 class Fingerprinter:
@@ -136,31 +144,52 @@ def likeness(left: str, right: str) -> float:
     return float(agree[sparse].sum() / max(1, held[sparse].sum()))
 
 
-class Ranges:
-    """Buckets of (doc_id, text_hash) by borders of doc_id; null ids come first."""
+def ranges(rows: DataFrame, count: int) -> list[tuple[bool, int, int]]:
+    """First key of each of about ``count`` ranges of about equal numbers of keys, ascending: (id is there, doc_id, text_hash).
 
-    def __init__(self, borders: list[int]):
-        self.borders = np.array(borders, np.int64)
+    Keys are told apart by text too, so an id that many rows share, or that is missing, is split like any other; rows
+    with one key are equal rows, which need no splitting (see ``dealt_rows``)."""
+    keys = rows.select(F.col("doc_id").isNotNull().alias("named"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "text_hash").distinct()
+    names = ["named", "doc_id", "text_hash"]
+    parted = keys.repartitionByRange(count, *names) if count > 1 else keys.coalesce(1)
+    found = parted.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*names)).alias("first")).collect()  # a row for each range
+    return sorted((row.first.named, row.first.doc_id, row.first.text_hash) for row in found)
 
-    def of(self, ids: pa.Array) -> np.ndarray:
-        found = np.searchsorted(self.borders, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right")
-        found[ids.is_null().to_numpy(zero_copy_only=False)] = 0
-        return found
 
+def dealt_rows(rows: DataFrame, borders: list[tuple[bool, int, int]]) -> DataFrame:
+    """(bucket, guest, doc_id, text_hash, copies, squeezed): every row in its range, and the first row of a range as a guest of
+    the range before it. A task sends the text of equal rows once, and how many more it has."""
 
-def ranges(rows: DataFrame, count: int) -> tuple[Ranges, dict[int, tuple]]:
-    """Ranges of about equal size, and the first (doc_id, text_hash) of each that has rows."""
-    cuts = rows.approxQuantile("doc_id", [i / count for i in range(1, count)], 0.2 / count) if count > 1 else []
-    dealt = Ranges(sorted({int(c) for c in cuts}))
+    def deal(batches):
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        types = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["bucket", "guest", "doc_id", "text_hash", "copies", "squeezed"]
+        more: Counter = Counter()
+
+        def rows_of(out):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+        def bucket_of(doc_id, text_hash):
+            return bisect_right(borders, (doc_id is not None, doc_id or 0, text_hash)) - 1
 
-    def bucket(batches):
         for batch in columns_of(batches):
-            yield batch.append_column("bucket", pa.array(dealt.of(batch.column("doc_id"))))
+            out = []
+            for doc_id, text_hash, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), texts_of(batch)):
+                more[doc_id, text_hash] += 1
+                if more[doc_id, text_hash] > 1:
+                    continue
+                squeezed = squeeze(text.encode())
+                bucket = bucket_of(doc_id, text_hash)
+                out.append((bucket, False, doc_id, text_hash, 1, squeezed))
+                if borders[bucket] == (doc_id is not None, doc_id or 0, text_hash):
+                    out.append(((bucket or len(borders)) - 1, True, doc_id, text_hash, 0, squeezed))
+            if out:
+                yield rows_of(out)
+        repeats = [(bucket_of(*key), False, *key, n - 1, None) for key, n in more.items() if n > 1]
+        for at in range(0, len(repeats), 10_000):
+            yield rows_of(repeats[at : at + 10_000])
 
-    numbered = rows.mapInArrow(bucket, "doc_id bigint, text_hash bigint, bucket bigint")
-    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "text_hash")).alias("first")
-    found = numbered.groupBy("bucket").agg(first).collect()  # a row for each range
-    return dealt, {row.bucket: (row.first.doc_id, row.first.text_hash) for row in found}
+    return rows.mapInArrow(deal, "bucket int, guest boolean, doc_id bigint, text_hash bigint, copies bigint, squeezed binary")
 
 
 def with_successors(docs: DataFrame, work, schema: str) -> DataFrame:
@@ -168,41 +197,37 @@ def with_successors(docs: DataFrame, work, schema: str) -> DataFrame:
     followed by the first. Rows of one id follow each other by text hash; null ids come first."""
     spark = docs.sparkSession
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = id_and_text(docs).withColumn("text_hash", F.coalesce(F.xxhash64("text"), F.lit(0)))
-    dealt, firsts = ranges(rows.select("doc_id", "text_hash"), count)
-    used = sorted(firsts)
-    before = {bucket: used[i - 1] for i, bucket in enumerate(used)}
+    rows = id_and_text(docs).withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    borders = ranges(rows, count)
 
-    def deal(batches):
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for batch in columns_of(batches):
-            ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
-            out = []
-            for bucket, doc_id, text_hash, text in zip(dealt.of(batch.column("doc_id")).tolist(), ids, hashes, texts_of(batch)):
-                squeezed = squeeze(text.encode())
-                out.append((bucket, False, doc_id, text_hash, squeezed))
-                if firsts[bucket] == (doc_id, text_hash):
-                    out.append((before[bucket], True, doc_id, text_hash, squeezed))
-            types = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["bucket", "guest", "doc_id", "text_hash", "squeezed"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-
-    def stream(batches):
+    def keys(batches):
+        """(bucket, guest, doc_id, text, copies) of each key of a range."""
         unpack = zstandard.ZstdDecompressor().decompress
+        held = None
         for batch in columns_of(batches):
-            columns = (batch.column(c).to_pylist() for c in ("bucket", "guest", "doc_id", "squeezed"))
-            for bucket, guest, doc_id, squeezed in zip(*columns):
-                yield bucket, guest, doc_id, unpack(squeezed).decode()
+            for bucket, guest, doc_id, text_hash, copies, squeezed in zip(*(c.to_pylist() for c in batch.columns)):
+                key = (bucket, guest, doc_id, text_hash)
+                if held is not None and held[0] == key:
+                    held[2] += copies
+                    continue
+                if held is not None:
+                    yield *held[0][:3], held[1], held[2]
+                held = [key, unpack(squeezed).decode(), copies]
+        if held is not None:
+            yield *held[0][:3], held[1], held[2]
 
     def pairs(batches):
-        held = None
-        for bucket, guest, doc_id, text in stream(batches):
-            if held is not None and held[0] == bucket:
-                yield held[2], held[3], text
-            held = None if guest else (bucket, guest, doc_id, text)
-
-    moved = rows.mapInArrow(deal, "bucket int, guest boolean, doc_id bigint, text_hash bigint, squeezed binary")
-    order = ["bucket", "guest", F.asc_nulls_first("doc_id"), "text_hash"]
+        before = None
+        for bucket, guest, doc_id, text, copies in keys(batches):
+            if before is not None and before[0] == bucket:
+                _, own_id, own, times = before
+                for _ in range(times - 1):
+                    yield own_id, own, own
+                yield own_id, own, text
+            before = None if guest else (bucket, doc_id, text, copies)
+
+    moved = dealt_rows(rows, borders)
+    order = ["bucket", "guest", F.asc_nulls_first("doc_id"), "text_hash", F.col("squeezed").isNull()]
     ranged = moved.repartitionById(count, F.col("bucket")).sortWithinPartitions(*order)
     return ranged.mapInArrow(lambda batches: work(pairs(batches)), schema)
 

@@ -1,7 +1,8 @@
 import hashlib
 import random
 
-from helpers import clashing, documents, prose
+import pytest
+from helpers import clashing, collected, documents, prose
 from pyspark.sql import functions as F
 
 from stratalake.llm import imatch
@@ -41,6 +42,38 @@ def test_rows_match_plain_form(spark):
             assert tuple(rows[doc]) == want
 
 
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_hot_ids_and_equal_rows(spark, partitions):
+    """Half of the ids are null, one id has a third of the rest, and one row comes forty times: over several tasks, as the plain form."""
+    rng = random.Random(4)
+    texts = [prose(rng, rng.choice([1, 5, 60]), 500) for _ in range(160)] + [None, ""]
+    ids = [None if i % 2 else 7 if i % 3 == 0 else i for i in range(len(texts))]
+    docs = documents(spark, texts + ["the same row"] * 40 + [texts[1]] * 5, ids + [7] * 40 + [None] * 5)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    ordered = sorted(((r.doc_id is not None, r.doc_id or 0, r.h, r.text) for r in rows.collect()))
+    want = []
+    for (named, doc_id, _, text), (*_, following) in zip(ordered, ordered[1:] + ordered[:1]):
+        changed = imatch.edited(text, following)
+        want.append((doc_id if named else None, len(text), hashlib.sha256(changed.encode()).hexdigest()))
+    found = imatch.fingerprint_documents(docs)
+    assert collected(found, "doc_id", "n_chars", "edited_sha256") == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+    if partitions != "1":
+        borders = imatch.ranges(rows.select("doc_id", F.col("h").alias("text_hash")), 20)
+        assert sum(not named for named, *_ in borders) > 2 and sum(doc_id == 7 for _, doc_id, _ in borders) > 1
+
+
+def test_too_large_a_lexicon_fails(spark):
+    with pytest.raises(ValueError, match="over 3 terms"):
+        imatch.lexicon(documents(spark, ["a b c d e f"] * 4), 0.1, 1.0, most=3)
+
+
+@pytest.mark.parametrize("text", ["x" * 1_000_000, "ab " * 400_000, "\n" * 1_000_000])
+def test_a_megabyte(spark, text):
+    rows = {r.doc_id: r for r in imatch.fingerprint_documents(documents(spark, [text, "a b", text])).collect()}
+    assert rows[0].n_chars == len(text) and rows[0].fingerprint == rows[2].fingerprint
+
+
 def test_likeness():
     rng = random.Random(1)
     words = [f"t{i}" for i in range(3000)]
