@@ -1,13 +1,14 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
 A text is read in windows of ``WINDOW`` words, each overlapping the next by half. A word's input is
-made of two learned tables: evidence of its hashed form, and of its hashed character n-grams (mean,
-largest and smallest), so that spellings never seen as words still count. The network runs over a
-window in both directions, attention pools its states, and the window gets a score; a text scores as
+made of learned embedding rows: that of its hashed form, and those of its hashed character n-grams (mean, and
+largest and smallest of the first dimension), so that spellings never seen as words still count. The network runs
+over a window in both directions, attention pools its states, and the window gets a score; a text scores as
 its most toxic window. Labels belong to texts, so training takes the window of each text that scores
-highest and follows its gradient (multiple-instance learning), in numpy, in one task, on a bounded
-sample of labelled rows. The tables that training sees for a row come from the other half of the
-rows, so the network does not learn to trust evidence that a row gave itself.
+highest and follows its gradient (multiple-instance learning) down to the embedding rows, in numpy, in one
+task, on a bounded sample of labelled rows. The first dimension starts from counted log odds; those that training
+sees for a row come from the other half of the rows, so the network does not learn to trust evidence that a
+row gave itself. The second dimension starts at random.
 """
 
 from __future__ import annotations
@@ -25,10 +26,18 @@ from stratalake.llm.subwords import Scan, parts
 BUCKETS = 1 << 18
 GRAM_SIZES = (4, 5, 6)
 WINDOW, STRIDE = 32, 16
-HIDDEN, INPUTS = 8, 6
+HIDDEN, INPUTS = 8, 8
+#: Dimensions of an embedding row.
+DIMENSIONS = 2
 #: Labelled rows of each class that training reads.
 ROWS_PER_CLASS = 4000
 EPOCHS = 12
+#: Windows of a training step.
+BATCH = 64
+#: Training rounds between two looks at all windows of all texts for the one that scores highest.
+LOOK_EVERY = 4
+#: Step of the embedding rows, relative to the root of the sum of their squared gradients.
+TABLE_RATE = 0.01
 THRESHOLD = 0.5
 #: Weight of the prior in the evidence of a bucket, in rows.
 PRIOR_ROWS = 8.0
@@ -54,25 +63,51 @@ def evidence(seen: np.ndarray, toxic: np.ndarray, prior: float) -> np.ndarray:
     return (np.log(share / (1 - share)) - np.log(prior / (1 - prior))).astype(np.float32)
 
 
+class WordInputs:
+    """Inputs of each word of a scan, (words, INPUTS): first dimension of the word's row; mean, largest and smallest first
+    dimension of its n-grams' rows; length; one; second dimension of the word's row, and its mean over the n-grams.
+
+    ``read(kind, dimension, slots, words)`` gives values of embedding rows (kind 0: words, 1: n-grams) that belong to the
+    scan's words of these numbers."""
+
+    def __init__(self, scan: Scan, read):
+        self.words, grams, owners = slots(scan)
+        count = len(self.words)
+        self.inputs = np.zeros((count, INPUTS), np.float32)
+        if not count:
+            self.grams, self.owners = grams, owners
+            return
+        order = np.argsort(owners, kind="stable")
+        self.grams, self.owners = grams[order], owners[order]
+        self.counts = np.bincount(owners, minlength=count)
+        self.held = np.flatnonzero(self.counts)
+        self.firsts = (np.cumsum(self.counts) - self.counts)[self.held]
+        every, out = np.arange(count), self.inputs
+        self.values = read(1, 0, self.grams, self.owners).astype(np.float32, copy=False)
+        out[:, 0] = read(0, 0, self.words, every)
+        out[:, 1] = np.bincount(self.owners, self.values, count) / np.maximum(self.counts, 1)
+        if len(self.held):
+            out[self.held, 2] = np.maximum.reduceat(self.values, self.firsts)
+            out[self.held, 3] = np.minimum.reduceat(self.values, self.firsts)
+        out[:, 4] = np.minimum(scan.lengths, 24) / 12
+        out[:, 5] = 1
+        out[:, 6] = read(0, 1, self.words, every)
+        out[:, 7] = np.bincount(self.owners, read(1, 1, self.grams, self.owners), count) / np.maximum(self.counts, 1)
+
+    def back(self, gradient: np.ndarray) -> list[list[np.ndarray]]:
+        """Gradients of the values read, by kind and dimension, from those of the inputs. Equal extremes share theirs."""
+        g = gradient[self.owners] / np.maximum(self.counts, 1)[self.owners, None]
+        first = g[:, 1]
+        for column in (2, 3):
+            extreme = self.values == self.inputs[self.owners, column]
+            ties = np.bincount(self.owners, extreme, len(self.words))
+            first = first + np.where(extreme, gradient[self.owners, column] / np.maximum(ties, 1)[self.owners], 0)
+        return [[gradient[:, 0], gradient[:, 6]], [first, g[:, 7]]]
+
+
 def word_inputs(scan: Scan, tables: np.ndarray) -> np.ndarray:
-    """Inputs of each word, (words, INPUTS): word evidence, mean, largest and smallest n-gram evidence, length, one."""
-    words, grams, owners = slots(scan)
-    out = np.zeros((len(words), INPUTS), np.float32)
-    if not len(words):
-        return out
-    values = tables[1][grams]
-    sums, counts = np.bincount(owners, values, len(words)), np.bincount(owners, minlength=len(words))
-    order = np.argsort(owners, kind="stable")
-    held = np.flatnonzero(counts)
-    firsts = (np.cumsum(counts) - counts)[held]
-    out[:, 0] = tables[0][words]
-    out[:, 1] = sums / np.maximum(counts, 1)
-    if len(held):
-        out[held, 2] = np.maximum.reduceat(values[order], firsts)
-        out[held, 3] = np.minimum.reduceat(values[order], firsts)
-    out[:, 4] = np.minimum(scan.lengths, 24) / 12
-    out[:, 5] = 1
-    return out
+    """Inputs by ``tables`` (kind, dimension, bucket)."""
+    return WordInputs(scan, lambda kind, dimension, rows, words: tables[kind, dimension][rows]).inputs
 
 
 def windows(count: int) -> np.ndarray:
@@ -130,7 +165,8 @@ class Network:
         return (scores, states, share, value, tape) if keep else scores
 
     def gradients(self, inputs: np.ndarray, mask: np.ndarray, labels: np.ndarray, costs: np.ndarray):
-        """Loss gradients over windows (windows, WINDOW, INPUTS) by back-propagation through time."""
+        """Loss gradients over windows (windows, WINDOW, INPUTS) by back-propagation through time: those of the weights, and of
+        the inputs as ``x``."""
         w, count = self.weights, len(labels)
         steps = np.stack([inputs.transpose(1, 0, 2), inputs[:, ::-1].transpose(1, 0, 2)], axis=1)
         scores, states, share, value, tape = self.forward(np.matmul(steps, w["inputs"]), mask, keep=True)
@@ -146,6 +182,8 @@ class Network:
             out["attention"][part] = np.einsum("tb,tbh->h", d_energy, states[:, side])
             d_states[:, side] = d_value[..., None] * w["output"][part] + d_energy[..., None] * w["attention"][part]
         d_h = np.zeros((2, count, HIDDEN), np.float32)
+        out["x"] = np.zeros((count, WINDOW, INPUTS), d_score.dtype)
+        backwards = w["inputs"].transpose(0, 2, 1)
         for t in reversed(range(WINDOW)):
             h, z, r, n, u = tape[t]
             d_h = d_h + np.stack([d_states[t, 0], d_states[WINDOW - 1 - t, 1]])
@@ -157,6 +195,9 @@ class Network:
             d_x = np.concatenate([d_z, d_r, d_n], axis=-1)
             d_u = np.concatenate([d_z, d_r, d_n * r], axis=-1)
             out["inputs"] += np.matmul(steps[t].transpose(0, 2, 1), d_x)
+            d_step = np.matmul(d_x, backwards)
+            out["x"][:, t] += d_step[0]
+            out["x"][:, WINDOW - 1 - t] += d_step[1]
             out["states"] += np.matmul(h.transpose(0, 2, 1), d_u)
             d_h = d_h + d_new * z + np.matmul(d_u, w["states"].transpose(0, 2, 1))
         return out
@@ -214,9 +255,54 @@ def chosen(inputs: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.n
     return inputs[np.minimum(rows, len(inputs) - 1)] * mask[..., None], np.ascontiguousarray(mask.T)
 
 
+class Tables:
+    """Embedding rows while they are trained: counted log odds of each half of the rows, and what training adds to them."""
+
+    def __init__(self, seen: np.ndarray, toxic: np.ndarray, prior: float, rng: np.random.Generator):
+        self.whole = evidence(seen.sum(axis=0), toxic.sum(axis=0), prior)
+        self.others = np.stack([evidence(seen[1 - k], toxic[1 - k], prior) for k in (0, 1)])
+        self.learned = np.zeros((2, DIMENSIONS, BUCKETS), np.float32)
+        self.learned[:, 1] = rng.normal(0, 0.1, (2, BUCKETS))
+        self.squares = np.zeros_like(self.learned)
+
+    def reader(self, halves: np.ndarray):
+        """Values as training sees them, for words whose texts are in these halves."""
+
+        def read(kind, dimension, rows, words):
+            values = self.learned[kind, dimension][rows]
+            return values + self.others[halves[words], kind, rows] if dimension == 0 else values
+
+        return read
+
+    def step(self, made: WordInputs, gradient: np.ndarray, rate: float):
+        """Move the rows that were read, each by its own sum of gradients."""
+        for kind, (rows, found) in enumerate(zip((made.words, made.grams), made.back(gradient))):
+            held, place = np.unique(rows, return_inverse=True)
+            for dimension, values in enumerate(found):
+                total = np.bincount(place, values, len(held)).astype(np.float32)
+                self.squares[kind, dimension][held] += total * total
+                self.learned[kind, dimension][held] -= np.float32(rate) * total / np.sqrt(self.squares[kind, dimension][held] + 1e-8)
+
+    def final(self) -> np.ndarray:
+        """The rows for scoring: odds of all rows and what training added."""
+        out = self.learned.copy()
+        out[:, 0] += self.whole
+        return out
+
+
+def word_starts(text: str) -> np.ndarray:
+    """Place of the first character of each word."""
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
+    first = ~blank
+    first[1:] &= blank[:-1]
+    return np.flatnonzero(first).astype(np.int32)
+
+
 def train(examples: list[tuple[int, str, int]], epochs: int = EPOCHS, seed: int = 0) -> tuple[np.ndarray, Network]:
     """(tables, network) from (doc_id, text, label) rows; with one class or no rows all scores are the smoothed prior."""
     examples = sorted(examples)
+    texts = [text for _, text, _ in examples]
     labels = np.array([label for _, _, label in examples], np.float32)
     network = Network(seed)
     seen = np.zeros((2, 2, BUCKETS), np.float32)  # half of the rows, words or n-grams
@@ -231,45 +317,66 @@ def train(examples: list[tuple[int, str, int]], epochs: int = EPOCHS, seed: int
             seen[half[i], kind, found[kind]] += 1
             toxic[half[i], kind, found[kind]] += label
     prior = float((labels.sum() + 1) / (len(labels) + 2))
-    tables = evidence(seen.sum(axis=0), toxic.sum(axis=0), prior)
+    rng = np.random.default_rng(seed)
+    tables = Tables(seen, toxic, prior, rng)
     if len(set(labels.tolist())) < 2:
         network.weights["output"][:] = 0
         network.weights["bias"][0] = np.log(prior / (1 - prior))
-        return tables, network
-    others = [evidence(seen[1 - k], toxic[1 - k], prior) for k in (0, 1)]
-    inputs, counts = [], []
-    for i, (_, text, _) in enumerate(examples):
-        own = [word_inputs(Scan(held, GRAM_SIZES), others[half[i]]) for held in parts([text])]
-        counts.append(sum(map(len, own)))
-        inputs += own
-    inputs = np.concatenate(inputs or [np.zeros((1, INPUTS), np.float32)])
-    counts = np.array(counts)
-    ends = np.cumsum(counts)
-    rng = np.random.default_rng(seed)
+        return tables.final(), network
+    starts = [word_starts(text) for text in texts]
+    counts = np.array([len(s) for s in starts])
     mean, spread = ({k: np.zeros_like(v) for k, v in network.weights.items()} for _ in range(2))
-    turn, batch = 0, 32
+    turn = 0
     worded = np.flatnonzero(counts)
-    # the first round takes the window with the most evidence, later ones the window that scores highest
-    strength = np.maximum(inputs[:, 0], 0) + np.maximum(inputs[:, 2], 0)
-    places = np.zeros(len(counts), np.int64)
-    for i in worded:
-        starts = windows(int(counts[i])) + ends[i] - counts[i]
-        total = np.append(0, np.cumsum(strength[ends[i] - counts[i] : ends[i]], dtype=np.float64))
-        local = starts - (ends[i] - counts[i])
-        places[i] = starts[np.argmax(total[np.minimum(local + WINDOW, counts[i])] - total[local])]
+    places = np.zeros(len(counts), np.int64)  # first word of the window that each text trains with
+
+    def look(epoch):
+        """The window of each text that scores highest; at first the one with the most evidence."""
+        unread, made, owners = [len(text) for text in texts], [], []
+        for held in parts(texts):
+            scan = Scan(held, GRAM_SIZES)
+            made.append(WordInputs(scan, tables.reader(half[scan.doc])).inputs)
+            owners.append(scan.doc)
+            for index, part in held:
+                unread[index] -= len(part)
+            if unread[held[-1][0]]:
+                continue  # the rest of this text comes with the next parts
+            inputs, numbers = np.concatenate(made), np.concatenate(owners)
+            some = np.unique(numbers)
+            ends = np.cumsum(counts[some])
+            if epoch:
+                places[some] = network.text_scores(inputs, counts[some])[1] - (ends - counts[some])
+            else:
+                total = np.append(0, np.cumsum(np.maximum(inputs[:, 0], 0) + np.maximum(inputs[:, 2], 0), dtype=np.float64))
+                for i, end in zip(some, ends):
+                    first = windows(int(counts[i]))
+                    begin = end - counts[i] + first
+                    places[i] = first[np.argmax(total[np.minimum(begin + WINDOW, end)] - total[begin])]
+            made, owners = [], []
+
     for epoch in range(epochs):
-        if epoch:
-            places = network.text_scores(inputs, counts)[1]
-        for picked in np.array_split(rng.permutation(worded), max(1, len(worded) // batch)):
-            x, mask = chosen(inputs, places[picked], ends[picked])
+        if epoch % LOOK_EVERY == 0 or epoch == 1:
+            look(epoch)
+        for picked in np.array_split(rng.permutation(worded), max(1, len(worded) // BATCH)):
+            held = []
+            for k, i in enumerate(picked):
+                end = places[i] + WINDOW
+                held.append((k, texts[i][starts[i][places[i]] : starts[i][end] if end < counts[i] else None]))
+            scan = Scan(held, GRAM_SIZES)
+            made = WordInputs(scan, tables.reader(half[picked][scan.doc]))
+            ends = np.cumsum(np.bincount(scan.doc, minlength=len(picked)))
+            x, mask = chosen(made.inputs, np.append(0, ends[:-1]), ends)
             turn += 1
-            rate = 0.02 * (1 - epoch / epochs) + 0.001
-            for name, g in network.gradients(x, mask, labels[picked], np.ones(len(picked), np.float32)).items():
+            slowing = 1 - epoch / epochs
+            rate = 0.02 * slowing + 0.001
+            found = network.gradients(x, mask, labels[picked], np.ones(len(picked), np.float32))
+            tables.step(made, found.pop("x")[mask.T > 0], TABLE_RATE * slowing)
+            for name, g in found.items():
                 mean[name] = 0.9 * mean[name] + 0.1 * g
                 spread[name] = 0.99 * spread[name] + 0.01 * g * g
                 step = (mean[name] / (1 - 0.9**turn)) / (np.sqrt(spread[name] / (1 - 0.99**turn)) + 1e-6)
                 network.weights[name] -= np.float32(rate) * step.astype(np.float32)
-    return tables, network
+    return tables.final(), network
 
 
 def log_odds(texts: list[str], tables: np.ndarray, network: Network) -> np.ndarray:

@@ -77,6 +77,57 @@ def test_gradients_match_differences():
             assert found[name].reshape(-1)[place] == pytest.approx((above - below) / 2e-3, rel=0.05, abs=2e-4)
 
 
+def test_embedding_gradients_match_differences():
+    """The loss as a function of single embedding rows, through the inputs of windows of words."""
+    rng = np.random.default_rng(5)
+    tables = rng.normal(0, 1, (2, toxicity.DIMENSIONS, toxicity.BUCKETS))
+    network = toxicity.Network(2)
+    network.weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    held = [(0, "vile words and vile words again"), (1, "a few others, vile"), (2, "x")]
+    labels, costs = np.array([1.0, 0, 1]), np.ones(3)
+    scan = subwords.Scan(held, toxicity.GRAM_SIZES)
+    ends = np.cumsum(np.bincount(scan.doc))
+
+    def forward():
+        made = toxicity.WordInputs(scan, lambda kind, dimension, rows, words: tables[kind, dimension][rows])
+        x, mask = toxicity.chosen(made.inputs.astype(np.float64), np.append(0, ends[:-1]), ends)
+        return made, x, mask
+
+    def loss():
+        _, x, mask = forward()
+        steps = np.stack([x.transpose(1, 0, 2), x[:, ::-1].transpose(1, 0, 2)], axis=1)
+        s = network.forward(np.matmul(steps, network.weights["inputs"]), mask).astype(np.float64)
+        return (np.logaddexp(0, s) - labels * s).mean()
+
+    made, x, mask = forward()
+    back = made.back(network.gradients(x, mask, labels, costs)["x"][mask.T > 0])
+    for kind, rows in enumerate((made.words, made.grams)):
+        for dimension in range(toxicity.DIMENSIONS):
+            for row in rng.choice(np.unique(rows), 8, replace=False) if kind else np.unique(rows):
+                want = back[kind][dimension][rows == row].sum()
+                kept = tables[kind, dimension, row]
+                tables[kind, dimension, row] = kept + 1e-3
+                above = loss()
+                tables[kind, dimension, row] = kept - 1e-3
+                below = loss()
+                tables[kind, dimension, row] = kept
+                assert want == pytest.approx((above - below) / 2e-3, rel=0.08, abs=3e-4)
+
+
+def test_training_moves_the_embedding_rows(toxic_model):
+    """Rows of toxic words rise above those of plain words, in what training added to the counts too."""
+    tables, _ = toxic_model
+    scan = subwords.Scan([(0, "vile filth")], toxicity.GRAM_SIZES)
+    plain = subwords.Scan([(0, " ".join(f"w{i}" for i in range(40)))], toxicity.GRAM_SIZES)
+    assert tables.shape == (2, toxicity.DIMENSIONS, toxicity.BUCKETS)
+    assert tables[0, 0][toxicity.slots(scan)[0]].min() > tables[0, 0][toxicity.slots(plain)[0]].max()
+    before = toxicity.train([(0, "vile filth", 1), (1, "w1 w2", 0)] * 3, epochs=0)[0]
+    after = toxicity.train([(0, "vile filth", 1), (1, "w1 w2", 0)] * 3, epochs=3)[0]
+    moved = np.flatnonzero((before != after).any(axis=(0, 1)))
+    touched = np.concatenate([np.concatenate(toxicity.slots(s)[:2]) for s in (scan, subwords.Scan([(0, "w1 w2")], toxicity.GRAM_SIZES))])
+    assert len(moved) and set(moved) <= set(touched)
+
+
 def test_every_window_is_scored():
     for count in (0, 1, 31, 32, 33, 48, 49, 200):
         starts = toxicity.windows(count)
@@ -105,6 +156,77 @@ def toxic_model():
     return toxicity.train(rows + [(40 + i, prose(rng, 20) + " vile filth" * 8 + " " + prose(rng, 20), 1) for i in range(40)], epochs=4)
 
 
+MASK64 = (1 << 64) - 1
+
+
+def plain_mixed(h):
+    h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & MASK64
+    return h ^ (h >> 32)
+
+
+def plain_features(text):
+    """Table rows of a text, a word and an n-gram at a time, in whole numbers."""
+    mix, rows, words = 0x9E3779B97F4A7C15, [], []
+    for word in text.split():
+        power, h = 1, 0
+        for c in word:
+            power = power * (mix | 1) & MASK64
+            h = (h + (ord(c) + 1) * power) & MASK64
+        words.append(plain_mixed(h))
+        rows.append((words[-1] + 7) & MASK64)
+        bounded = [0, *map(ord, word), 0]
+        for size in quality.GRAM_SIZES:
+            for at in range(len(bounded) - size + 1):
+                h = 0
+                for c in bounded[at : at + size]:
+                    h = (h * mix + c) & MASK64
+                rows.append(plain_mixed((h + size) & MASK64))
+    for back in range(1, quality.REPEATS + 1):
+        rows += [back for i in range(back, len(words)) if words[i] == words[i - back]]
+    return [r % quality.BUCKETS for r in rows]
+
+
+def test_quality_features_and_score_match_a_plain_form():
+    rng = random.Random(12)
+    weights = np.random.default_rng(1).normal(0, 1, quality.BUCKETS)
+    texts = ["", "a", "ab é🙂 ab ab", "x" * 300, *(prose(rng, rng.randrange(1, 120), 30) for _ in range(30))]
+    want = [sum(weights[r] for r in rows) / len(rows) + 0.25 if (rows := plain_features(t)) else 0.25 for t in texts]
+    assert quality.log_odds(texts, weights, 0.25) == pytest.approx(np.array(want), abs=1e-9)
+
+
+def test_quality_training_matches_a_plain_form():
+    """Every step of two rounds over a few texts, by sums over single features."""
+    examples = [(3, "good plain words", 1), (1, "bad bad bad", 0), (2, "words words", 0), (5, "", 1)]
+    weights, bias = quality.train(examples, epochs=2, seed=4)
+    rng = np.random.default_rng(4)
+    table = {}
+    drawn = rng.normal(0, 1 / quality.DIMENSIONS, (quality.BUCKETS, quality.DIMENSIONS)).astype(np.float32)
+    ordered = sorted(examples)
+    prior = np.log(3 / 3)
+    layer, offset, turn = np.zeros((quality.DIMENSIONS, 2)), [0.0, prior], 0
+    for _ in range(2):
+        for i in rng.permutation(4):
+            rate = 0.5 * (1 - turn / 8) + 0.01
+            turn += 1
+            features = plain_features(ordered[i][1])
+            share = {row: features.count(row) / len(features) for row in features}
+            for row in share:
+                table.setdefault(row, drawn[row].astype(float))
+            average = sum((share[row] * table[row] for row in share), np.zeros(quality.DIMENSIONS))
+            scores = [average @ layer[:, k] + offset[k] for k in (0, 1)]
+            chance = [np.exp(s) / sum(np.exp(x) for x in scores) for s in scores]
+            wrong = [chance[k] - (ordered[i][2] == k) for k in (0, 1)]
+            back = layer[:, 0] * wrong[0] + layer[:, 1] * wrong[1]
+            for k in (0, 1):
+                layer[:, k] = layer[:, k] - rate * wrong[k] * average
+                offset[k] -= rate * 0.1 * wrong[k]
+            for row in share:
+                table[row] = table[row] - rate * min(len(share), 200) * share[row] * back
+    assert bias == pytest.approx(offset[1] - offset[0], abs=1e-4)
+    for row, value in table.items():
+        assert weights[row] == pytest.approx(value @ (layer[:, 1] - layer[:, 0]), abs=1e-4)
+
+
 def of_all_windows(text, model):
     """Log odds of a text from one scan of it."""
     inputs = toxicity.word_inputs(subwords.Scan([(0, text)], toxicity.GRAM_SIZES), model[0])
