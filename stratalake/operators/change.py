@@ -16,14 +16,14 @@ def insert_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     return table.unionByName(rows)
 
 
-def _is_true(condition: str | Column) -> Column:
+def is_true(condition: str | Column) -> Column:
     condition = F.expr(condition) if isinstance(condition, str) else condition
     return F.coalesce(condition, F.lit(False))
 
 
 def update_where(table: DataFrame, condition: str | Column, values: Mapping[str, Column]) -> DataFrame:
     """Set columns where the condition is true; where it is NULL the row stays as it is."""
-    hit = _is_true(condition)
+    hit = is_true(condition)
     types = {f.name: f.dataType for f in table.schema.fields}
     return table.withColumns(
         {name: F.when(hit, value.cast(types[name])).otherwise(F.col(name)) for name, value in values.items()}
@@ -32,7 +32,7 @@ def update_where(table: DataFrame, condition: str | Column, values: Mapping[str,
 
 def delete_where(table: DataFrame, condition: str | Column) -> DataFrame:
     """Drop rows where the condition is true; where it is NULL the row stays."""
-    return table.where(~_is_true(condition))
+    return table.where(~is_true(condition))
 
 
 def merge(
@@ -65,7 +65,7 @@ def merge(
     if isinstance(delete_missing, bool):
         stays = F.lit(not delete_missing)
     else:
-        stays = ~_is_true(delete_missing)
+        stays = ~is_true(delete_missing)
     # one expression: no part of it can be evaluated below the join, past the check
     matches = F.col(_MATCHES)
     decided = F.when(matches.isNull(), stays).otherwise(F.lit(False))

@@ -65,8 +65,7 @@ def cluster(df: DataFrame, columns: str | Sequence[str], files: int) -> DataFram
     if len(columns) == 1:
         key = F.col(columns[0])
         return df.repartitionByRange(files, key, spread).sortWithinPartitions(key)
-    key = z_value(df, columns, bits_for(files, len(columns)))
-    ordered = df.withColumns({"__z": key, "__spread": spread})
+    ordered = with_z_value(df, columns, bits_for(files, len(columns)), "__z").withColumn("__spread", spread)
     return ordered.repartitionByRange(files, "__z", "__spread").sortWithinPartitions("__z").drop("__z", "__spread")
 
 
@@ -75,40 +74,47 @@ def bits_for(files: int, columns: int) -> int:
     return max(1, math.ceil((math.log2(max(1, files)) + 2) / columns))
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
-    """Interleaved bits of the ranges that the values of ``columns`` fall into."""
+#: Rows for each border that are sampled, on average.
+ROWS_PER_BORDER = 64
+
+
+def with_z_value(df: DataFrame, columns: Sequence[str], bits: int, name: str) -> DataFrame:
+    """``df`` with the interleaved bits of the ranges that the values of ``columns`` fall into.
+
+    The size of the plan depends on the number of columns alone: borders are one sorted array a column, which a
+    subquery makes, each row searches them in ``bits`` halvings, and one more loop interleaves the found ranges."""
     if bits * len(columns) > 62:
         raise ValueError("too many columns or bits for a 64-bit key")
-    key = F.lit(0).cast("bigint")
-    for place, column in enumerate(columns):
-        bucket = _bucket(F.col(f"`{column}`"), range_borders(df, column, 1 << bits))
-        for bit in range(bits):
-            taken = F.shiftright(bucket, bit).bitwiseAND(F.lit(1))
-            key = key.bitwiseOR(F.shiftleft(taken, bit * len(columns) + place))
-    return key
+    borders = range_borders(df, columns, bits)
+    arrays, buckets = ([f"__{kind}{place}" for place in range(len(columns))] for kind in ("borders", "bucket"))
+    held = df.withColumns({array: borders.select(f"b{place}").scalar() for place, array in enumerate(arrays)})
+    found = held.withColumns({bucket: _bucket(F.col(f"`{column}`"), F.col(array), bits) for bucket, column, array in zip(buckets, columns, arrays)}).drop(*arrays)
+    taken = " | ".join(f"shiftleft(shiftright({bucket}, bit) & 1L, bit * {len(columns)} + {place})" for place, bucket in enumerate(buckets))
+    return found.withColumn(name, F.expr(f"aggregate(sequence(0, {bits - 1}), 0L, (key, bit) -> key | {taken})")).drop(*buckets)
 
 
-def range_borders(df: DataFrame, column: str, count: int) -> list:
-    """Smallest values of ``count`` range partitions of the column, ascending, without the first.
+def range_borders(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+    """One row of arrays ``b0``, ``b1``, ...: for each column the ``2 ** bits - 1`` values that part it into ranges of about
+    equal size, ascending, of any type Spark can order.
 
-    Spark's own ranges serve any type it can order, whole values and not a prefix or a rounded number.
-    Only this column is shuffled, and at most ``count`` values reach the driver.
-    """
-    values = df.select(F.col(f"`{column}`").alias("v")).where("v IS NOT NULL")
-    ranges = values.repartitionByRange(count, "v").groupBy(F.spark_partition_id().alias("p")).agg(F.min("v").alias("v"))
-    return [r.v for r in ranges.select("v").distinct().orderBy("v").collect()][1:]
+    They come from one random sample of the rows, about ``ROWS_PER_BORDER`` for each range whatever the size of the
+    table, which one task sorts; where the values of the sample are few, borders repeat."""
+    wanted = ROWS_PER_BORDER << bits
+    total = df.count()
+    sample = df.sample(min(1.0, 1.1 * wanted / total), seed=7) if total > wanted else df
+    values = sample.agg(*[F.sort_array(F.collect_list(F.col(f"`{c}`"))).alias(f"v{i}") for i, c in enumerate(columns)])
+    place = f"cast(k * size(v{{i}}) div {1 << bits} as int)"
+    return values.select(*[F.expr(f"transform(sequence(1, {(1 << bits) - 1}), k -> get(v{i}, {place.format(i=i)}))").alias(f"b{i}") for i in range(len(columns))])
 
 
-def _bucket(value: Column, borders: list) -> Column:
-    """Number of borders at or below the value, by binary search; NULL counts as lowest."""
+def _bucket(value: Column, borders: Column, bits: int) -> Column:
+    """Number of borders at or below the value, by halving; NULL counts as lowest."""
+    steps = F.array(*[F.lit(1 << bit).cast("bigint") for bit in reversed(range(bits))])
 
-    def between(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low).cast("bigint")
-        middle = (low + high) // 2
-        return F.when(value < F.lit(borders[middle]), between(low, middle)).otherwise(between(middle + 1, high))
+    def halved(low: Column, step: Column) -> Column:
+        return F.when(F.get(borders, (low + step - 1).cast("int")) <= value, low + step).otherwise(low)
 
-    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(between(0, len(borders)))
+    return F.aggregate(steps, F.lit(0).cast("bigint"), halved)
 
 
 def layout_report(spark: SparkSession, layouts: Mapping[str, str], condition: Column) -> DataFrame:
@@ -121,3 +127,18 @@ def layout_report(spark: SparkSession, layouts: Mapping[str, str], condition: Co
         return whole.select(F.lit(name).alias("layout"), "files", "bytes", "files_hit", "rows_hit")
 
     return union_all(one(name, path) for name, path in layouts.items())
+
+
+def scanned(df: DataFrame) -> dict[str, int]:
+    """Run a query without shuffles and return what its scans counted themselves: ``files`` listed and ``rows`` of the row
+    groups read, those that a filter above the scan drops included."""
+    run = df._jdf.queryExecution()
+    run.toRdd().count()
+    leaves = run.executedPlan().collectLeaves()
+    found = {"files": 0, "rows": 0}
+    for place in range(leaves.size()):
+        metrics = leaves.apply(place).metrics()
+        for name, metric in (("files", "numFiles"), ("rows", "numOutputRows")):
+            if metrics.contains(metric):
+                found[name] += metrics.apply(metric).value()
+    return found

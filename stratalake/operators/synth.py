@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +41,11 @@ def cascade(draws: list[Column]) -> Column:
     return chosen
 
 
-def synthetic_sales(base: DataFrame, draws: list[Column]) -> DataFrame:
-    """One sale per row of ``base``: day, category, amount in [0, 1000) and month key."""
+def synthetic_sales(base: DataFrame, draws: list[Column], keep: Sequence[str] = ()) -> DataFrame:
+    """One sale per row of ``base``: the columns to ``keep``, day, category, amount in [0, 1000) and month key."""
     day = F.date_add(F.lit(FIRST_DAY).cast("date"), F.floor(draws[0] * DAYS).cast("int"))
     sales = base.select(
+        *keep,
         day.alias("data_venda"),
         cascade(draws[1:5]).alias("categoria"),
         (draws[5] * 1000).alias("valor"),

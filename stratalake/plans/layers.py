@@ -9,8 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from stratalake.plans import racing, star
-from stratalake.plans.silver import clean
+from stratalake.plans.silver import clean, clean_sifted
 from stratalake.plans.specs import SILVER
+from stratalake.session import scratch_path
 from stratalake.sources.files import NULL_MARKER, read_csv, stamped, table_counts
 from stratalake.sources.sinks import current_path, publish_path, table_path
 
@@ -41,7 +42,7 @@ def ingest(
             df = stamped(df, stamp_column, stamp)
         return name, publish_path(df, f"{target}/{name}")
 
-    return dict(_each(load, files.items(), parallel))
+    return dict(each(load, files.items(), parallel))
 
 
 def ingest_csv(spark: SparkSession, files: Mapping[str, str], target: str, **options) -> dict[str, str]:
@@ -54,7 +55,7 @@ def ingest_parquet(spark: SparkSession, files: Mapping[str, str], target: str, *
     return ingest(spark, files, target, lambda s, p: s.read.parquet(p), **options)
 
 
-def _each(job: Callable, items: Iterable, parallel: int) -> list:
+def each(job: Callable, items: Iterable, parallel: int) -> list:
     """Run independent table jobs side by side so small tables do not leave executors idle."""
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         return list(pool.map(job, items))
@@ -74,7 +75,28 @@ def build_silver(
         landed = spark.read.parquet(current_path(spark, f"{bronze}/{name}"))
         return name, publish_path(clean(landed, SILVER[name], stamp, reproducible_ids, wide), f"{silver}/{name}")
 
-    return dict(_each(one, list(SILVER), parallel))
+    return dict(each(one, list(SILVER), parallel))
+
+
+def build_silver_sifted(
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    refused: str,
+    stamp: Column | None = None,
+    wide: bool = False,
+    reproducible_ids: bool = False,
+    parallel: int = PARALLEL_TABLES,
+) -> dict[str, dict[str, int]]:
+    """As ``build_silver``, with the rows that break a rule published below ``refused``; returns the counts of each table."""
+    def one(name: str) -> tuple[str, dict[str, int]]:
+        landed = spark.read.parquet(current_path(spark, f"{bronze}/{name}"))
+        rows, bad, counts = clean_sifted(landed, SILVER[name], scratch_path(spark, "sifted"), stamp, reproducible_ids, wide)
+        publish_path(bad, f"{refused}/{name}")
+        publish_path(rows, f"{silver}/{name}")
+        return name, counts
+
+    return dict(each(one, list(SILVER), parallel))
 
 
 def gold_plans(
@@ -110,7 +132,7 @@ def build_gold(
     def one(name: str) -> tuple[str, str]:
         return name, publish_path(plans[name](), f"{gold}/{name}")
 
-    written = dict(_each(one, list(plans), parallel))
+    written = dict(each(one, list(plans), parallel))
     daily = star.agg_product_day(
         spark.read.parquet(written["FactInternetSales"]), spark.read.parquet(written["DimProduct"]), wide
     )
@@ -154,7 +176,7 @@ def run_racing(spark: SparkSession, files: Mapping[str, str], dst: str, stamp: C
         "constructors": lambda: racing.silver_constructors(raw["constructors"], stamp),
         "constructor_results": lambda: racing.silver_constructor_results(raw["constructor_results"], stamp),
     }
-    paths = dict(_each(lambda name: (name, publish_path(plans[name](), f"{dst}/silver/{name}")), list(plans), PARALLEL_TABLES))
+    paths = dict(each(lambda name: (name, publish_path(plans[name](), f"{dst}/silver/{name}")), list(plans), PARALLEL_TABLES))
     silver = {name: spark.read.parquet(path) for name, path in paths.items()}
     gold = {
         "race_results": racing.race_results(silver["results"], silver["races"], silver["circuits"], silver["drivers"]),

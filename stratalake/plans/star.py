@@ -270,10 +270,14 @@ def _online_headers(tables: Tables, extra: list[str], unique: Collection[str]) -
     return online.withColumnRenamed("SalesOrderID", "OrderKey")
 
 
-def _lines(tables: Tables, extra: list[str], unique: Collection[str]) -> DataFrame:
+def _lines(tables: Tables, extra: list[str], unique: Collection[str], by_order: bool = False) -> DataFrame:
     # deduplicated on the line id alone, a shorter key than silver's, hence never in `unique`
     # unless the caller knows line ids to be unique across orders
-    return _latest(tables, "sales_salesorderdetail", "SalesOrderDetailID", [*_LINE_COLUMNS, *extra], unique)
+    columns = [*_LINE_COLUMNS, *extra]
+    if by_order and "sales_salesorderdetail" not in unique:
+        wanted = tables["sales_salesorderdetail"].select("SalesOrderDetailID", *columns, "ModifiedDate")
+        return latest_per_key(wanted, ["SalesOrderID", "SalesOrderDetailID"]).drop("ModifiedDate")
+    return _latest(tables, "sales_salesorderdetail", "SalesOrderDetailID", columns, unique)
 
 
 def fact_internet_sales(
@@ -281,11 +285,13 @@ def fact_internet_sales(
     unique: Collection[str] = (),
     wide: bool = False,
     columns: Sequence[str] | None = None,
+    by_order: bool = False,
 ) -> DataFrame:
     """Order lines of online orders with their dimension keys (NULL when a dimension row is missing).
 
     A key lookup never adds or drops a line, so with ``columns`` only the lookups behind
-    the requested columns run.
+    the requested columns run. ``by_order`` says that a line id belongs to one order: lines are then
+    deduplicated within their order, so tables bucketed by the order id (``sources.buckets``) meet without a shuffle.
     """
     schema = gold_schema("FactInternetSales", wide)
     if columns is not None:
@@ -299,7 +305,7 @@ def fact_internet_sales(
     online = _online_headers(tables, ["ShipDate"], unique)
     orders = keyed(online, "sales_customer", "CustomerID", "CustomerKey")
     orders = keyed(orders, "sales_salesterritory", "TerritoryID", "SalesTerritoryKey")
-    lines = _lines(tables, [], unique).where((F.col("OrderQty") > 0) & (F.col("UnitPrice") > 0))
+    lines = _lines(tables, [], unique, by_order).where((F.col("OrderQty") > 0) & (F.col("UnitPrice") > 0))
     sales = lookup_join(lines, orders, "SalesOrderID", "OrderKey", "inner")
     sales = keyed(sales, "production_product", "ProductID", "ProductKey")
     sales = keyed(sales, "sales_specialoffer", "SpecialOfferID", "PromotionKey")
@@ -349,6 +355,11 @@ def agg_product_day(fact: DataFrame, product: DataFrame, wide: bool = False) ->
     daily = fact.groupBy(
         F.col("ProductKey").alias("ProductID"), F.to_date("OrderDateKey").alias("OrderDate")
     ).agg(F.sum("OrderQty").alias("qty"), F.sum("LineTotal").alias("amount"))
+    return named_days(daily, product, wide)
+
+
+def named_days(daily: DataFrame, product: DataFrame, wide: bool = False) -> DataFrame:
+    """The daily aggregate of ``daily`` (ProductID, OrderDate, qty, amount) with the products' names."""
     names = product.select(
         F.col("ProductKey"),
         "ProductName",

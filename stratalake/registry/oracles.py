@@ -328,10 +328,11 @@ SELECT f.SalesOrderID, f.SalesOrderDetailID, f.OrderDateKey AS order_date, f.Due
 FROM fact f JOIN product p ON f.ProductKey = p.ProductKey JOIN date_rows ON f.OrderDateKey = DateKey""",
         ),
         "run_layers": _layer_run(),
+        "run_increments": _increments(),
     }
 
 
-def _layer_run() -> str:
+def _layer_ctes() -> dict[str, str]:
     """Silver rules and deduplication first, then the fact and product dimension over silver."""
     silver = {
         "sales_salesorderheader": "h_all",
@@ -344,14 +345,29 @@ def _layer_run() -> str:
     for name, out in silver.items():
         ctes.update(_silver_ctes(name, out))
     ctes["fact"] = f"""
-SELECT p.ProductID AS ProductKey, {_GOLD_TOTAL} AS LineTotal
+SELECT p.ProductID AS ProductKey, h.OrderDate AS OrderDateKey, d.OrderQty, {_GOLD_TOTAL} AS LineTotal
 FROM d JOIN (SELECT * FROM h_all WHERE OnlineOrderFlag = 1) h ON d.SalesOrderID = h.SalesOrderID
 LEFT JOIN p ON d.ProductID = p.ProductID WHERE d.OrderQty > 0 AND d.UnitPrice > 0"""
     ctes["product"] = """
-SELECT p.ProductID AS ProductKey, p.Name AS ProductName, k.Name AS CategoryName
+SELECT p.ProductID AS ProductKey, p.Name AS ProductName, k.Name AS CategoryName, s.Name AS SubcategoryName
 FROM p LEFT JOIN s ON p.ProductSubcategoryID = s.ProductSubcategoryID
 LEFT JOIN k ON s.ProductCategoryID = k.ProductCategoryID"""
-    return _with(ctes, _BY_CATEGORY)
+    return ctes
+
+
+def _layer_run() -> str:
+    return _with(_layer_ctes(), _BY_CATEGORY)
+
+
+def _increments() -> str:
+    """Drops leave no trace: the daily aggregate over all rows at once."""
+    days = {
+        "days": """
+SELECT f.ProductKey AS ProductID, CAST(OrderDateKey AS DATE) AS OrderDate, ProductName, CategoryName AS ProductCategoryName,
+  SubcategoryName AS ProductSubcategoryName, sum(OrderQty) AS TotalOrderQty, sum(LineTotal) AS TotalLineTotal
+FROM fact f LEFT JOIN product p ON f.ProductKey = p.ProductKey GROUP BY ALL"""
+    }
+    return _with({**_layer_ctes(), **days}, _gold("ft_agg_product_day", "days"))
 
 
 # ---------------------------------------------------------------- racing
@@ -470,6 +486,62 @@ def _counts(names: dict[str, str]) -> str:
     )
 
 
+#: Events as they arrive in three drops, a part of each drop twice, each with the greatest time of the drops before less two days.
+_LATE = {
+    "arrived": """
+SELECT event_id, ts, event_type, 0 AS drop FROM events WHERE ts < TIMESTAMP '2024-01-10' AND event_id % 4 <> 3
+UNION ALL SELECT event_id, ts, event_type, 1 FROM events
+WHERE (ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20') OR (event_id % 4 = 3 AND ts < TIMESTAMP '2024-01-10')
+  OR (ts < TIMESTAMP '2024-01-10' AND event_id % 5 = 0)
+UNION ALL SELECT event_id, ts, event_type, 2 FROM events WHERE ts >= TIMESTAMP '2024-01-20' OR event_id % 7 = 0""",
+    "seen": "SELECT d.drop, date_trunc('millisecond', max(ts)) - INTERVAL 2 DAY AS watermark FROM (SELECT DISTINCT drop FROM arrived) d "
+    "LEFT JOIN arrived a ON a.drop < d.drop GROUP BY d.drop",
+    "judged": "SELECT a.*, watermark FROM (SELECT * FROM arrived UNION ALL SELECT * FROM arrived WHERE event_id % 11 = 0) a "
+    "JOIN seen ON a.drop = seen.drop",
+}
+
+
+def _quarantine() -> str:
+    """Refused rows of the tables that have rules, with the texts of those that are not true."""
+    ctes, parts = {}, []
+    for name, spec in SILVER.items():
+        if spec.rules:
+            ctes.update({n: t for n, t in _silver_ctes(name, f"{name}_clean").items() if n != f"{name}_clean"})
+            broken = ", ".join(f"CASE WHEN NOT coalesce(({rule}), false) THEN '{rule.replace(chr(39), 2 * chr(39))}' END" for rule in spec.rules)
+            key = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in spec.keys)
+            parts.append(
+                f"SELECT '{name}' AS table_name, {key} AS key, array_to_string(list_filter([{broken}], lambda x: x IS NOT NULL), '; ') AS broken "
+                f"FROM {name}_filled WHERE NOT coalesce(({_VALID[name]}), false)"
+            )
+    return _with(ctes, " UNION ALL ".join(parts))
+
+
+def _quarantine_counts() -> str:
+    ctes, parts = {}, []
+    for name, spec in SILVER.items():
+        ctes.update({n: t for n, t in _silver_ctes(name, f"{name}_clean").items() if n != f"{name}_clean"})
+        valid = f"coalesce(({_VALID.get(name, 'TRUE')}), false)"
+        counted = {"rows": "TRUE", "kept": valid, "refused": f"NOT {valid}"} | {rule: f"NOT coalesce(({rule}), false)" for rule in spec.rules}
+        for what, condition in counted.items():
+            parts.append(f"SELECT '{name}' AS table_name, '{what.replace(chr(39), 2 * chr(39))}' AS what, count(*) FILTER (WHERE {condition}) AS n FROM {name}_filled")
+    return _with(ctes, " UNION ALL ".join(parts))
+
+
+#: Update, delete, merge and replacement one upon the other, by the remainder of the order key.
+_CHANGE_FILES = """
+WITH o AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(19,4)) AS price, o_orderkey % 1000 AS r FROM orders
+), changed AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN r < 20 THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
+    CAST(CASE WHEN r < 20 THEN price * 2 ELSE price END AS DECIMAL(19,4)) AS price, CAST(NULL AS VARCHAR) AS note, r
+  FROM o WHERE NOT r BETWEEN 15 AND 30
+)
+SELECT * EXCLUDE (r) FROM changed WHERE NOT r BETWEEN 25 AND 40 AND NOT r BETWEEN 38 AND 44
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, price, 'merged' FROM o WHERE r BETWEEN 25 AND 37
+UNION ALL SELECT o_orderkey, o_custkey, 'R', price, 'replaced' FROM o WHERE r BETWEEN 38 AND 44 AND o_custkey % 2 = 0
+"""
+
+
 def _plain() -> dict[str, str]:
     lines = "SELECT {c} FROM lineitem"
     sale = {
@@ -584,6 +656,7 @@ SELECT CAST(DATE '2022-01-01' + CAST(floor({_draw(0)} * 729) AS INTEGER) AS DATE
         "merge_delete_missing": _with(
             _MERGE, "SELECT * FROM kept WHERE balance >= 0 OR balance IS NULL UNION ALL SELECT * FROM s"
         ),
+        "change_files": _CHANGE_FILES,
         "merge_partitioned": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 AND month(o_orderdate) IN (1, 8, 11) THEN 'X' "
         "ELSE o_orderstatus END AS o_orderstatus, CASE WHEN month(o_orderdate) <> 8 THEN strftime(o_orderdate, '%m') END AS mes "
         "FROM orders",
@@ -615,11 +688,37 @@ FROM (VALUES ('spread'), ('clustered')) a(layout), (VALUES ('url'), ('id')) b(co
         "synth_sales": _with(sale, "SELECT *, strftime(data_venda, '%Y-%m') AS ano_mes FROM sales"),
         "synth_range": _with(
             {
-                "base": "SELECT range AS o_orderkey FROM range((SELECT count(*) FROM orders))",
-                "sales": sale["sales"].replace("FROM orders", "FROM base"),
+                "base": "SELECT range AS o_orderkey FROM range((SELECT min(o_orderkey) FROM orders), (SELECT max(o_orderkey) + 1 FROM orders))",
+                "sales": sale["sales"].replace("FROM orders", "FROM base").replace("SELECT ", "SELECT o_orderkey AS id, ", 1),
             },
-            "SELECT * REPLACE (CAST(valor AS DECIMAL(19,4)) AS valor), strftime(data_venda, '%Y-%m') AS ano_mes FROM sales",
+            "SELECT s.* REPLACE (CAST(valor AS DECIMAL(19,4)) AS valor), strftime(data_venda, '%Y-%m') AS ano_mes, "
+            "CAST(o_totalprice AS DECIMAL(19,4)) AS price, o_orderstatus FROM sales s LEFT JOIN orders ON id = o_orderkey",
         ),
+        "bloom_lookup": "SELECT * FROM orders WHERE o_custkey IN (1, 17, 60, 101, 1234)",
+        "stream_bounded": "SELECT * FROM events",
+        "stream_first_rows": _with(
+            _LATE,
+            "SELECT event_id, ts, event_type FROM judged WHERE NOT coalesce(ts <= watermark, false) GROUP BY ALL",
+        ),
+        "stream_late_rows": _with(
+            _LATE,
+            "SELECT event_id, ts, event_type, watermark AS missed_watermark FROM judged WHERE ts <= watermark",
+        ),
+        "stream_csv_any_order": _with(
+            {
+                "arrived": "SELECT event_id % 500 AS key, ts AS process_date, "
+                "event_id % 100 + CASE WHEN ts >= TIMESTAMP '2024-01-21' THEN 0.5 ELSE 0 END AS val, "
+                "CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN event_type END AS event_type, "
+                'CASE WHEN ts >= TIMESTAMP \'2024-01-21\' THEN user_id END AS "user", '
+                "CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch FROM events",
+                "newest": _latest("arrived", "key", "batch", 'process_date, val, event_type, "user"'),
+            },
+            f'SELECT key, process_date, CAST(val AS DOUBLE) AS val, event_type, "user", {_STAMP} AS ingestion_date FROM newest',
+        ),
+        "stream_fold_growth": "SELECT event_id, ts AS process_date, user_id, "
+        f"CASE WHEN event_id % 10 < 9 AND event_id % 3 = 0 THEN 'again' ELSE event_type END AS event_type, {_STAMP} AS ingestion_date FROM events",
+        "quarantine_rows": _quarantine(),
+        "quarantine_counts": _quarantine_counts(),
         "stream_append": "SELECT * FROM events",
         "stream_csv_evolve": _with(
             {
@@ -669,7 +768,12 @@ UNION ALL SELECT 'replaced', c_nationkey + 100, count(*) FROM people GROUP BY c_
     }
 
 
+#: Queries that reach the rows of another one in another way.
+_SAME_ROWS = {"fact_bucketed": "fact_sales", "merge_files": "merge_upsert", "merge_files_delete": "merge_delete_missing"}
+
+
 def sql_by_query() -> dict[str, str]:
     short = {"sales_salesorderdetail": "silver_lineitem", "sales_salesorderheader": "silver_orders"}
     silver = {short.get(n, f"silver_{n.split('_', 1)[1]}"): _silver(n) for n in SILVER}
-    return {**_plain(), **silver, **_dimensions(), **_gold_reports(), **_racing()}
+    texts = {**_plain(), **silver, **_dimensions(), **_gold_reports(), **_racing()}
+    return texts | {name: texts[other] for name, other in _SAME_ROWS.items()}

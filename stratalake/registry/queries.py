@@ -9,17 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import functions as fn
-from stratalake.operators import change, joins, layout, schema, synth, versions
+from stratalake.operators import change, joins, layout, schema, synth, touched, versions
 from stratalake.operators.dedup import latest_per_key
-from stratalake.operators.quality import keep_valid
-from stratalake.plans import layers, racing, reports, star
-from stratalake.plans.silver import clean, with_optional_rules
+from stratalake.operators.quality import BROKEN, keep_valid
+from stratalake.plans import incremental, layers, racing, reports, star
+from stratalake.plans.silver import clean, clean_sifted, with_optional_rules
 from stratalake.plans.specs import SILVER
 from stratalake.registry.landing import STAMP, racing_landing, sales_landing, sales_staged, source
 from stratalake.session import scratch_path
-from stratalake.sources import catalog, files, sinks
+from stratalake.sources import buckets, catalog, files, sinks
 from stratalake.streaming import files as arrivals
-from stratalake.streaming import schema_log
+from stratalake.streaming import late, schema_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -358,6 +358,38 @@ SILVER_KEYS = {
 _QUERIES.update({key: _silver(name) for key, name in SILVER_KEYS.items()})
 
 
+def _sifted(spark, sf):
+    """For each silver table: its name, the refused rows and the observed counts."""
+    landing = sales_landing(spark, sf)
+
+    def one(name):
+        _, refused, counts = clean_sifted(landing[name], SILVER[name], scratch_path(spark, "sifted"), _stamp(), reproducible_ids=True, wide=True)
+        return name, refused, counts
+
+    for name in SILVER:
+        landing[name]  # opened here, so that the threads only read
+    return layers.each(one, list(SILVER), layers.PARALLEL_TABLES)
+
+
+@query
+def quarantine_rows(spark, sf):
+    """Rows that the rules of the silver tables refuse, with the rules they broke."""
+    return files.union_all(
+        refused.select(
+            F.lit(name).alias("table_name"), F.concat_ws("|", *[F.col(k).cast("string") for k in SILVER[name].keys]).alias("key"),
+            F.array_join(BROKEN, "; ").alias("broken"),
+        )
+        for name, refused, _ in _sifted(spark, sf)
+    )
+
+
+@query
+def quarantine_counts(spark, sf):
+    """Rows, kept rows, refused rows and rows that broke each rule, as observed while the tables were written."""
+    found = [(name, what, n) for name, _, counts in _sifted(spark, sf) for what, n in counts.items()]
+    return spark.createDataFrame(found, "table_name string, what string, n bigint")
+
+
 # ---------------------------------------------------------------- star schema
 
 
@@ -400,6 +432,21 @@ def fact_sales(spark, sf):
     return star.fact_internet_sales(sales_staged(spark, sf), wide=True)
 
 
+@query
+def fact_bucketed(spark, sf):
+    """The fact from orders and lines in buckets of the order id: neither is shuffled for deduplication or their join."""
+    root = scratch_path(spark, "buckets")
+    tables = dict(sales_staged(spark, sf))
+    made = []
+    for name in ("sales_salesorderheader", "sales_salesorderdetail"):
+        made.append(f"{name}_{uuid.uuid4().hex}")
+        tables[name] = buckets.publish_bucketed(tables[name], made[-1], root, "SalesOrderID", 16)
+    fact = star.fact_internet_sales(tables, wide=True, by_order=True)
+    for table in made:
+        catalog.drop_table(spark, table)  # external tables: their files stay
+    return fact
+
+
 @query
 def one_big_table(spark, sf):
     return star.one_big_table(sales_staged(spark, sf), wide=True)
@@ -616,6 +663,41 @@ def merge_partitioned(spark, sf):
     return spark.read.schema("o_orderkey bigint, o_orderstatus string, mes string").parquet(path)
 
 
+@query
+def merge_files(spark, sf):
+    """The upsert of ``merge_upsert`` on a table in files, of which only those with matched keys are written anew."""
+    target, changes = _merge_sides(spark, sf)
+    root = scratch_path(spark, "touched")
+    touched.create(target, root, "id", 24)
+    touched.merge_files(spark, root, changes, "id")
+    return touched.read(spark, root)
+
+
+@query
+def merge_files_delete(spark, sf):
+    target, changes = _merge_sides(spark, sf)
+    root = scratch_path(spark, "touched")
+    touched.create(target, root, "id", 24)
+    touched.merge_files(spark, root, changes, "id", delete_missing="balance < 0")
+    return touched.read(spark, root)
+
+
+@query
+def change_files(spark, sf):
+    """Orders in files: some are updated, some deleted, some merged in, some replaced by key, one change upon the other."""
+    root = scratch_path(spark, "touched")
+    orders = source(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(19,4)").alias("price"))
+    touched.create(orders, root, ["o_orderkey"], 32)
+    touched.update_files(spark, root, "o_orderkey % 1000 < 20", {"price": F.col("price") * 2, "o_orderstatus": F.lit("U")})
+    touched.delete_files(spark, root, "o_orderkey % 1000 BETWEEN 15 AND 30")
+    more = orders.where("o_orderkey % 1000 BETWEEN 25 AND 40").withColumn("note", F.lit("merged"))
+    touched.merge_files(spark, root, more, "o_orderkey")
+    gone = orders.where("o_orderkey % 1000 BETWEEN 38 AND 44")
+    again = gone.where("o_custkey % 2 = 0").withColumns({"o_orderstatus": F.lit("R"), "note": F.lit("replaced")})
+    touched.replace_rows(spark, root, gone.select("o_orderkey"), again)
+    return touched.read(spark, root)
+
+
 @query
 def publish_overwrite(spark, sf):
     root = scratch_path(spark, "publish")
@@ -725,6 +807,14 @@ def layout_report(spark, sf):
     )
 
 
+@query
+def bloom_lookup(spark, sf):
+    """Orders of a few customers from files that all span the same customers."""
+    orders = source(spark, sf, "orders").repartition(24, "o_orderkey")
+    path = sinks.write_with_filters(orders, scratch_path(spark, "filters"), {"o_custkey": 10_000})
+    return spark.read.parquet(path).where(F.col("o_custkey").isin(1, 17, 60, 101, 1234))
+
+
 @query
 def file_stats(spark, sf):
     rows = files.file_stats(source(spark, sf, "lineitem"))
@@ -733,9 +823,13 @@ def file_stats(spark, sf):
 
 @query
 def synth_range(spark, sf):
-    """Sales made from a range as long as the order table, by draws that depend on the row id."""
-    rows = spark.range(source(spark, sf, "orders").count())
-    return synth.synthetic_sales(rows, synth.hashed_draws(F.col("id"))).withColumn("valor", F.col("valor").cast("decimal(19,4)"))
+    """Sales for every key from the first order to the last, by draws that depend on the key, beside the real order if there is one."""
+    orders = source(spark, sf, "orders")
+    first, last = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    keys = spark.range(first, last + 1)
+    sales = synth.synthetic_sales(keys, synth.hashed_draws(F.col("id")), keep=["id"]).withColumn("valor", F.col("valor").cast("decimal(19,4)"))
+    known = orders.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(19,4)").alias("price"), "o_orderstatus")
+    return sales.join(known, "id", "left")
 
 
 @query
@@ -831,6 +925,89 @@ def stream_upsert_fold(spark, sf):
     return arrivals.current_rows(spark, f"{root}/out", "user_id")
 
 
+@query
+def stream_bounded(spark, sf):
+    """One drop of 40 files, drained in batches of bounded bytes; files of finished batches move to an archive."""
+    root = scratch_path(spark, "bounded")
+    events = source(spark, sf, "events")
+    events.repartition(40).write.parquet(f"{root}/in")
+    total = files.file_inventory(spark, f"{root}/in").agg(F.sum("length")).first()[0]
+    stream = arrivals.file_stream(spark, f"{root}/in", events.schema, max_bytes=max(1, total // 6), archive=f"{root}/archive", listed_files=100)
+    arrivals.append_stream(stream, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+def late_arrivals(spark, sf):
+    """Three drops of events with repeated rows and rows that come days too late, drained one by one; the folder of the two tables."""
+    root = scratch_path(spark, "late")
+    events = source(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    drops = (
+        "ts < '2024-01-10' AND event_id % 4 <> 3",
+        "(ts >= '2024-01-10' AND ts < '2024-01-20') OR (event_id % 4 = 3 AND ts < '2024-01-10') OR (ts < '2024-01-10' AND event_id % 5 = 0)",
+        "ts >= '2024-01-20' OR event_id % 7 = 0",
+    )
+    for condition in drops:
+        drop = events.where(condition)
+        drop.unionAll(drop.where("event_id % 11 = 0")).repartition(3).write.mode("append").parquet(f"{root}/in")
+        for _ in range(2):  # the second start finds nothing new
+            stream = arrivals.file_stream(spark, f"{root}/in", events.schema)
+            late.dedup_stream(stream, f"{root}/out", f"{root}/checkpoint", "event_id", "ts", "2 days")
+    return f"{root}/out"
+
+
+@query
+def stream_first_rows(spark, sf):
+    return late.first_rows(spark, late_arrivals(spark, sf))
+
+
+@query
+def stream_late_rows(spark, sf):
+    return late.late_rows(spark, late_arrivals(spark, sf))
+
+
+@query
+def stream_csv_any_order(spark, sf):
+    """CSV drops with columns in other orders, added ones among them, and values that turn to fractions."""
+    root = scratch_path(spark, "csv-names")
+    events = source(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    key, date, whole = (F.col("event_id") % 500).alias("key"), F.col("ts").alias("process_date"), F.col("event_id") % 100
+    drops = (
+        ("ts < '2024-01-11'", [key, date, whole.alias("val")]),
+        ("ts >= '2024-01-11' AND ts < '2024-01-21'", [whole.alias("val"), "event_type", key, date]),
+        ("ts >= '2024-01-21'", [date, "event_type", F.col("user_id").alias("user"), key, (whole + 0.5).alias("val")]),
+    )
+    for number, (condition, columns) in enumerate(drops):
+        writer = events.where(condition).select(columns).repartition(2).write.option("header", True)
+        writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{root}/in/{number}")
+        tracked = schema_log.track_by_name(spark, f"{root}/in/{number}", f"{root}/schema")
+        stream = schema_log.stream_by_name(spark, f"{root}/in/*", tracked, f"{root}/schema")
+        arrivals.upsert_stream(stream, f"{root}/out", f"{root}/checkpoint", "key", stamp=_stamp())
+    rows = arrivals.current_rows(spark, f"{root}/out", "key")
+    return rows.withColumns({"key": F.col("key").cast("bigint"), "val": F.col("val").cast("double"), "user": F.col("user").cast("bigint")})
+
+
+def growing_folds(spark, sf):
+    """Ten drops of events, each folded into a base whose folders are bounded; the table's folder."""
+    root = scratch_path(spark, "growth")
+    events = source(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("process_date"), "user_id", "event_type")
+    for number in range(10):
+        part = events.where(F.col("event_id") % 10 == number)
+        again = events.where((F.col("event_id") % 10 == number - 1) & (F.col("event_id") % 3 == 0)).withColumn("event_type", F.lit("again"))
+        part.unionByName(again).write.mode("append").parquet(f"{root}/in")
+        arrivals.upsert_stream(arrivals.file_stream(spark, f"{root}/in", events.schema), f"{root}/out", f"{root}/checkpoint", "event_id", stamp=_stamp())
+        arrivals.fold_batches(spark, f"{root}/out", "event_id", buckets=1, folder_bytes=FOLD_BYTES)
+    return f"{root}/out"
+
+
+#: Bytes of a folder in the query of growing folds: small, so that test tables split too.
+FOLD_BYTES = 64 * 1024
+
+
+@query
+def stream_fold_growth(spark, sf):
+    return arrivals.current_rows(spark, growing_folds(spark, sf), "event_id")
+
+
 # ---------------------------------------------------------------- whole run
 
 
@@ -855,6 +1032,36 @@ def run_layers(spark, sf):
     )
 
 
+def increments(spark, sf):
+    """A lake that takes two drops in. The second has 1 % of the orders with their lines, later revisions of other
+    orders, and some customers, products and offers that lines of the first refer to already."""
+    root = scratch_path(spark, "increments")
+    second = {
+        "sales_salesorderheader": "SalesOrderID % 100 = 7 OR (RevisionNumber = 2 AND SalesOrderID % 10 = 3)",
+        "sales_salesorderdetail": "SalesOrderID % 100 = 7",
+        "sales_customer": "CustomerID % 97 = 5",
+        "production_product": "ProductID % 89 = 4",
+        "sales_specialoffer": "SpecialOfferID % 31 = 2",
+    }
+    landing = sales_landing(spark, sf)
+    for name in landing:
+        late = F.expr(second.get(name, "false"))
+        landing[name].where(~F.coalesce(late, F.lit(False))).write.parquet(f"{root}/one/{name}.parquet")
+        if name in second:
+            landing[name].where(late).write.parquet(f"{root}/two/{name}.parquet")
+    lake = incremental.Lake(spark, f"{root}/lake", wide=True)
+    incremental.take_in(lake, {name: f"{root}/one/{name}.parquet" for name in landing}, _stamp())
+    rewritten = incremental.take_in(lake, {name: f"{root}/two/{name}.parquet" for name in second}, _stamp())
+    return lake, rewritten
+
+
+@query
+def run_increments(spark, sf):
+    """The daily aggregate after two drops, of which the second costs its own keys: as if all had come at once."""
+    lake, _ = increments(spark, sf)
+    return touched.read(spark, lake.gold(incremental.DAILY))
+
+
 @query
 def run_racing(spark, sf):
     """Racing tables written as CSV with ``\\N`` for missing values, then bronze, silver and gold."""

@@ -63,8 +63,12 @@ def _discover_csv(spark: SparkSession, path: str) -> StructType:
     """
     names = _widest_header(spark, path)
     texts = StructType([StructField(name, StringType()) for name in names])
-    rows = spark.read.option("header", True).schema(texts).csv(path)
-    tests = _type_tests()
+    return _typed(spark.read.option("header", True).schema(texts).csv(path))
+
+
+def _typed(rows: DataFrame) -> StructType:
+    """The narrowest types that fit every value of each text column; a column without values is text."""
+    names, tests = rows.columns, _type_tests()
     checks = [
         F.bool_and(F.col(f"`{name}`").isNull() | F.coalesce(test(F.col(f"`{name}`")), F.lit(False))).alias(f"{i}_{kind}")
         for i, name in enumerate(names)
@@ -75,10 +79,27 @@ def _discover_csv(spark: SparkSession, path: str) -> StructType:
     fields = []
     for i, name in enumerate(names):
         kinds = [t for kind, (t, _) in enumerate(tests) if fits[f"n_{i}"] and fits[f"{i}_{kind}"]]
-        fields.append(StructField(name, kinds[0] if kinds else StringType()))  # a column without values is text
+        fields.append(StructField(name, kinds[0] if kinds else StringType()))
     return StructType(fields)
 
 
+def _discover_by_name(spark: SparkSession, headers: dict[str, list[str]]) -> StructType:
+    """Columns of all headers by name: the files of each header are one scan, and one aggregate tests the union."""
+    scans = []
+    for header in _distinct(headers):
+        texts = StructType([StructField(name, StringType()) for name in header])
+        scans.append(spark.read.option("header", True).schema(texts).csv([file for file, own in headers.items() if own == header]))
+    whole = scans[0]
+    for scan in scans[1:]:
+        whole = whole.unionByName(scan, allowMissingColumns=True)
+    return _typed(whole)
+
+
+def _distinct(headers: dict[str, list[str]]) -> list[list[str]]:
+    """Different headers in the order of their first files."""
+    return [list(header) for header in dict.fromkeys(tuple(headers[file]) for file in sorted(headers)) if header]
+
+
 def _type_tests():
     """Types from narrow to wide, each with a test that a text reads as such a value."""
     whole, number = "^[+-]?[0-9]+$", "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
@@ -105,16 +126,31 @@ def _type_tests():
     ]
 
 
+def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header of every file at ``path`` that is not empty, by file. Each file is a task that stops after its first line; the
+    names of the files and their headers reach the driver."""
+    own = spark.newSession()  # one file a task, one row a batch, whatever the caller's session does
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        own.conf.set(f"spark.sql.files.{name}", 1 << 40)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+
+    def first_line(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch
+                return
+
+    lines = own.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    found = {r.file: next(csv.reader([r.value]), []) for r in lines.mapInArrow(first_line, "value string, file string").collect()}
+    for file, header in found.items():
+        if len(set(header)) < len(header):
+            raise SchemaMismatch(f"CSV header {header} of {file} repeats a name")
+    return found
+
+
 def _widest_header(spark: SparkSession, path: str) -> list[str]:
-    """The longest of the header lines; only the distinct ones reach the driver."""
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
-    headers = [next(csv.reader([r.header])) for r in first.select("header").distinct().collect()]
+    """The longest of the header lines, of which all others must be the beginning."""
+    headers = list(file_headers(spark, path).values())
     widest = max(headers, key=len, default=[])
     for header in headers:
         if header != widest[: len(header)]:
@@ -164,6 +200,10 @@ def track(
         shared = min(len(known.names), len(found.names))
         if known.names[:shared] != found.names[:shared]:
             raise SchemaMismatch(f"CSV header {found.names}, tracked {known.names}")
+    return _save(spark, log, known, found)
+
+
+def _save(spark: SparkSession, log: str, known: StructType | None, found: StructType) -> StructType:
     merged = widened(known, found)
     if known is None or merged != known:
         entries = _entries(spark, log)
@@ -171,3 +211,53 @@ def track(
         row = spark.createDataFrame([(revision, merged.json())], "revision int, body string")
         row.write.mode("append").json(log)
     return merged
+
+
+_HEADERS = "file string, header array<string>"
+
+
+def track_by_name(spark: SparkSession, path: str, log: str) -> StructType:
+    """Merge what the CSV files at ``path`` (usually the newest drop) hold into the saved schema, whatever the order of
+    their columns, and remember the header of each file for ``stream_by_name``."""
+    headers = {file: header for file, header in file_headers(spark, path).items() if header}
+    known = load(spark, log)
+    if not headers:
+        return known if known is not None else StructType([])
+    rows = spark.createDataFrame(list(headers.items()), _HEADERS)
+    rows.write.mode("append").json(f"{log}_headers")
+    return _save(spark, log, known, _discover_by_name(spark, headers))
+
+
+def stream_by_name(spark: SparkSession, path: str, schema: StructType, log: str) -> DataFrame:
+    """Unbounded table of the CSV files that arrive at ``path``, each read by its own header, in one scan.
+
+    Values are read by place and taken by name: a row meets the header of its file, and each column is
+    the place that this header gives it, NULL where it has none. A value that does not fit its type, or a file that
+    ``track_by_name`` has not seen, fails the run."""
+    known = spark.read.schema(_HEADERS).json(f"{log}_headers").distinct()
+    headers = [r.header for r in known.select("header").distinct().orderBy("header").collect()]
+    place, file = "__place", "__file"
+    number = F.coalesce(*[F.when(F.col("header") == F.array(*map(F.lit, header)), F.lit(i)) for i, header in enumerate(headers)])
+    numbered = known.select(F.col("file").alias(f"{file}_"), number.alias("__header"))
+    texts = StructType([StructField(f"{place}{i}", StringType()) for i in range(max(map(len, headers)))])
+    rows = spark.readStream.format("csv").schema(texts).option("header", True).load(path).select("*", F.col("_metadata.file_path").alias(file))
+    met = rows.join(numbered, F.col(file) == F.col(f"{file}_"), "left")
+    unknown = F.raise_error(F.concat(F.lit("no header is known of "), F.col(file)))
+
+    def value(field: StructField) -> Column:
+        own = [F.when(F.col("__header") == i, F.col(f"{place}{header.index(field.name)}")) for i, header in enumerate(headers) if field.name in header]
+        text = F.coalesce(*own, F.lit(None).cast("string")) if own else F.lit(None).cast("string")
+        return F.when(F.col("__header").isNull(), unknown.cast("string")).otherwise(text).alias(field.name)
+
+    named = met.select([value(field) for field in schema.fields])
+    return named.select([fitting(field) for field in schema.fields])
+
+
+def fitting(field: StructField) -> Column:
+    """The text column of this name as its type; a value that does not fit fails the run."""
+    text, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+    if kind == "string":
+        return text
+    value = text.try_cast(kind)
+    said = F.concat(F.lit(f"column {field.name}: not a {kind}: "), text)
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(said).cast(kind)).otherwise(value).alias(field.name)

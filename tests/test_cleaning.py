@@ -2,11 +2,12 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import plan_of, rows
+from conftest import SF, plan_of, rows
 from pyspark.errors import ArithmeticException, NumberFormatException
 from pyspark.sql import functions as F
 
 from stratalake import functions as fn
+from stratalake.operators import quality
 from stratalake.operators.dedup import latest_per_key
 from stratalake.operators.quality import keep_valid
 from stratalake.operators.schema import (
@@ -18,8 +19,11 @@ from stratalake.operators.schema import (
     require_schema,
     wide_keys,
 )
-from stratalake.plans.silver import clean, with_optional_rules
+from stratalake.plans import layers
+from stratalake.plans.silver import clean, clean_sifted, with_optional_rules
 from stratalake.plans.specs import SILVER
+from stratalake.registry.landing import sales_landing
+from stratalake.sources.sinks import current_path
 
 DAY = [datetime(2020, 1, d) for d in range(1, 10)]
 STAMP = datetime(2024, 1, 1)
@@ -159,3 +163,36 @@ def test_every_spec_cleans_empty_input(spark):
         got = clean(spark.createDataFrame([], spec.schema), spec)
         assert got.schema.names == spec.schema.names and set(spec.keys) <= set(spec.schema.names)
     assert got.count() == 0
+
+
+def test_refused_rows_and_counts_come_from_one_pass(spark, folder):
+    df = spark.createDataFrame([(1, 5, "x"), (2, -5, "y"), (3, None, "x"), (4, 5, None), (5, -1, None)], "k int, n int, t string")
+    rules = {"positive": "n > 0", "known": F.col("t").isin("x", "y")}
+    counts = quality.sift(df, rules, f"{folder}/sifted")
+    assert counts == {"rows": 5, "kept": 1, "refused": 4, "positive": 3, "known": 2}
+    assert rows(quality.kept_rows(df, f"{folder}/sifted")) == [(1, 5, "x")]
+    refused = quality.refused_rows(df, f"{folder}/sifted")
+    assert {r.k: r[quality.BROKEN] for r in refused.collect()} == {2: ["positive"], 3: ["positive"], 4: ["known"], 5: ["positive", "known"]}
+    assert rows(quality.kept_rows(df, f"{folder}/sifted")) == rows(quality.keep_valid(df, rules.values()))
+    assert quality.sift(df, [], f"{folder}/all") == {"rows": 5, "kept": 5, "refused": 0}
+    assert quality.sift(df.limit(0), ["n > 0"], f"{folder}/none")["rows"] == 0 and quality.refused_rows(df, f"{folder}/none").count() == 0
+
+
+def test_sifted_silver_is_the_same_silver(spark, folder):
+    landing = sales_landing(spark, SF)
+    spec = SILVER["sales_specialoffer"]
+    moment = F.lit(STAMP).cast("timestamp")
+    silver, refused, counts = clean_sifted(landing[spec.name], spec, f"{folder}/s", moment, reproducible_ids=True, wide=True)
+    assert rows(silver) == rows(clean(landing[spec.name], spec, moment, reproducible_ids=True, wide=True))
+    assert refused.count() == counts["refused"] > 0 and counts["rows"] == landing[spec.name].count()
+
+
+def test_silver_layer_with_refused_rows(spark, folder):
+    landing = sales_landing(spark, SF)
+    for name in landing:
+        landing[name].write.parquet(f"{folder}/landing/{name}.parquet")
+    layers.ingest_parquet(spark, {name: f"{folder}/landing/{name}.parquet" for name in landing}, f"{folder}/bronze", stamp_column=None)
+    counts = layers.build_silver_sifted(spark, f"{folder}/bronze", f"{folder}/silver", f"{folder}/refused", F.lit(STAMP).cast("timestamp"), True, True)
+    assert set(counts) == set(SILVER) and all(c["rows"] == c["kept"] + c["refused"] for c in counts.values())
+    published = spark.read.parquet(current_path(spark, f"{folder}/refused/sales_salesorderheader"))
+    assert published.count() == counts["sales_salesorderheader"]["refused"] > 0 and quality.BROKEN in published.columns

@@ -1,4 +1,5 @@
 import glob
+import time
 from datetime import datetime
 
 import pytest
@@ -184,8 +185,27 @@ def test_clustering_by_long_text_and_large_ids(spark, folder):
         assert found["before"].files_hit == found["before"].files == 16
         assert found["after"].files_hit <= 8 and found["after"].rows_hit == found["before"].rows_hit >= 90
         assert found["after"].bytes > 0
-    borders = layout.range_borders(df, "big", 64)
-    assert len(borders) == 63 and borders == sorted(set(borders))
+    borders = layout.range_borders(df, ["url", "big"], 6).first()
+    assert len(borders.b1) == 63 and list(borders.b1) == sorted(set(borders.b1)) and list(borders.b0) == sorted(borders.b0)
+
+
+def test_z_order_plans_do_not_grow_with_the_files(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 70).alias("a"), F.col("id").cast("string").alias("t"))
+    sizes = {}
+    for files in (64, 4096, 500_000):
+        started = time.perf_counter()
+        sizes[files] = len(plan_of(layout.cluster(df, ["a", "t"], files)))
+        assert time.perf_counter() - started < 20
+    assert max(sizes.values()) < 1.4 * min(sizes.values())  # a small table is not sampled
+
+
+def test_z_values_interleave_the_ranges(spark):
+    df = spark.range(64).select((F.col("id") % 8).alias("a"), F.floor(F.col("id") / 8).alias("b"), F.when(F.col("id") > 9, F.col("id")).alias("n"))
+    for r in layout.with_z_value(df, ["a", "b"], 3, "z").collect():
+        assert r.z == sum(((r.a >> i & 1) << 2 * i) | ((r.b >> i & 1) << (2 * i + 1)) for i in range(3))
+    assert {r.z for r in layout.with_z_value(df, ["n"], 4, "z").where("n IS NULL").collect()} == {0}
+    assert layout.with_z_value(df.limit(0), ["a"], 4, "z").count() == 0
+    assert {r.z for r in layout.with_z_value(df.select(F.lit(None).cast("int").alias("x")), ["x"], 4, "z").collect()} == {0}
 
 
 def test_value_filter_reaches_the_scan(spark, folder):
@@ -206,3 +226,16 @@ def test_generated_shares(spark):
     again = synth.synthetic_sales(base.repartition(7), synth.hashed_draws(F.col("id")))
     assert rows(again.agg(F.sum(F.col("valor").cast("decimal(20,10)")))) == rows(sales.agg(F.sum(F.col("valor").cast("decimal(20,10)"))))
     assert rows(sales.select((year_month(F.col("data_venda")) == F.col("ano_mes")).alias("ok")).distinct()) == [(True,)]
+
+
+def test_filters_skip_row_groups(spark, folder):
+    """Ids spread over all files: a lookup reads few row groups where they have filters, all of them elsewhere."""
+    df = spark.range(200_000).select(F.xxhash64("id").alias("key"), F.col("id").alias("v")).repartition(4, "v")
+    sinks.write_with_filters(df, f"{folder}/with", {"key": 10_000}, group_bytes=64 * 1024)
+    df.write.option("parquet.block.size", 64 * 1024).parquet(f"{folder}/without")
+    wanted = [r.key for r in df.where("v IN (5, 77777)").collect()]
+    read = {name: layout.scanned(spark.read.parquet(f"{folder}/{name}").where(F.col("key").isin(wanted))) for name in ("with", "without")}
+    assert read["with"]["rows"] < 0.1 * 200_000 < 0.5 * 200_000 < read["without"]["rows"]
+    assert rows(spark.read.parquet(f"{folder}/with").where(F.col("key").isin(wanted)), "v") == [(5,), (77777,)]
+    absent = spark.read.parquet(f"{folder}/with").where("key = 12345")
+    assert layout.scanned(absent)["rows"] < 0.05 * 200_000 and absent.count() == 0
