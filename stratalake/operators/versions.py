@@ -130,7 +130,7 @@ def _state(spark: SparkSession, path: str, version: int | None) -> DataFrame:
         raise ValueError(f"no versions at {path}")
     upto = log if version is None else log.where(F.col("version") <= version)
     start = upto.where("operation = 'overwrite'").agg(F.max("version").alias("v")).scalar()
-    return upto.where(F.col("version") >= F.coalesce(start, F.lit(0)))
+    return upto.where(start.isNull() | (F.col("version") >= start))
 
 
 def _schemas(spark: SparkSession, path: str, version: int | None) -> list[StructType]:

@@ -239,3 +239,10 @@ def test_filters_skip_row_groups(spark, folder):
     assert rows(spark.read.parquet(f"{folder}/with").where(F.col("key").isin(wanted)), "v") == [(5,), (77777,)]
     absent = spark.read.parquet(f"{folder}/with").where("key = 12345")
     assert layout.scanned(absent)["rows"] < 0.05 * 200_000 and absent.count() == 0
+
+
+def test_versions_below_zero_are_kept(spark, folder):
+    batches = spark.createDataFrame([(1, -2), (2, -1), (3, 0)], "a int, n int")
+    path = versions.write_batches(batches, f"{folder}/v", "n", stamp())
+    assert rows(versions.as_of(spark, path), "a") == [(1,), (2,), (3,)]
+    assert rows(versions.as_of(spark, path, -1), "a") == [(1,), (2,)]
