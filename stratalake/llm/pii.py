@@ -270,10 +270,10 @@ def redact(text: str, found: dict[str, list[tuple[int, int]]]) -> str:
 
 
 def find_personal(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of each row of ``docs(doc_id, text)``.
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans) of each row of ``docs(doc_id, text)``.
 
-    Offsets are code points, the end exclusive. The counts and ``base_sha256`` cover the base kinds,
-    ``spans`` all. Null and empty texts have none; ids may be null or repeated; other columns are not read.
+    Offsets are code points, the end exclusive. The counts by kind and ``base_sha256`` cover the base kinds,
+    ``spans`` and ``n_spans`` all. Null and empty texts have none; ids may be null or repeated; other columns are not read.
     """
     bound_batches(docs.sparkSession)
 
@@ -282,11 +282,12 @@ def find_personal(docs: DataFrame) -> DataFrame:
             found = [spans(t) for t in texts_of(batch)]
             counts = [pa.array([len(f[kind]) for f in found], pa.int64()) for kind in BASE_KINDS]
             digests = [hashlib.sha256(joined(f, BASE_KINDS).encode()).hexdigest() for f in found]
-            arrays = [batch.column("doc_id"), *counts, pa.array(digests), pa.array([joined(f) for f in found], pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *(f"n_{kind}" for kind in BASE_KINDS), "base_sha256", "spans"])
+            total = pa.array([sum(map(len, f.values())) for f in found], pa.int64())
+            arrays = [batch.column("doc_id"), *counts, pa.array(digests), pa.array([joined(f) for f in found], pa.string()), total]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *(f"n_{kind}" for kind in BASE_KINDS), "base_sha256", "spans", "n_spans"])
 
     counts = ", ".join(f"n_{kind} bigint" for kind in BASE_KINDS)
-    return id_and_text(docs).mapInArrow(run, f"doc_id bigint, {counts}, base_sha256 string, spans string")
+    return id_and_text(docs).mapInArrow(run, f"doc_id bigint, {counts}, base_sha256 string, spans string, n_spans bigint")
 
 
 def mask_personal(docs: DataFrame) -> DataFrame:
