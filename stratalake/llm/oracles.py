@@ -92,6 +92,45 @@ SELECT part, filter_order, step, own AS filter, CAST(coalesce(kept, 0) AS BIGINT
 FROM found
 """
 
+#: crc32 bit by bit: a byte is mixed in where it stands, each -1 shifts the sum by one bit.
+OP11 = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run
+), steps AS (
+  SELECT run, n, flatten(list_transform(string_split(named, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c), -1, -1, -1, -1, -1, -1, -1, -1]
+    ELSE [192 + (unicode(c) >> 6), -1, -1, -1, -1, -1, -1, -1, -1, 128 + (unicode(c) & 63), -1, -1, -1, -1, -1, -1, -1, -1] END)) AS marks
+  FROM counted
+), hashed AS (
+  SELECT run, n, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, CAST(marks AS BIGINT[])), lambda c, x:
+    CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS h
+  FROM steps
+), edited AS (
+  SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM edited WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), shorter AS (
+  SELECT word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS place FROM words)
+), pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+  UNION SELECT a.word, a.n, w.word, w.n FROM shorter a JOIN words w ON a.rest = w.word
+  UNION SELECT w.word, w.n, a.word, a.n FROM shorter a JOIN words w ON a.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at, form AS next FROM forms
+  UNION ALL SELECT walk.word, forms.word, forms.form FROM walk JOIN forms ON walk.next = forms.word
+)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN walk w ON f.word = w.word AND w.next IS NULL
+"""
+
 
 def sql_by_query() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2, "op3_line_dedup": OP3, "op10_exact_top_k": OP10, "op13_filter_audit": OP13}
+    return {"op2_chat_formatting": OP2, "op3_line_dedup": OP3, "op10_exact_top_k": OP10, "op11_spelling_variants": OP11, "op13_filter_audit": OP13}
