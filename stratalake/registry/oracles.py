@@ -694,6 +694,9 @@ FROM (VALUES ('spread'), ('clustered')) a(layout), (VALUES ('url'), ('id')) b(co
             "SELECT s.* REPLACE (CAST(valor AS DECIMAL(19,4)) AS valor), strftime(data_venda, '%Y-%m') AS ano_mes, "
             "CAST(o_totalprice AS DECIMAL(19,4)) AS price, o_orderstatus FROM sales s LEFT JOIN orders ON id = o_orderkey",
         ),
+        "create_rows": "SELECT o_orderpriority, orders, priority, urgency FROM (SELECT o_orderpriority, count(*) AS orders FROM orders "
+        "GROUP BY o_orderpriority) o FULL JOIN (VALUES ('1-URGENT', 5), ('2-HIGH', 4), ('3-MEDIUM', 3), ('9-NEVER', NULL)) r(priority, urgency) "
+        "ON o_orderpriority = priority",
         "bloom_lookup": "SELECT * FROM orders WHERE o_custkey IN (1, 17, 60, 101, 1234)",
         "stream_bounded": "SELECT * FROM events",
         "stream_first_rows": _with(

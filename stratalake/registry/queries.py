@@ -605,6 +605,15 @@ def insert_rows(spark, sf):
     return change.insert_rows(accounts, more)
 
 
+@query
+def create_rows(spark, sf):
+    """Rows made on the driver, as a small lookup: how urgent each order is, and the orders of each urgency."""
+    names = [("1-URGENT", 5), ("2-HIGH", 4), ("3-MEDIUM", 3), ("9-NEVER", None)]
+    ranks = spark.createDataFrame(names, "priority string, urgency int")
+    orders = source(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+    return joins.lookup_join(orders, ranks, "o_orderpriority", "priority", "full")
+
+
 def _accounts(spark, sf):
     """Customers with some unknown (NULL) segments."""
     segment = F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment"))
