@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stratalake.session import scratch_path
 
@@ -86,9 +87,14 @@ def in_fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")), F.lit(0)) % 5 == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_class: int) -> DataFrame:
+#: Code points of the texts of one class that training reads at most.
+CHARS_PER_CLASS = 16_000_000
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_class: int, chars_per_class: int = CHARS_PER_CLASS) -> DataFrame:
     """(doc_id, text, label) of at most ``rows_per_class`` labelled rows of each class, outside the
-    held-out fifth, smallest id hash first. The picked ids are bounded by the parameter, so they
+    held-out fifth, smallest id hash first, as far as their texts together hold ``chars_per_class`` code points: one task trains
+    on them. The picked ids are bounded by the parameter, so they
     are broadcast and the texts are read in one scan. An id with several labels counts as 1 if any is."""
     usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~in_fold(F.col("doc_id"))
@@ -98,9 +104,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
     picked = one.where("label = 1").orderBy(*order).limit(rows_per_class).unionByName(
         one.where("label = 0").orderBy(*order).limit(rows_per_class)
     )
-    return id_and_text(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
+    texts = id_and_text(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
         F.max(F.coalesce("text", F.lit(""))).alias("text"), F.max("label").alias("label")
     )
+    so_far = F.sum(F.length("text")).over(Window.partitionBy("label").orderBy(*order))
+    return texts.withColumn("so_far", so_far).where(F.col("so_far") <= chars_per_class).drop("so_far")
 
 
 def one_task(sample: DataFrame, work: Callable, schema: str):

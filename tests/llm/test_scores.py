@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from helpers import clashing, documents, prose
 
-from stratalake.llm import quality, subwords, toxicity
+from stratalake.llm import common, quality, subwords, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -49,6 +49,17 @@ def test_folds(spark):
     assert [r.held_out for r in rows if r.doc_id is None] == [True]
 
 
+def test_samples_are_bounded_in_rows_and_characters(spark):
+    docs = documents(spark, ["x" * (100 if i % 2 else 10) for i in range(200)] + [None])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id bigint, toxic int")
+    whole = common.labelled_sample(docs, labels, "toxic", 1000).collect()
+    assert sorted(r.doc_id for r in whole) == [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    few = common.labelled_sample(docs, labels, "toxic", 30, 1050).collect()
+    assert sum(r.label == 0 for r in few) == 30 and sum(r.label == 1 for r in few) == 10
+    assert {r.doc_id for r in few} < {r.doc_id for r in whole}
+    assert common.labelled_sample(docs, labels, "toxic", 30, 5).collect() == []
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(3)
     network = toxicity.Network(1)
