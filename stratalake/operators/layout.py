@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from stratalake.sources.files import file_inventory, union_all
 from stratalake.sources.sinks import current_path, publish_path
@@ -52,15 +54,22 @@ def compact_published(spark: SparkSession, root: str, target_bytes: int = TARGET
     return publish_path(packed(spark, current_path(spark, root), target_bytes), root)
 
 
-def cluster(df: DataFrame, columns: str | Sequence[str], files: int) -> DataFrame:
+#: Bytes of rows that one task of a clustering sorts, about.
+SORTED_BYTES = 256 * 1024**2
+
+
+def cluster(df: DataFrame, columns: str | Sequence[str], files: int, sorted_bytes: int = SORTED_BYTES) -> DataFrame:
     """Order the rows so that each output file covers a narrow range of ``columns``.
 
+    There are ``files`` files, or more if one of them would have a task sort more than ``sorted_bytes``.
+
     One column: range partitions of that column. Several: range partitions of a Z-order key,
     the interleaved bits of each column's range. A row hash completes the range
     key, so a value that holds a third of the rows fills several files instead of one
     task; each of those files still has a single value as its minimum and maximum.
     """
     columns = [columns] if isinstance(columns, str) else list(columns)
+    files = max(files, math.ceil(row_bytes(df) / sorted_bytes))
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     if len(columns) == 1:
         key = F.col(columns[0])
@@ -69,6 +78,17 @@ def cluster(df: DataFrame, columns: str | Sequence[str], files: int) -> DataFram
     return ordered.repartitionByRange(files, "__z", "__spread").sortWithinPartitions("__z").drop("__z", "__spread")
 
 
+def row_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows hold in memory: the lengths of texts and a fixed size for each value. One scan, of those columns alone."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema.fields if not isinstance(f.dataType, _FIXED)]
+    held = reduce(lambda a, b: a + b, texts, F.lit(0).cast("bigint"))
+    rows, lengths = df.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
+    return rows * (8 + 16 * len(df.columns)) + lengths
+
+
+_FIXED = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
+
+
 def bits_for(files: int, columns: int) -> int:
     """Bits per column that give about four cells for each file."""
     return max(1, math.ceil((math.log2(max(1, files)) + 2) / columns))

@@ -246,3 +246,18 @@ def test_versions_below_zero_are_kept(spark, folder):
     path = versions.write_batches(batches, f"{folder}/v", "n", stamp())
     assert rows(versions.as_of(spark, path), "a") == [(1,), (2,), (3,)]
     assert rows(versions.as_of(spark, path, -1), "a") == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("columns", ["id", ["id", "b"]])
+def test_clustering_bounds_what_a_task_sorts(spark, folder, columns):
+    """More files than asked for where a file would have its task sort too much; rows stay, ranges stay narrow."""
+    df = spark.range(4000).select("id", (F.col("id") * 37 % 101).alias("b"), F.repeat(F.lit("x"), 1000).alias("text"), F.array("id").alias("held"))
+    assert 4_000_000 < layout.row_bytes(df) < 5_000_000
+    layout.cluster(df.repartition(4), columns, 2, sorted_bytes=512 * 1024).write.parquet(f"{folder}/c")
+    got = spans(spark, f"{folder}/c", "id")
+    assert len(got) >= 8 and max(r.n for r in got) <= 1200
+    assert sum(1 for r in got if r.lo <= 1234 <= r.hi) <= (2 if columns == "id" else 6)
+    assert spark.read.parquet(f"{folder}/c").exceptAll(df).isEmpty() and sum(r.n for r in got) == 4000
+    layout.cluster(df, columns, 2).write.parquet(f"{folder}/few")
+    assert len(spans(spark, f"{folder}/few", "id")) == 2
+    assert layout.row_bytes(df.limit(0)) == 0
