@@ -76,3 +76,13 @@ def test_semi_join_does_not_repeat_rows(spark):
     keys = spark.createDataFrame([(1,), (1,), (None,)], "race int")
     got = joins.semi_join(laps, keys, "raceId", "race")
     assert rows(got) == [(1, "a")] and "LeftSemi" in plan_of(got)
+
+
+def test_semi_join_sorts_no_rows(spark):
+    """Wide rows are hashed at every size: neither sorted (and spilled) nor matched to keys sent to all tasks."""
+    laps = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "n")], "raceId bigint, text string")
+    keys = spark.createDataFrame([(1,), (1,), (3,), (None,)], "race bigint")
+    got = joins.semi_join(laps, keys, "raceId", "race")
+    assert rows(got) == [(1, "a"), (1, "a")]
+    plan = plan_of(got)
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan and "Broadcast" not in plan
