@@ -182,3 +182,21 @@ def test_csv_value_that_does_not_fit_fails(spark, folder):
 
 def test_only_a_missing_log_is_a_new_stream(spark, folder):
     assert schema_log.load(spark, f"{folder}/none") is None
+
+
+def test_folds_list_only_what_counts(spark, folder, monkeypatch):
+    """A fold lists the live folds, not all that ever were, and looks for touched folders in the new batches alone."""
+    read = dict(out=f"{folder}/out", keys="id_aluno")
+    listed = []
+    inventory = arrivals.file_inventory
+    monkeypatch.setattr(arrivals, "file_inventory", lambda s, path, *a: listed.append(path) or inventory(s, path, *a))
+    for number in range(3):
+        drop(spark, f"{folder}/in", [(i, "2024-01-01", f"v{number}") for i in range(40 + number)], TEXT)
+        drain(spark, folder)
+        listed.clear()
+        assert arrivals.fold_batches(spark, **read, buckets=4) == number
+        assert f"{folder}/out/base" not in listed
+        assert [p for p in listed if "/base/" in p] == ([f"{folder}/out/base/fold={number - 1}"] if number else [])
+    got = arrivals.current_rows(spark, **read)
+    assert rows(got, "id_aluno", "nome") == sorted(((i, "v2") for i in range(42)), key=lambda t: (False, str(t[0])))
+    assert arrivals._parts([{"fold": 0, "changed": [0, 1, 2]}, {"fold": 1, "changed": [2, 3]}]) == {0: [0, 1], 1: None}
