@@ -146,3 +146,17 @@ def test_catalog_tables(spark):
     catalog.drop_table(spark, "demo.t")
     catalog.drop_database(spark, "demo", cascade=True)
     assert not spark.catalog.databaseExists("demo")
+
+
+def test_csv_and_layers_are_written_compressed(spark, folder):
+    df = spark.createDataFrame([(1, "a,\"b\"", 1.5), (2, None, None)], "a int, t string, d double")
+    sinks.write_csv(df, f"{folder}/in/t.csv", files.NULL_MARKER)
+    assert all(n.endswith(".csv.gz") for n in os.listdir(f"{folder}/in/t.csv") if n.startswith("part"))
+    manifest = files.landing_manifest(spark, f"{folder}/in")
+    assert rows(files.read_csv(spark, manifest["t"], infer=True, null_marker=files.NULL_MARKER)) == rows(df)
+    ids = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("rowguid"))
+    ids.coalesce(1).write.option("compression", "snappy").parquet(f"{folder}/snappy")
+    path = sinks.publish_path(ids.coalesce(1), f"{folder}/table")
+    size = {p: files.file_inventory(spark, p).agg(F.sum("length")).first()[0] for p in (path, f"{folder}/snappy")}
+    assert size[path] < 0.7 * size[f"{folder}/snappy"]
+    assert rows(spark.read.parquet(path)) == rows(ids)
