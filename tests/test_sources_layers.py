@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake import session
 from stratalake.operators.schema import SchemaMismatch
-from stratalake.plans import layers, reports
+from stratalake.plans import layers, racing, reports
 from stratalake.plans.specs import SILVER
 from stratalake.registry.landing import sales_landing, source
 from stratalake.sources import catalog, files, sinks
@@ -160,3 +160,38 @@ def test_csv_and_layers_are_written_compressed(spark, folder):
     size = {p: files.file_inventory(spark, p).agg(F.sum("length")).first()[0] for p in (path, f"{folder}/snappy")}
     assert size[path] < 0.7 * size[f"{folder}/snappy"]
     assert rows(spark.read.parquet(path)) == rows(ids)
+
+
+def test_racing_sends_a_lookup_by_the_bytes_of_its_rows(spark, folder, monkeypatch):
+    """Drivers whose texts compress to almost nothing: their files are under the limit of a broadcast, their rows are not."""
+    lines = spark.range(20_000)
+    made = {
+        "results": lines.select(F.col("id").alias("resultId"), (F.col("id") % 50 + 11).alias("raceId"), (F.col("id") % 5000).alias("driverId"), (F.col("id") % 7 + 11).alias("constructorId"), F.lit(12).alias("position"), F.lit(1.5).alias("points")),
+        "races": spark.range(11, 61).select(F.col("id").alias("raceId"), F.lit(2020).alias("year"), F.lit(12).alias("circuitId")),
+        "circuits": spark.range(12, 13).select(F.col("id").alias("circuitId"), F.lit("Sepang").alias("name")),
+        "drivers": spark.range(5000).select(F.col("id").alias("driverId"), F.rpad(F.lit("d"), 400, "d").alias("driverRef")),
+        "constructors": spark.range(11, 18).select(F.col("id").alias("constructorId")),
+        "constructor_results": spark.range(11, 18).select(F.col("id").alias("constructorId"), F.col("id").alias("raceId")),
+    }
+    columns = {"results": racing._RESULT_COLUMNS.values(), "races": racing._RACE_COLUMNS, "circuits": racing._CIRCUIT_COLUMNS.values(), "drivers": racing._DRIVER_COLUMNS.values(), "constructors": racing._CONSTRUCTOR_COLUMNS.values(), "constructor_results": racing._CONSTRUCTOR_RESULT_COLUMNS.values()}
+    for name, df in made.items():
+        whole = df.withColumns({c: F.lit(1) for c in columns[name] if c not in df.columns and c != "bronze_ingestion"})
+        sinks.write_csv(whole, f"{folder}/in/{name}.csv", files.NULL_MARKER)
+    plans = {}
+    publish = sinks.publish_path
+
+    def spied(df, root):
+        if root.endswith("gold/race_results"):
+            df.collect()
+            plans[root] = plan_of(df)
+        return publish(df, root)
+
+    monkeypatch.setattr(layers, "publish_path", spied)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    with session.settings(spark, {limit: "300k"}):
+        gold = layers.run_racing(spark, files.landing_manifest(spark, f"{folder}/in"), f"{folder}/lake", F.lit(datetime(2024, 1, 1)))
+        assert spark.conf.get(limit) == "300k"
+    drivers = [line for line in next(iter(plans.values())).split("== Initial Plan ==")[0].splitlines() if "named_driver" in line and "Join" in line]
+    assert drivers and not any("Broadcast" in line for line in drivers)
+    assert spark.read.parquet(gold["race_results"]).count() == 20_000
+    assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
