@@ -86,3 +86,18 @@ def test_semi_join_sorts_no_rows(spark):
     assert rows(got) == [(1, "a"), (1, "a")]
     plan = plan_of(got)
     assert "ShuffledHashJoin" in plan and "Sort " not in plan and "Broadcast" not in plan
+
+
+def test_a_stored_lookup_is_measured_by_its_rows(spark, folder):
+    few = spark.range(100).select(F.col("id").alias("k"), F.rpad(F.lit("x"), 50, "x").alias("name"))
+    few.write.parquet(f"{folder}/few")
+    few.withColumn("name", F.rpad(F.lit("x"), 50_000, "x")).write.parquet(f"{folder}/long")  # a few KB of file
+    few.withColumn("name", F.array("name")).write.parquet(f"{folder}/nested")
+    hinted = {}
+    for name in ("few", "long", "nested"):
+        lookup = joins.sized(spark.read.parquet(f"{folder}/{name}"), 100_000)
+        hinted[name] = "ResolvedHint" in lookup._jdf.queryExecution().analyzed().toString()
+        assert lookup.count() == 100
+    assert hinted == {"few": True, "long": False, "nested": False}
+    assert "ResolvedHint" not in joins.sized(spark.range(10_000), 100_000)._jdf.queryExecution().analyzed().toString()
+    assert joins.sized(spark.range(0).withColumn("t", F.lit("a"))).count() == 0

@@ -1,4 +1,5 @@
 import os
+import time
 from datetime import datetime
 
 import pytest
@@ -180,11 +181,11 @@ def test_racing_sends_a_lookup_by_the_bytes_of_its_rows(spark, folder, monkeypat
     plans = {}
     publish = sinks.publish_path
 
-    def spied(df, root):
+    def spied(df, root, *more):
         if root.endswith("gold/race_results"):
             df.collect()
             plans[root] = plan_of(df)
-        return publish(df, root)
+        return publish(df, root, *more)
 
     monkeypatch.setattr(layers, "publish_path", spied)
     limit = "spark.sql.autoBroadcastJoinThreshold"
@@ -195,3 +196,54 @@ def test_racing_sends_a_lookup_by_the_bytes_of_its_rows(spark, folder, monkeypat
     assert drivers and not any("Broadcast" in line for line in drivers)
     assert spark.read.parquet(gold["race_results"]).count() == 20_000
     assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+
+
+def files_below(folder, part):
+    return [f for d, _, names in os.walk(folder) for f in names if part in f]
+
+
+def test_publishing_without_the_former_folder(spark, folder):
+    kept = [sinks.publish_path(spark.range(n), f"{folder}/kept") for n in (3, 4)]
+    assert all(os.path.isdir(p) for p in kept)
+    last = [sinks.publish_path(spark.range(n), f"{folder}/t", keep_former=False) for n in (3, 4, 5)][-1]
+    again = sinks.publish_path(spark.read.parquet(last).where("id > 0"), f"{folder}/t", keep_former=False)
+    assert sinks.current_path(spark, f"{folder}/t") == again and spark.read.parquet(again).count() == 4
+    assert [n for n in os.listdir(f"{folder}/t") if n != sinks.CURRENT] == [os.path.basename(again)]
+    with pytest.raises(Exception, match="broken"):
+        sinks.publish_path(spark.range(1).select(F.raise_error(F.lit("broken"))), f"{folder}/t", keep_former=False)
+    assert spark.read.parquet(sinks.current_path(spark, f"{folder}/t")).count() == 4
+
+
+def test_shuffle_files_go_with_the_write(spark, folder):
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = len(files_below(local, "shuffle_")), spark.conf.get(cleanup, None)
+    with session.settings(spark, session.run_settings(spark)):
+        sinks.publish_path(spark.range(10_000).groupBy((F.col("id") % 999).alias("k")).count(), f"{folder}/t")
+    assert len(files_below(local, "shuffle_")) <= before and spark.conf.get(cleanup, None) == setting
+    assert spark.read.parquet(sinks.current_path(spark, f"{folder}/t")).agg(F.sum("count")).first()[0] == 10_000
+
+
+def test_layers_are_written_with_differences(spark, folder):
+    ids = spark.range(0, 2_000_000, 7, 1).select(F.col("id").cast("decimal(19,4)").alias("amount"), F.concat(F.lit("SO"), "id").alias("name"), "id")
+    ids.write.option("compression", sinks.COMPRESSION).parquet(f"{folder}/first")
+    path = sinks.publish_path(ids, f"{folder}/t")
+    size = {p: files.file_inventory(spark, p).agg(F.sum("length")).first()[0] for p in (path, f"{folder}/first")}
+    assert size[path] < 0.85 * size[f"{folder}/first"]
+    assert spark.read.parquet(path).exceptAll(ids).isEmpty() and spark.read.parquet(path).count() == ids.count()
+
+
+def test_large_tables_run_alone(spark, folder):
+    for name, n in (("a", 10), ("b", 200_000), ("c", 300_000), ("d", 20)):
+        spark.range(n).select(F.rand().alias("x")).write.parquet(f"{folder}/{name}")
+    running, most = set(), {}
+
+    def job(name):
+        running.add(name)
+        time.sleep(0.3)
+        most[name] = max(most.get(name, 0), len(running))
+        running.discard(name)
+        return name, None
+
+    done = layers.each_large_alone(job, spark, {n: f"{folder}/{n}" for n in "abcd"}, 4)
+    assert sorted(n for n, _ in done) == list("abcd") and most["b"] == most["c"] == 1

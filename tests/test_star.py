@@ -7,6 +7,7 @@ import pytest
 from conftest import SF, plan_of, rows
 from pyspark.sql import functions as F
 
+from stratalake.operators.dedup import is_unique, latest_per_key
 from stratalake.plans import racing, reports, star
 from stratalake.plans.specs import SILVER
 from stratalake.registry.landing import sales_staged
@@ -193,3 +194,22 @@ def test_points_multiply_like_a_plain_join(spark):
     makers = spark.createDataFrame([(1,), (1,)], "constructorId int")
     got = racing.points_by_driver(results, drivers, makers).collect()
     assert [tuple(r) for r in got] == [("a", 10), ("b", 4)]
+
+
+def test_stored_lines_move_for_deduplication_only_if_ids_repeat(spark, tables, folder):
+    name, key = "sales_salesorderdetail", "SalesOrderDetailID"
+    lines = latest_per_key(tables[name], key)
+    again = lines.where(f"{key} IS NOT NULL").withColumns({"OrderQty": F.lit(7).cast("smallint"), "SalesOrderID": F.col("SalesOrderID") + 0})
+    for kind, stored in (("once", lines), ("twice", lines.unionByName(again))):
+        stored.write.parquet(f"{folder}/{kind}")
+        given = {**tables, name: spark.read.parquet(f"{folder}/{kind}")}
+        assert is_unique(given[name], key) == (kind == "once")
+        made = star.fact_internet_sales(given, {"sales_salesorderheader"}, stored=True)
+        assert (f"partition by: [{key}" in spark_plan(made) or f"windowspecdefinition({key}" in spark_plan(made)) == (kind == "twice")
+        assert rows(made) == rows(star.fact_internet_sales(given, {"sales_salesorderheader"})) and made.count() > 0
+    assert not is_unique(spark.createDataFrame([(1,), (None,), (None,)], "k int"), "k")
+    assert is_unique(spark.createDataFrame([(1,), (None,)], "k int"), "k")
+
+
+def spark_plan(df):
+    return df._jdf.queryExecution().analyzed().toString()
